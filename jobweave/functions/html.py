@@ -6,7 +6,7 @@ import re
 from html.entities import name2codepoint
 
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 from jobweave import rules
 from jobweave.functions.text import col, collapse_ws, distinct_ignore_case, trim_ws
@@ -25,12 +25,12 @@ def _entity(match: re.Match) -> str:
     return match.group(0) if code is None else chr(code)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _decode(values: pd.Series) -> pd.Series:
     return values.map(lambda v: _ENTITY.sub(_entity, v), na_action="ignore")
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def _decode_all(values: pd.Series) -> pd.Series:
     return values.map(
         lambda vs: [None if v is None else _ENTITY.sub(_entity, v) for v in vs], na_action="ignore"

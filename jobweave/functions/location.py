@@ -99,13 +99,15 @@ def variant_codes(parts) -> Column:
     parts = col(parts)
     h4 = lambda text: F.left(F.sha2(text.cast("binary"), 256), F.lit(4))
     first = F.transform(parts, lambda p: h4(F.lower(p)))
+    repeated = F.size(F.array_distinct(first)) < F.size(first)
     seen = lambda c, i: F.size(F.filter(F.slice(first, 1, i), lambda x: x == c))
-    return F.transform(
+    redrawn = F.transform(
         F.arrays_zip(parts.alias("p"), first.alias("c")),
         lambda z, i: F.when(seen(z["c"], i) == 0, z["c"]).otherwise(
             h4(F.concat(F.lower(z["p"]), F.lit("#"), seen(z["c"], i).cast("string")))
         ),
     )
+    return F.when(repeated, redrawn).otherwise(first)
 
 
 def safe_city(city) -> Column:

@@ -94,10 +94,16 @@ def join_filled(separator: str, *values) -> Column:
 
 
 def distinct_ignore_case(values) -> Column:
-    """Distinct ignoring case; the first spelling of each value stays, in order."""
+    """Distinct ignoring case; the first spelling of each value stays, in order.
+
+    The pairwise search runs only for arrays that hold a repeated value.
+    """
     values = col(values)
     lowered = F.transform(values, F.lower)
-    return F.filter(values, lambda x, i: F.array_position(lowered, F.lower(x)) == i + 1)
+    repeated = F.size(F.array_distinct(lowered)) < F.size(values)
+    return F.when(
+        repeated, F.filter(values, lambda x, i: F.array_position(lowered, F.lower(x)) == i + 1)
+    ).otherwise(values)
 
 
 def filled_items(values) -> Column:

@@ -15,7 +15,7 @@ from jobweave.functions.location import (
 )
 from jobweave.functions.text import clean, is_blank, normalize_key, same, truncate
 from jobweave.operators.dedupe import first_per_key, last_per_keys
-from jobweave.operators.expand import variants
+from jobweave.operators.expand import with_variants
 from jobweave.operators.filters import has_unsafe_city, is_multi_location
 from jobweave.operators.keys import any_key_winner, key_entries
 from jobweave.schema import LENGTHS, REFRESH_CATEGORY_LENGTH, TABLE_COLUMNS
@@ -144,9 +144,9 @@ def backfill_variants(target: DataFrame, inserted_at, row_id: str = "row_id", or
     """
     listed = has_separator("_source")
     n = F.size("_variants")
+    sourced = target.withColumn("_source", expansion_source("Location", "city"))
     acted = (
-        target.withColumn("_source", expansion_source("Location", "city"))
-        .withColumn("_variants", variants("_source", "job_reference"))
+        with_variants(sourced, "_source", "job_reference")
         .withColumn(
             "_action",
             F.when(~is_multi_location(), "keep")
@@ -171,13 +171,8 @@ def cleanup_cities(target: DataFrame, inserted_at, row_id: str = "row_id", order
     """
     n = F.size("_variants")
     acted = (
-        target.withColumn(
-            "_variants",
-            F.filter(
-                variants(cleanup_source("Location", "city"), "job_reference"),
-                lambda v: safe_city(city_of(v["location"])),
-            ),
-        )
+        with_variants(target, cleanup_source("Location", "city"), "job_reference", "_all")
+        .withColumn("_variants", F.filter("_all", lambda v: safe_city(city_of(v["location"]))))
         .withColumn(
             "_action",
             F.when(~has_unsafe_city(), "keep")

@@ -2,38 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from jobweave.functions.location import location_parts, variant_codes
-from jobweave.functions.text import col, is_blank
+from jobweave.functions.text import is_blank
 
 
-def variants(location, reference) -> Column:
-    """Array of (location, reference) for the places of a list.
+def with_variants(df: DataFrame, location, reference: str, name: str = "_variants") -> DataFrame:
+    """Add an array of (location, reference) for the places of a list.
 
     One place keeps the reference; several get ':L' and a four-character code.  A
     blank reference stays blank.
     """
-    parts = location_parts(location)
-    ref = col(reference)
-    return F.transform(
-        F.arrays_zip(parts.alias("p"), variant_codes(parts).alias("c")),
-        lambda z: F.struct(
-            z["p"].alias("location"),
-            F.when((F.size(parts) == 1) | is_blank(ref), ref)
-            .otherwise(F.concat(ref, F.lit(":L"), z["c"]))
-            .alias("reference"),
-        ),
+    ref, places = F.col(reference), F.col("_places")
+    scoped = F.transform(
+        F.arrays_zip(places.alias("p"), variant_codes("_places").alias("c")),
+        lambda z: F.struct(z["p"].alias("location"), F.concat(ref, F.lit(":L"), z["c"]).alias("reference")),
+    )
+    same_ref = F.transform(places, lambda p: F.struct(p.alias("location"), ref.alias("reference")))
+    # the list of places is a column of its own, so it is computed once per row
+    return (
+        df.withColumn("_places", location_parts(location))
+        .withColumn(name, F.when((F.size("_places") <= 1) | is_blank(ref), same_ref).otherwise(scoped))
+        .drop("_places")
     )
 
 
 def expand_locations(df: DataFrame, location="location", reference="external_id") -> DataFrame:
     """One row per place, numbered by ``part``; a row without places stays as it is."""
     keep = F.array(F.struct(F.col(location).alias("location"), F.col(reference).alias("reference")))
-    all_ = variants(location, reference)
-    rows = df.select(
+    rows = with_variants(df, location, reference).select(
         *[F.col(c) for c in df.columns if c != "part"],
-        F.posexplode(F.when(F.size(all_) > 0, all_).otherwise(keep)).alias("_part", "_v"),
+        F.posexplode(F.when(F.size("_variants") > 0, F.col("_variants")).otherwise(keep)).alias("_part", "_v"),
     )
     out = {location: F.col("_v.location"), reference: F.col("_v.reference"), "part": F.col("_part")}
     columns = df.columns if "part" in df.columns else [*df.columns, "part"]
