@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from functools import reduce
 from itertools import groupby
 
@@ -12,25 +11,38 @@ from jobweave import rules
 from jobweave.functions.text import blank_to_null, col, contains_any, is_blank, trim_ws
 
 
+def rule_label(text, table: rules.RuleTable) -> Column:
+    """Label of the first rule whose pattern is found (ignoring case), or NULL.
+
+    The patterns are lower case, so the text is lowered once instead of matching
+    without case.  One flat CASE lets Spark share that step among the branches.
+    """
+    text = F.lower(F.coalesce(col(text), F.lit("")))
+    chain = F
+    for rule in table.rules:
+        chain = chain.when(text.rlike(rule.pattern), F.lit(rule.label))
+    return chain
+
+
 def by_rules(text, table: rules.RuleTable) -> Column:
-    """Label of the first rule whose pattern is found (ignoring case)."""
-    text = F.coalesce(col(text), F.lit(""))
-    label = F.lit(table.default)
-    for rule in reversed(table.rules):
-        label = F.when(text.rlike("(?i)" + rule.pattern), F.lit(rule.label)).otherwise(label)
-    return label
+    """``rule_label``, or the table's default."""
+    return F.coalesce(rule_label(text, table), F.lit(table.default))
+
+
+def _title_and_text(title, description) -> Column:
+    blank = F.lit("")
+    return F.concat_ws(" ", F.coalesce(col(title), blank), F.coalesce(col(description), blank))
 
 
 def infer_category(title, description=None, table: str | rules.RuleTable = "tech") -> Column:
     table = rules.CATEGORY_RULE_TABLES[table] if isinstance(table, str) else table
     if description is None:
         return by_rules(title, table)
-    blank = F.lit("")
-    text = F.concat_ws(" ", F.coalesce(col(title), blank), F.coalesce(col(description), blank))
-    return by_rules(text, table)
+    return by_rules(_title_and_text(title, description), table)
 
 
-def normalize_category(category, title, description, table: str | rules.RuleTable = "tech") -> Column:
+def normalize_category(category, title, description,
+                       table: rules.RuleTable = rules.TECH_CATEGORY_RULES) -> Column:
     """Category of at most 30 characters.
 
     A canonical name stays (in its canonical spelling); otherwise it is inferred from
@@ -41,7 +53,7 @@ def normalize_category(category, title, description, table: str | rules.RuleTabl
         *[F.lit(x) for name in rules.CANONICAL_CATEGORIES for x in (name.lower(), name)]
     )
     known = F.try_element_at(names, F.lower(given))
-    inferred = F.nullif(infer_category(title, description, table), F.lit(""))
+    inferred = rule_label(_title_and_text(title, description), table)
     return F.left(F.coalesce(known, inferred, given, F.lit("")), F.lit(30))
 
 
@@ -62,9 +74,25 @@ def job_type_in_text(c) -> Column:
 
 
 def _words_pattern(words) -> str:
-    # longest first, so that 'data engineer' is one hit and not the word 'data'
-    return r"(?i)\b(?:" + "|".join(re.escape(w).replace(r"\ ", " ").replace(r"\-", "-")
-                                   for w in sorted(words, key=lambda w: (-len(w), w))) + r")\b"
+    """Pattern for any of the words, the longest first.
+
+    Common beginnings are factored out, so a word boundary costs one look at the next
+    character instead of a try of every word.
+    """
+
+    def branch(endings: list[str]) -> str:
+        firsts: dict[str, list[str]] = {}
+        for ending in endings:
+            if ending:
+                firsts.setdefault(ending[0], []).append(ending[1:])
+        options = "|".join(
+            ("\\" + ch if ch in ".+*?()[]{}|^$\\" else ch) + branch(rest) for ch, rest in sorted(firsts.items())
+        )
+        if not options:
+            return ""
+        return f"(?:{options})?" if "" in endings else f"(?:{options})"
+
+    return r"\b" + branch(sorted(set(words))) + r"\b"
 
 
 def it_score(title, category, description, table=rules.IT_RULES) -> Column:
@@ -74,7 +102,7 @@ def it_score(title, category, description, table=rules.IT_RULES) -> Column:
     parts = []
     for (field, weight), group in groupby(sorted(table, key=key), key=key):
         words = [w for r in group for w in r.words]
-        text = F.coalesce(col(fields[field]), F.lit(""))
+        text = F.lower(F.coalesce(col(fields[field]), F.lit("")))
         parts.append(F.regexp_count(text, F.lit(_words_pattern(words))) * weight)
     return reduce(lambda a, b: a + b, parts).cast("int")
 

@@ -12,6 +12,7 @@ from jobweave.functions.text import blank_to_null, clean, normalize_key, truncat
 from jobweave.operators.dedupe import last_per_keys
 from jobweave.operators.keys import spread_blank
 from jobweave.schema import LENGTHS, REFRESH_CATEGORY_LENGTH, TABLE_COLUMNS
+from jobweave.session import cut_lineage
 
 STAGE_KEYS = [
     "normalized_reference", "normalized_url", "normalized_title", "normalized_company",
@@ -212,7 +213,8 @@ def upsert(target: DataFrame, duplicates: DataFrame, fresh: DataFrame, as_of,
     Both inputs are standard postings.  A new row's id is 'new:<reference>': its
     reference is in neither the table nor another new row.
     """
-    staged = dedupe_stage(stage(prepare(duplicates), as_of, row_key))
+    # the staged rows feed three match sides and the update itself
+    staged = cut_lineage(dedupe_stage(stage(prepare(duplicates), as_of, row_key)), "stage")
     new_rows = insert_rows(prepare(fresh), as_of, row_key)
     ids = F.concat(F.lit("new:"), F.col("job_reference"))
     updated = refresh(target, staged, row_id)

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from jobweave import rules
 
@@ -29,18 +28,14 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+_SCHEMAS: dict[str, StructType] = {}
 
 
-def work_folder(spark: SparkSession, name: str) -> str:
-    """A new folder for files a query writes, in the cluster's shared folder."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir")
-        shared = tempfile.mkdtemp(prefix="jobweave-")
-    return f"{shared.rstrip('/')}/jobweave-{name}-{uuid.uuid4().hex}"
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if path not in _SCHEMAS:  # one footer read per table, not one per query
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 # --- SQL fragments ------------------------------------------------------------------

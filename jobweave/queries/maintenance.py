@@ -12,6 +12,7 @@ from jobweave.queries.base import (
 from jobweave.queries.jobsview import LOADED_AT, STORED_CTE, jobs, stored
 from jobweave.queries.postings import STATUS_CTE, SUSPECT, UNSAFE
 from jobweave.schema import TABLE_COLUMNS
+from jobweave.session import cut_lineage
 
 COLS = ", ".join(f'"{c}"' for c in TABLE_COLUMNS)
 AT = f"TIMESTAMP '{LOADED_AT}'"
@@ -90,13 +91,14 @@ REFRESH_CTE = ",".join(
 
 
 def _existing(s, d):
-    status = dedupe.batch_status(jobs(s, d), stored(s, d)).filter(F.col("status") == "existing")
-    return jobs(s, d).join(status, "seq", "left_semi")
+    incoming = jobs(s, d)
+    status = dedupe.batch_status(incoming, stored(s, d)).filter(F.col("status") == "existing")
+    return incoming.join(status, "seq", "left_semi")
 
 
 def _refreshed(s, d):
     staged = upsert.dedupe_stage(upsert.stage(upsert.prepare(_existing(s, d)), LOADED_AT))
-    return upsert.refresh(stored(s, d), staged)
+    return upsert.refresh(stored(s, d), cut_lineage(staged, "stage"))
 
 
 _REFRESH_SQL = "WITH " + STORED_CTE + "," + STATUS_CTE + "," + _STAGE + "," + REFRESH_CTE
@@ -108,10 +110,10 @@ _FRESH = ", fresh AS (SELECT jobs.* FROM jobs JOIN status USING (seq) WHERE stat
 
 
 def _upserted(s, d):
-    status = dedupe.batch_status(jobs(s, d), stored(s, d))
-    split = jobs(s, d).join(status, "seq")
+    incoming, target = jobs(s, d), stored(s, d)
+    split = incoming.join(cut_lineage(dedupe.batch_status(incoming, target), "status"), "seq")
     return upsert.upsert(
-        stored(s, d), split.filter(F.col("status") == "existing"), split.filter(F.col("status") == "new"), LOADED_AT
+        target, split.filter(F.col("status") == "existing"), split.filter(F.col("status") == "new"), LOADED_AT
     )
 
 

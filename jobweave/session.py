@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,6 +36,7 @@ def local_session(app: str = "jobweave", cores: str = "*", **conf: str) -> Spark
         "spark.ui.enabled": "false",
         "spark.sql.shuffle.partitions": "8",
         "spark.driver.memory": "12g",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     for key, value in settings.items():
@@ -42,24 +44,27 @@ def local_session(app: str = "jobweave", cores: str = "*", **conf: str) -> Spark
     return configure(builder.getOrCreate())
 
 
-def _checkpoint_root(spark: SparkSession) -> None:
-    context = spark.sparkContext
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder for intermediate files, below the one the cluster names.
+
+    Only a local session may fall back to a temporary folder of the machine.
+    """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        if context.getCheckpointDir() is None:
-            context.setCheckpointDir(shared)
-        return
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="jobweave-checkpoint-"))
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+        shared = tempfile.mkdtemp(prefix="jobweave-")
+        spark.conf.set("spark.checkpoint.dir", shared)
+    return f"{shared.rstrip('/')}/jobweave-{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the cluster's reliable checkpoint folder and read it back.
+def cut_lineage(df: DataFrame, name: str = "step") -> DataFrame:
+    """Write ``df`` as a table in the shared folder and read it back.
 
-    Used where a costly intermediate feeds several outputs; the copy survives the
-    loss of executors.
+    Used where a costly intermediate feeds several outputs: it is computed once, the
+    loss of executors does not bring it back, and Spark knows its size when it picks
+    joins.
     """
-    _checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = shared_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
