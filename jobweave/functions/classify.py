@@ -8,20 +8,23 @@ from itertools import groupby
 from pyspark.sql import Column, functions as F
 
 from jobweave import rules
-from jobweave.functions.text import blank_to_null, col, contains_any, is_blank, trim_ws
+from jobweave.functions.text import blank_to_null, col, contains_any, is_blank, let, trim_ws
 
 
 def rule_label(text, table: rules.RuleTable) -> Column:
     """Label of the first rule whose pattern is found (ignoring case), or NULL.
 
     The patterns are lower case, so the text is lowered once instead of matching
-    without case.  One flat CASE lets Spark share that step among the branches.
+    without case.
     """
-    text = F.lower(F.coalesce(col(text), F.lit("")))
-    chain = F
-    for rule in table.rules:
-        chain = chain.when(text.rlike(rule.pattern), F.lit(rule.label))
-    return chain
+
+    def first(t: Column) -> Column:
+        chain = F
+        for rule in table.rules:
+            chain = chain.when(t.rlike(rule.pattern), F.lit(rule.label))
+        return chain
+
+    return let(F.lower(F.coalesce(col(text), F.lit(""))), first)
 
 
 def by_rules(text, table: rules.RuleTable) -> Column:
@@ -169,8 +172,13 @@ def tenant_priority(domain) -> Column:
     compact = F.regexp_replace(
         F.lower(F.split_part(F.coalesce(col(domain), F.lit("")), F.lit("."), F.lit(1))), "[^a-z0-9]+", ""
     )
-    hits = lambda words, w: [F.when(F.contains(compact, F.lit(x)), F.lit(w)).otherwise(0) for x in words]
-    parts = hits(rules.IT_TENANT_SIGNALS, 3) + hits(rules.NON_IT_TENANT_SIGNALS, -4)
-    parts.append(F.when(compact.rlike(rules.PREFERRED_TENANTS), F.lit(5)).otherwise(0))
-    parts.append(F.when(compact.rlike(rules.AVOIDED_TENANTS), F.lit(-5)).otherwise(0))
-    return reduce(lambda a, b: a + b, parts)
+
+    def score(name: Column) -> Column:
+        hit = lambda ok, points: F.when(ok, F.lit(points)).otherwise(0)
+        parts = [hit(F.contains(name, F.lit(w)), 3) for w in rules.IT_TENANT_SIGNALS]
+        parts += [hit(F.contains(name, F.lit(w)), -4) for w in rules.NON_IT_TENANT_SIGNALS]
+        parts.append(hit(name.rlike(rules.PREFERRED_TENANTS), 5))
+        parts.append(hit(name.rlike(rules.AVOIDED_TENANTS), -5))
+        return reduce(lambda a, b: a + b, parts)
+
+    return let(compact, score)

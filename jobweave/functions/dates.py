@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from jobweave.functions.text import col, trim_ws
+from jobweave.functions.text import col, let, trim_ws
 
 # (shape of the text, Spark pattern); the weekday and zone names are cut before.
 _FORMATS = [
@@ -26,29 +26,44 @@ def parse_date(c) -> Column:
 
     Times without a zone are taken in the session zone (UTC).
     """
-    text = trim_ws(c)
-    iso = F.regexp_replace(text, r"(?i)\s+UTC$", "Z")
-    named = F.regexp_replace(text, r"^[A-Za-z]{3,9},\s+", "")
-    named = F.regexp_replace(named, r"(?i)\s+(GMT|UTC|Z)$", " +0000")
-    tries = [F.when(iso.rlike(r"^\d{4}-\d{1,2}-\d{1,2}"), iso.try_cast("timestamp"))]
-    tries += [
-        F.when(named.rlike(shape), F.try_to_timestamp(named, F.lit(fmt))) for shape, fmt in _FORMATS
-    ]
-    return F.coalesce(*tries)
+
+    def read(text: Column) -> Column:
+        iso = F.regexp_replace(text, r"(?i)\s+UTC$", "Z")
+        return F.coalesce(
+            F.when(iso.rlike(r"^\d{4}-\d{1,2}-\d{1,2}"), iso.try_cast("timestamp")), let(_named(text), _written)
+        )
+
+    return let(trim_ws(c), read)
+
+
+def _named(text: Column) -> Column:
+    """The text without weekday, its zone name as an offset."""
+    return F.regexp_replace(
+        F.regexp_replace(text, r"^[A-Za-z]{3,9},\s+", ""), r"(?i)\s+(GMT|UTC|Z)$", " +0000"
+    )
+
+
+def _written(text: Column) -> Column:
+    return F.coalesce(
+        *[F.when(text.rlike(shape), F.try_to_timestamp(text, F.lit(fmt))) for shape, fmt in _FORMATS]
+    )
 
 
 def relative_date(c, as_of) -> Column:
     """'Posted Today', 'Yesterday', 'Posted 3+ Days Ago', or a date; ``as_of`` is today."""
-    text = trim_ws(c)
     today = (F.lit(as_of) if not isinstance(as_of, Column) else as_of).cast("date")
-    days = F.regexp_extract(text, r"(?i)Posted\s+(\d+)\+?\s+Days?\s+Ago", 1).try_cast("int")
-    lowered = F.lower(text)
-    return (
-        F.when(lowered.isin("posted today", "today"), today.cast("timestamp"))
-        .when(lowered.isin("posted yesterday", "yesterday"), F.date_sub(today, 1).cast("timestamp"))
-        .when(days.isNotNull(), F.date_sub(today, days).cast("timestamp"))
-        .otherwise(parse_date(text))
-    )
+
+    def read(text: Column) -> Column:
+        days = F.regexp_extract(text, r"(?i)Posted\s+(\d+)\+?\s+Days?\s+Ago", 1).try_cast("int")
+        lowered = F.lower(text)
+        return (
+            F.when(lowered.isin("posted today", "today"), today.cast("timestamp"))
+            .when(lowered.isin("posted yesterday", "yesterday"), F.date_sub(today, 1).cast("timestamp"))
+            .when(days.isNotNull(), F.date_sub(today, days).cast("timestamp"))
+            .otherwise(parse_date(text))
+        )
+
+    return let(trim_ws(c), read)
 
 
 def from_epoch_seconds(c) -> Column:

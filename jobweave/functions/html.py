@@ -3,13 +3,31 @@
 from __future__ import annotations
 
 import re
+import sys
 from html.entities import name2codepoint
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, functions as F, types as T
 
 from jobweave import rules
-from jobweave.functions.text import col, collapse_ws, distinct_ignore_case, trim_ws
+from jobweave.functions.text import (
+    col,
+    collapse_ws,
+    distinct_ignore_case,
+    empty_to_null,
+    filled_items,
+    join_filled,
+    json_unescape,
+    keep_if_filled,
+    last_wins,
+    let,
+    trim_ws,
+    zipped,
+)
+
+# the two UDFs travel with the job, so executors need not have this package installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _ENTITY = re.compile(r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);")
 
@@ -43,14 +61,14 @@ def decode_entities(c) -> Column:
     Only values holding '&' are sent to Python; the rest stay in the JVM.
     """
     c = col(c)
-    return F.coalesce(_decode(F.when(F.contains(c, F.lit("&")), c)), c)
+    return F.coalesce(_decode(let(c, lambda v: F.when(F.contains(v, F.lit("&")), v))), c)
 
 
 def decode_entities_in(values) -> Column:
     """Entity decoding for an array column."""
     values = col(values)
-    some = F.exists(values, lambda v: F.contains(v, F.lit("&")))
-    return F.coalesce(_decode_all(F.when(some, values)), values)
+    some = lambda vs: F.exists(vs, lambda v: F.contains(v, F.lit("&")))
+    return F.coalesce(_decode_all(let(values, lambda vs: F.when(some(vs), vs))), values)
 
 
 def clean_text(c) -> Column:
@@ -86,7 +104,7 @@ def first_group(c, pattern: str, group: int = 1) -> Column:
 
 def first_of(c, patterns: list[str]) -> Column:
     """Group 1 of the first pattern that gives something."""
-    return F.coalesce(*[F.nullif(first_group(c, p), F.lit("")) for p in patterns], F.lit(""))
+    return F.coalesce(*[empty_to_null(first_group(c, p)) for p in patterns], F.lit(""))
 
 
 def meta_patterns(name: str) -> list[str]:
@@ -165,24 +183,17 @@ def select_options(html, select_pattern: str = rules.FRESHTEAM_TYPE_SELECT) -> C
         lambda x: F.regexp_replace(x, rules.ANY_TAG, " "),
     )
     texts = F.transform(decode_entities_in(plain), collapse_ws)
-    pairs = F.arrays_zip(keys.alias("k"), texts.alias("v"))
-    last = F.filter(
-        pairs,
-        lambda p, i: ~F.exists(
-            F.slice(pairs, i + 2, F.greatest(F.size(pairs) - i - 1, F.lit(0))), lambda q: q["k"] == p["k"]
-        ),
-    )
-    return F.map_from_arrays(F.transform(last, lambda p: p["k"]), F.transform(last, lambda p: p["v"]))
+    return last_wins(zipped(keys, texts, ("k", "v")))
 
 
 def json_string_field(html, key: str) -> Column:
     """First "key": "value" string anywhere in a page, escapes decoded."""
     pattern = rf"""(?is)["']{re.escape(key)}["']\s*:\s*["']((?:\\.|[^"'\\])*)["']"""
-    raw = decode_entities(first_group(html, pattern))
-    from jobweave.functions.text import json_unescape
-
-    plain = F.regexp_replace(F.regexp_replace(raw, r"\\n", " "), r'\\(["/])', "$1")
-    return F.when(raw == "", F.lit("")).otherwise(F.coalesce(json_unescape(raw), trim_ws(plain)))
+    plain = lambda v: trim_ws(F.regexp_replace(F.regexp_replace(v, r"\\n", " "), r'\\(["/])', "$1"))
+    return let(
+        decode_entities(first_group(html, pattern)),
+        lambda v: F.when(v == "", F.lit("")).otherwise(F.coalesce(json_unescape(v), plain(v))),
+    )
 
 
 # --- JSON-LD ------------------------------------------------------------------------
@@ -200,18 +211,14 @@ _ADDRESS = (
 
 def as_json_array(text) -> Column:
     """A JSON value as array text: arrays stay, anything else is wrapped."""
-    text = trim_ws(text)
-    return F.when(F.startswith(text, F.lit("[")), text).otherwise(
-        F.concat(F.lit("["), text, F.lit("]"))
+    return let(
+        trim_ws(text),
+        lambda v: F.when(F.startswith(v, F.lit("[")), v).otherwise(F.concat(F.lit("["), v, F.lit("]"))),
     )
 
 
 def _is_posting(item: Column) -> Column:
-    kind = F.lower(F.coalesce(item["@type"], F.lit("")))
-    in_list = F.startswith(kind, F.lit("[")) & F.exists(
-        F.coalesce(F.from_json(kind, "array<string>"), F.array()), lambda t: t == "jobposting"
-    )
-    return (kind == "jobposting") | in_list
+    return F.lower(F.coalesce(item["@type"], F.lit(""))).rlike(r'^jobposting$|^\[.*"jobposting".*\]$')
 
 
 def job_postings(html, use_graph: bool = True) -> Column:
@@ -249,25 +256,23 @@ def posting_location(posting, name_first: bool = False, add_name: bool = False)
     ``name_first`` prefers an explicit place name over its address; ``add_name``
     appends the name to the address parts.
     """
-    from jobweave.functions.text import filled_items, join_filled, keep_if_filled
-
     posting = col(posting)
     raw = F.coalesce(posting["jobLocation"], posting["applicantLocationRequirements"])
     items = F.coalesce(F.from_json(as_json_array(raw), "array<string>"), F.array())
 
+    def from_place(place: Column) -> Column:
+        inner = F.when(place["address"].isNull(), place).when(
+            F.startswith(place["address"], F.lit("{")), F.from_json(place["address"], _ADDRESS)
+        )
+        fields = ["addressLocality", "addressRegion", "addressCountry"] + (["name"] if add_name else [])
+        # an address that is plain text stands as it is
+        built = let(inner, lambda a: F.coalesce(F.when(a.isNull(), place["address"]), join_filled(", ", *[a[f] for f in fields])))
+        return F.coalesce(keep_if_filled(place["name"]), built) if name_first else built
+
     def text(item: Column) -> Column:
-        place = F.from_json(item, _ADDRESS)
-        nested = F.when(F.startswith(place["address"], F.lit("{")), F.from_json(place["address"], _ADDRESS))
-        pick = lambda f: F.when(place["address"].isNotNull(), nested[f]).otherwise(place[f])
-        parts = [pick("addressLocality"), pick("addressRegion"), pick("addressCountry")]
-        if add_name:
-            parts.append(pick("name"))
-        address = join_filled(", ", *parts)
-        plain = F.when(place["address"].isNotNull() & nested.isNull(), place["address"])
-        built = F.coalesce(plain, address)
-        if name_first:
-            built = F.coalesce(keep_if_filled(place["name"]), built)
-        return F.when(F.startswith(F.ltrim(item), F.lit("{")), built).otherwise(item)
+        return F.when(
+            F.startswith(F.ltrim(item), F.lit("{")), let(F.from_json(item, _ADDRESS), from_place)
+        ).otherwise(item)
 
     return F.array_join(distinct_ignore_case(filled_items(F.transform(items, text))), " | ")
 

@@ -17,35 +17,39 @@ from jobweave.functions.text import (
     first_non_empty,
     is_blank,
     keep_if_filled,
+    last_wins,
+    let,
     trim_ws,
+    zipped,
 )
 
 
 def scalar(c) -> Column:
     """Text of a string, number or boolean; NULL for an object or array."""
-    c = col(c)
-    return F.when(~c.rlike(r"^\s*[\[{]"), c)
+    return let(col(c), lambda v: F.when(~v.rlike(r"^\s*[\[{]"), v))
 
 
 def text_or_descriptor(c) -> Column:
     """A scalar, or the descriptor, name or value of an object."""
-    c = col(c)
-    inside = F.coalesce(*[F.get_json_object(c, f"$.{f}") for f in ("descriptor", "name", "value")])
-    return F.when(c.rlike(r"^\s*\{"), inside).otherwise(scalar(c))
+    inside = lambda v: F.coalesce(*[F.get_json_object(v, f"$.{f}") for f in ("descriptor", "name", "value")])
+    return let(col(c), lambda v: F.when(v.rlike(r"^\s*\{"), inside(v)).otherwise(scalar(v)))
 
 
 def object_field(c, field: str) -> Column:
     """A scalar field of a value that may be an object."""
-    c = col(c)
-    return F.when(c.rlike(r"^\s*\{"), scalar(F.get_json_object(c, f"$.{field}")))
+    return let(
+        col(c), lambda v: F.when(v.rlike(r"^\s*\{"), scalar(F.get_json_object(v, f"$.{field}")))
+    )
 
 
 def as_items(c) -> Column:
     """Items of an array value (objects as JSON text), or the single value."""
-    c = trim_ws(c)
-    return F.when(c.isNull(), F.array().cast("array<string>")).when(
-        F.startswith(c, F.lit("[")), F.coalesce(F.from_json(c, "array<string>"), F.array())
-    ).otherwise(F.array(c))
+    return let(
+        trim_ws(c),
+        lambda v: F.when(v.isNull(), F.array().cast("array<string>"))
+        .when(F.startswith(v, F.lit("[")), F.coalesce(F.from_json(v, "array<string>"), F.array()))
+        .otherwise(F.array(v)),
+    )
 
 
 _NAMED = "struct<name:string,label:string,value:string,title:string>"
@@ -58,9 +62,9 @@ def names(c) -> Column:
     """Names of an array or object (or plain strings), distinct, joined with ' / '."""
 
     def one(item: Column) -> Column:
-        named = F.from_json(item, _NAMED)
-        found = first_non_empty(*[scalar(named[f]) for f in ("name", "label", "value", "title")])
-        return F.when(item.rlike(r"^\s*\{"), found).otherwise(item)
+        fields = ("name", "label", "value", "title")
+        found = lambda n: first_non_empty(*[scalar(n[f]) for f in fields])
+        return F.when(item.rlike(r"^\s*\{"), let(F.from_json(item, _NAMED), found)).otherwise(item)
 
     return F.array_join(distinct_ignore_case(filled_items(F.transform(as_items(c), one))), " / ")
 
@@ -70,12 +74,17 @@ def metadata_value(c, wanted: list[str], unwanted: tuple[str, ...] = ()) -> Colu
     entries = F.transform(as_items(c), lambda item: F.from_json(item, _META))
 
     def pick(entry: Column) -> Column:
-        name = F.lower(first_non_empty(*[scalar(entry[f]) for f in ("name", "label", "key", "title")]))
         value = first_non_empty(*[scalar(entry[f]) for f in ("value", "display_value", "displayValue")])
-        ok = contains_any(name, wanted)
-        if unwanted:
-            ok = ok & ~contains_any(name, list(unwanted))
-        return F.when(ok, value).otherwise("")
+
+        def choose(name: Column) -> Column:
+            ok = contains_any(name, wanted)
+            if unwanted:
+                ok = ok & ~contains_any(name, list(unwanted))
+            return F.when(ok, value).otherwise("")
+
+        return let(
+            F.lower(first_non_empty(*[scalar(entry[f]) for f in ("name", "label", "key", "title")])), choose
+        )
 
     return F.coalesce(F.get(filled_items(F.transform(entries, pick)), F.lit(0)), F.lit(""))
 
@@ -93,28 +102,15 @@ def id_name_map(facets) -> Column:
     facets = F.filter(
         F.coalesce(col(facets), F.array()), lambda f: ~is_blank(f["Id"]) & ~is_blank(f["Name"])
     )
-    last = F.filter(
-        facets,
-        lambda f, i: ~F.exists(
-            F.slice(facets, i + 2, F.greatest(F.size(facets) - i - 1, F.lit(0))), lambda g: F.lower(g["Id"]) == F.lower(f["Id"])
-        ),
-    )
-    return F.map_from_entries(F.transform(last, lambda f: F.struct(F.lower(f["Id"]), f["Name"])))
+    return last_wins(F.transform(facets, lambda f: F.named_struct(F.lit("k"), F.lower(f["Id"]), F.lit("v"), f["Name"])))
 
 
 def positional(fields, values) -> Column:
     """Map of lower-cased field names to the values at the same positions."""
     n = F.least(F.size(fields), F.size(values))
     names_ = F.transform(F.slice(col(fields), 1, n), lambda f: F.lower(F.coalesce(f, F.lit(""))))
-    pairs = F.arrays_zip(names_.alias("k"), F.slice(col(values), 1, n).alias("v"))
-    kept = F.filter(pairs, lambda p: p["k"] != "")
-    last = F.filter(
-        kept,
-        lambda p, i: ~F.exists(
-            F.slice(kept, i + 2, F.greatest(F.size(kept) - i - 1, F.lit(0))), lambda q: q["k"] == p["k"]
-        ),
-    )
-    return F.map_from_arrays(F.transform(last, lambda p: p["k"]), F.transform(last, lambda p: p["v"]))
+    pairs = zipped(names_, F.slice(col(values), 1, n), ("k", "v"))
+    return last_wins(F.filter(pairs, lambda p: p["k"] != ""))
 
 
 def translation(translations, field: str) -> Column:

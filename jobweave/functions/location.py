@@ -11,10 +11,12 @@ from jobweave.functions.text import (
     collapse_ws,
     contains_any,
     distinct_ignore_case,
+    empty_to_null,
     filled_items,
     is_blank,
     join_filled,
     trim_ws,
+    zipped,
 )
 
 _CITY_STATE = r"(?i)^\s*([^,]+),\s*(" + "|".join(rules.US_STATE_CODES + ["DC"]) + r")\b"
@@ -43,7 +45,7 @@ def city_of(location) -> Column:
 
 def state_of(location) -> Column:
     value = F.coalesce(col(location), F.lit(""))
-    return F.nullif(F.upper(F.regexp_extract(value, _CITY_STATE, 2)), F.lit(""))
+    return empty_to_null(F.upper(F.regexp_extract(value, _CITY_STATE, 2)))
 
 
 def country_name(country, aliases=("us", "usa")) -> Column:
@@ -81,7 +83,7 @@ def location_in_title(c) -> Column:
 def location_label(c) -> Column:
     """Text after 'Location' in a feed description; NULL when absent."""
     value = F.regexp_extract(col(c), r"(?i)Location[^A-Za-z0-9]*([A-Za-z0-9 ,.\-/]+)", 1)
-    return F.nullif(F.rtrim(trim_ws(value), F.lit(".,")), F.lit(""))
+    return empty_to_null(F.rtrim(trim_ws(value), F.lit(".,")))
 
 
 def location_parts(location) -> Column:
@@ -102,7 +104,7 @@ def variant_codes(parts) -> Column:
     repeated = F.size(F.array_distinct(first)) < F.size(first)
     seen = lambda c, i: F.size(F.filter(F.slice(first, 1, i), lambda x: x == c))
     redrawn = F.transform(
-        F.arrays_zip(parts.alias("p"), first.alias("c")),
+        zipped(parts, first, ("p", "c")),
         lambda z, i: F.when(seen(z["c"], i) == 0, z["c"]).otherwise(
             h4(F.concat(F.lower(z["p"]), F.lit("#"), seen(z["c"], i).cast("string")))
         ),

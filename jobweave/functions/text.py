@@ -13,6 +13,15 @@ def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value, fn) -> Column:
+    """``fn`` of a value that is computed once per row however often ``fn`` uses it.
+
+    Long chains over one cleaned text stay small in generated code that way.  ``fn`` must
+    be built from built-ins.
+    """
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
 def trim_ws(c) -> Column:
     """Trim Unicode white space at both ends (Spark's plain trim takes spaces only)."""
     return F.trim(col(c), F.lit(rules.WHITESPACE))
@@ -22,14 +31,19 @@ def is_blank(c) -> Column:
     return F.coalesce(trim_ws(c), F.lit("")) == ""
 
 
+def empty_to_null(c) -> Column:
+    """The value, or NULL when it is ''."""
+    return let(col(c), lambda v: F.when(v != "", v))
+
+
 def blank_to_null(c) -> Column:
     """Trimmed value, or NULL when nothing is left."""
-    return F.nullif(trim_ws(c), F.lit(""))
+    return empty_to_null(trim_ws(c))
 
 
 def keep_if_filled(c) -> Column:
     """The value as it is (untrimmed), or NULL when blank."""
-    return F.when(~is_blank(c), col(c))
+    return let(col(c), lambda v: F.when(~is_blank(v), v))
 
 
 def normalize_key(c) -> Column:
@@ -49,8 +63,8 @@ def clean(c, length: int | None = None) -> Column:
 
 def fingerprint(title, company, location) -> Column:
     """title|company|location in key form; '' unless title and company are filled."""
-    t, c, loc = normalize_key(title), normalize_key(company), normalize_key(location)
-    return F.when((t == "") | (c == ""), F.lit("")).otherwise(F.concat_ws("|", t, c, loc))
+    parts = F.array(normalize_key(title), normalize_key(company), normalize_key(location))
+    return let(parts, lambda p: F.when((p[0] == "") | (p[1] == ""), F.lit("")).otherwise(F.array_join(p, "|")))
 
 
 def first_non_empty(*values) -> Column:
@@ -78,14 +92,14 @@ def alnum_lower(c) -> Column:
 
 
 def upper_first(c) -> Column:
-    c = col(c)
-    return F.concat(F.upper(F.left(c, F.lit(1))), F.substr(c, F.lit(2)))
+    return let(col(c), lambda v: F.concat(F.upper(F.left(v, F.lit(1))), F.substr(v, F.lit(2))))
 
 
 def contains_any(c, words: list[str]) -> Column:
     """True when the lower-cased value holds any of ``words``; NULL counts as ''."""
     value = F.coalesce(F.lower(col(c)), F.lit(""))
-    return reduce(lambda a, b: a | b, [F.contains(value, F.lit(w)) for w in words])
+    any_word = lambda v: reduce(lambda a, b: a | b, [F.contains(v, F.lit(w)) for w in words])
+    return any_word(value) if len(words) < 3 else let(value, any_word)
 
 
 def join_filled(separator: str, *values) -> Column:
@@ -99,11 +113,29 @@ def distinct_ignore_case(values) -> Column:
     The pairwise search runs only for arrays that hold a repeated value.
     """
     values = col(values)
-    lowered = F.transform(values, F.lower)
-    repeated = F.size(F.array_distinct(lowered)) < F.size(values)
-    return F.when(
-        repeated, F.filter(values, lambda x, i: F.array_position(lowered, F.lower(x)) == i + 1)
-    ).otherwise(values)
+    repeated = F.size(F.array_distinct(F.transform(values, F.lower))) < F.size(values)
+    found = F.aggregate(
+        values,
+        F.array().cast("array<string>"),
+        lambda kept, x: F.when(F.exists(kept, lambda y: F.lower(y) == F.lower(x)), kept).otherwise(
+            F.array_append(kept, x)
+        ),
+    )
+    return F.when(repeated, found).otherwise(values)
+
+
+def zipped(left, right, names: tuple[str, str]) -> Column:
+    """Array of structs from two arrays of one length."""
+    return F.zip_with(left, right, lambda a, b: F.named_struct(F.lit(names[0]), a, F.lit(names[1]), b))
+
+
+def last_wins(pairs) -> Column:
+    """Map of an array of (k, v) string pairs; a repeated key keeps its last value."""
+    return F.aggregate(
+        pairs,
+        F.create_map().cast("map<string,string>"),
+        lambda m, p: F.map_concat(F.map_filter(m, lambda k, _: k != p["k"]), F.create_map(p["k"], p["v"])),
+    )
 
 
 def filled_items(values) -> Column:
@@ -119,12 +151,15 @@ def split_list(c) -> Column:
 
 def company_from_domain(domain, prefix_pattern: str | None = None) -> Column:
     """A readable company name from a host's first label."""
-    domain = F.coalesce(col(domain), F.lit(""))
-    label = F.split_part(domain, F.lit("."), F.lit(1))
-    if prefix_pattern:
-        label = F.regexp_replace(label, prefix_pattern, "")
-    label = trim_ws(F.regexp_replace(label, "[-_]+", " "))
-    return F.when(label == "", domain).otherwise(upper_first(label))
+
+    def name(host: Column) -> Column:
+        label = F.split_part(host, F.lit("."), F.lit(1))
+        if prefix_pattern:
+            label = F.regexp_replace(label, prefix_pattern, "")
+        words = trim_ws(F.regexp_replace(label, "[-_]+", " "))
+        return F.coalesce(empty_to_null(upper_first(words)), host)
+
+    return let(F.coalesce(col(domain), F.lit("")), name)
 
 
 def company_from_tenant(tenant, domain) -> Column:
@@ -159,8 +194,12 @@ def strip_careers_suffix(c) -> Column:
 
 def title_before_at(c) -> Column:
     """'Role at Company' gives 'Role'; other titles stay."""
-    c = col(c)
-    return F.when(F.contains(c, F.lit(" at ")), trim_ws(F.split_part(c, F.lit(" at "), F.lit(1)))).otherwise(c)
+    return let(
+        col(c),
+        lambda v: F.when(
+            F.contains(v, F.lit(" at ")), trim_ws(F.split_part(v, F.lit(" at "), F.lit(1)))
+        ).otherwise(v),
+    )
 
 
 def company_after_at(c) -> Column:
@@ -210,9 +249,10 @@ def location_candidate(c) -> Column:
         value = F.regexp_replace(value, pattern, "")
     value = trim_ws(F.replace(value, F.lit("**"), F.lit("")))
     value = trim_ws(F.trim(value, F.lit("-:|,.")))
-    return F.when(
-        value.rlike(rules.LOCATION_PROSE) | (F.length(value) > 120), F.lit("")
-    ).otherwise(value)
+    return let(
+        value,
+        lambda v: F.when(v.rlike(rules.LOCATION_PROSE) | (F.length(v) > 120), F.lit("")).otherwise(v),
+    )
 
 
 def looks_like_date(c) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from jobweave import rules
-from jobweave.functions.text import col, is_blank, trim_ws
+from jobweave.functions.text import col, empty_to_null, is_blank, let, trim_ws
 
 
 def normalize_domain(c) -> Column:
@@ -62,7 +62,10 @@ def resolve(base, href) -> Column:
 
     Covers absolute, scheme-relative, root-relative and folder-relative links.
     """
-    base, href = col(base), col(href)
+    return let(col(href), lambda h: let(col(base), lambda b: _resolved(b, h)))
+
+
+def _resolved(base: Column, href: Column) -> Column:
     origin = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
     scheme = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*:)", 1)
     folder = F.regexp_extract(base, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/(?:[^?#]*/)?)", 1)
@@ -77,17 +80,11 @@ def resolve(base, href) -> Column:
 
 def id_from_url(c, system: str) -> Column:
     """Posting id inside a URL; the URL itself when the pattern is absent."""
-    c = col(c)
-    if system == "zohorecruit":
-        found = F.coalesce(
-            F.nullif(F.regexp_extract(c, rules.URL_ID_PATTERNS["zohorecruit_query"], 1), F.lit("")),
-            F.nullif(F.regexp_extract(c, rules.URL_ID_PATTERNS["zohorecruit_path"], 1), F.lit("")),
-        )
-        return F.coalesce(found, c)
-    found = F.nullif(F.regexp_extract(c, rules.URL_ID_PATTERNS[system], 1), F.lit(""))
+    names = ["zohorecruit_query", "zohorecruit_path"] if system == "zohorecruit" else [system]
+    find = lambda v: [empty_to_null(F.regexp_extract(v, rules.URL_ID_PATTERNS[n], 1)) for n in names]
     if system == "successfactors":
-        return found
-    return F.coalesce(found, c)
+        return find(col(c))[0]
+    return let(col(c), lambda v: F.coalesce(*find(v), v))
 
 
 def posting_uuid(c) -> Column:
@@ -111,7 +108,7 @@ def with_query(url, **params) -> Column:
     """URL with query parameters set; present names keep their place, new ones follow."""
     url = col(url)
     base = F.regexp_extract(url, r"^([^?#]*)", 1)
-    query = F.coalesce(F.nullif(F.regexp_extract(url, r"\?([^#]*)", 1), F.lit("")), F.lit(""))
+    query = F.coalesce(F.regexp_extract(url, r"\?([^#]*)", 1), F.lit(""))
     pairs = F.filter(F.split(query, "&"), lambda p: p != "")
     for name, value in params.items():
         pair = F.concat(F.lit(name + "="), F.url_encode(F.lit(value) if isinstance(value, str) else value))
@@ -155,12 +152,12 @@ def _is_absolute(path: Column) -> Column:
 
 
 def workday_job_url(domain, site, external_path) -> Column:
-    path = F.coalesce(col(external_path), F.lit(""))
     head = F.concat(F.lit("https://"), col(domain), F.lit("/en-US/"), col(site))
-    return (
-        F.when(_is_absolute(path), path)
+    return let(
+        F.coalesce(col(external_path), F.lit("")),
+        lambda path: F.when(_is_absolute(path), path)
         .when(F.startswith(path, F.lit("/")), F.concat(head, path))
-        .otherwise(F.concat(head, F.lit("/job/"), path))
+        .otherwise(F.concat(head, F.lit("/job/"), path)),
     )
 
 

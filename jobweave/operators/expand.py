@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from jobweave.functions.location import location_parts, variant_codes
-from jobweave.functions.text import is_blank
+from jobweave.functions.text import is_blank, zipped
 
 
 def with_variants(df: DataFrame, location, reference: str, name: str = "_variants") -> DataFrame:
@@ -16,10 +16,10 @@ def with_variants(df: DataFrame, location, reference: str, name: str = "_variant
     """
     ref, places = F.col(reference), F.col("_places")
     scoped = F.transform(
-        F.arrays_zip(places.alias("p"), variant_codes("_places").alias("c")),
-        lambda z: F.struct(z["p"].alias("location"), F.concat(ref, F.lit(":L"), z["c"]).alias("reference")),
+        zipped(places, variant_codes("_places"), ("p", "c")),
+        lambda z: F.named_struct(F.lit("location"), z["p"], F.lit("reference"), F.concat(ref, F.lit(":L"), z["c"])),
     )
-    same_ref = F.transform(places, lambda p: F.struct(p.alias("location"), ref.alias("reference")))
+    same_ref = F.transform(places, lambda p: F.named_struct(F.lit("location"), p, F.lit("reference"), ref))
     # the list of places is a column of its own, so it is computed once per row
     return (
         df.withColumn("_places", location_parts(location))

@@ -20,8 +20,8 @@ AT = f"TIMESTAMP '{LOADED_AT}'"
 # --- insert ---------------------------------------------------------------------------------
 
 
-def _insert_sql(source: str) -> str:
-    ref = f"""coalesce({s_clean('external_id', 200)}, 'gen-' || left(sha256(concat_ws('|', CAST(seq AS VARCHAR),
+def _insert_sql(source: str, key: str = "CAST(seq AS VARCHAR)") -> str:
+    ref = f"""coalesce({s_clean('external_id', 200)}, 'gen-' || left(sha256(concat_ws('|', {key},
         coalesce(title, ''), coalesce(company, ''), coalesce(location, ''), coalesce(job_url, ''))), 32))"""
     category = s_category("category", "title", "description")
     score = s_it_score("title", "category", "description")

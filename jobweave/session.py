@@ -34,6 +34,7 @@ def local_session(app: str = "jobweave", cores: str = "*", **conf: str) -> Spark
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
     settings = {
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.shuffle.partitions": "8",
         "spark.driver.memory": "12g",
         "spark.python.sql.dataFrameDebugging.enabled": "false",

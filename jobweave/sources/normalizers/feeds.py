@@ -10,7 +10,6 @@ from jobweave.functions.dates import parse_date
 from jobweave.functions.html import (
     clean_text,
     decode_entities_in,
-    job_posting,
     meta,
     posting_company,
     posting_identifier,
@@ -30,6 +29,7 @@ from jobweave.functions.location import (
     or_remote,
 )
 from jobweave.functions.text import (
+    empty_to_null,
     collapse_ws,
     company_after_at,
     company_from_domain,
@@ -39,10 +39,11 @@ from jobweave.functions.text import (
     label_value,
     title_before_at,
     trim_ws,
+    zipped,
 )
 from jobweave.functions.url import id_from_url, posting_uuid, posting_uuid_in_html
 from jobweave.operators.upsert import generated_reference
-from jobweave.sources.normalizers.common import finish, items, us_or_remote, with_detail
+from jobweave.sources.normalizers.common import finish, fixed, items, us_or_remote, with_detail, with_posting
 from jobweave.sources.normalizers.lists import successfactors_json
 
 _RSS = {"rowTag": "rss", "ignoreNamespace": "true"}
@@ -118,10 +119,10 @@ def successfactors(payloads: DataFrame, feeds: DataFrame) -> DataFrame:
 
 
 _POSITION = (
-    "struct<id:string,name:string,office:string,additionalOffices:string,department:string,"
-    "recruitingCategory:string,occupationCategory:string,schedule:string,employmentType:string,"
-    "keywords:string,subcompany:string,publishedAt:string,createdAt:string,"
-    "jobDescriptions:struct<jobDescription:array<struct<name:string,value:string>>>>"
+    "id string,name string,office string,additionalOffices string,department string,"
+    "recruitingCategory string,occupationCategory string,schedule string,employmentType string,"
+    "keywords string,subcompany string,publishedAt string,createdAt string,"
+    "jobDescriptions struct<jobDescription:array<struct<name:string,value:string>>>"
 )
 
 
@@ -130,7 +131,8 @@ def personio(payloads: DataFrame) -> DataFrame:
     raw = F.regexp_extract_all(
         F.coalesce(F.col("body"), F.lit("")), F.lit(r"(?s)<position\b[^>]*>.*?</position>"), F.lit(0)
     )
-    df = items(payloads, raw).withColumn("j", F.from_xml("j", _POSITION.removeprefix("struct<").removesuffix(">"), {"rowTag": "position"}))
+    found = items(payloads, raw).withColumnRenamed("j", "_xml")
+    df = fixed(found, "j", F.from_xml("_xml", _POSITION, {"rowTag": "position"}))
     text = lambda f: clean_text(trim_ws(F.coalesce(_j(f), F.lit(""))))
     df = df.withColumns({"_id": trim_ws(F.coalesce(_j("id"), F.lit(""))), "title": text("name")})
     df = df.filter((F.col("_id") != "") & (F.col("title") != ""))
@@ -140,7 +142,7 @@ def personio(payloads: DataFrame) -> DataFrame:
     plain = decode_entities_in(F.transform(blocks, lambda b: F.regexp_replace(b["value"], rules.ANY_TAG, " ")))
     heads = decode_entities_in(F.transform(blocks, lambda b: b["name"]))
     parts = F.transform(
-        F.arrays_zip(heads.alias("n"), plain.alias("v")),
+        zipped(heads, plain, ("n", "v")),
         lambda z: F.when(
             ~is_blank(z["v"]),
             F.concat(
@@ -174,13 +176,13 @@ def pinpointhq(feeds: DataFrame, details: DataFrame) -> DataFrame:
     df = rss_items(feeds, "title", "link", "pubDate")
     df = df.withColumns({"_title": clean_text(_j("title")), "job_url": clean_text(_j("link"))})
     df = df.filter((F.col("_title") != "") & (F.col("job_url") != ""))
-    df = with_detail(df, details, "job_url", "inner").withColumn("p", job_posting("detail"))
+    df = with_posting(with_detail(df, details, "job_url", "inner"), "detail")
     p = lambda f: F.coalesce(F.col(f"p.{f}"), F.lit(""))
     df = df.withColumns(
         {
             "title": clean_text(first_non_empty(p("title"), "_title")),
             "description": F.coalesce(
-                F.nullif(strip_tags(p("description")), F.lit("")), meta("detail", "description")
+                empty_to_null(strip_tags(p("description"))), meta("detail", "description")
             ),
             "location": first_non_empty(posting_location("p", name_first=True), location_in_title("_title")),
             "_uuid": posting_uuid(

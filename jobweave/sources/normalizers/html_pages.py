@@ -23,7 +23,6 @@ from jobweave.functions.html import (
     first_of,
     h1,
     job_links,
-    job_posting,
     job_postings,
     json_string_field,
     meta,
@@ -60,7 +59,7 @@ from jobweave.functions.text import (
 from jobweave.functions.url import id_from_url, resolve, title_from_url
 from jobweave.operators.dedupe import cap_per_group, dedupe_source
 from jobweave.operators.filters import login_wall
-from jobweave.sources.normalizers.common import CONTEXT, context, finish, items, us_or_remote, with_detail
+from jobweave.sources.normalizers.common import CONTEXT, context, finish, items, us_or_remote, with_detail, with_posting
 
 TEXT_LENGTH = 5000  # longest page text the two text-only sources keep
 
@@ -76,9 +75,10 @@ def page_text(html) -> Column:
 
 def _pages(details: DataFrame) -> DataFrame:
     """Detail pages as rows: the page's URL is the posting's."""
-    return context(details).select(
+    pages = context(details).select(
         *CONTEXT, F.lit(0).alias("pos"), F.col("url").alias("job_url"), F.col("body").alias("html")
-    ).withColumn("p", job_posting("html"))
+    )
+    return with_posting(pages, "html")
 
 
 def _p(name: str) -> Column:
@@ -149,7 +149,7 @@ def icims(details: DataFrame) -> DataFrame:
     """IT postings only: by the title in the URL before the page is read, then by the page."""
     df = context(details).filter(is_it(title_from_url("url", "icims"), F.lit("")))
     df = df.select(*CONTEXT, F.lit(0).alias("pos"), F.col("url").alias("job_url"), F.col("body").alias("html"))
-    df = df.withColumn("p", job_posting("html", use_graph=False))
+    df = with_posting(df, "html", use_graph=False)
     df = df.withColumns(
         {
             "title": F.coalesce(

@@ -9,7 +9,6 @@ from jobweave.functions.dates import parse_date
 from jobweave.functions.html import (
     clean_text,
     decode_entities_in,
-    job_posting,
     meta,
     posting_job_type,
     posting_location,
@@ -19,6 +18,7 @@ from jobweave.functions.ids import scoped_id, site_scoped_id
 from jobweave.functions.jsonv import as_items, id_name_map, object_field, scalar, sections_text
 from jobweave.functions.location import country_name, is_us, join_places, or_remote, place
 from jobweave.functions.text import (
+    empty_to_null,
     collapse_ws,
     company_from_domain,
     contains_any,
@@ -28,10 +28,11 @@ from jobweave.functions.text import (
     is_blank,
     keep_if_filled,
     trim_ws,
+    zipped,
 )
 from jobweave.functions.url import domain_from_url, oracle_detail_url, oracle_job_url
 from jobweave import rules
-from jobweave.sources.normalizers.common import finish, items, json_list, us_or_remote, with_detail
+from jobweave.sources.normalizers.common import finish, fixed, items, json_list, us_or_remote, with_detail, with_posting
 from jobweave.sources.normalizers.lists import _struct, _t
 
 
@@ -67,9 +68,8 @@ def smartrecruiters(payloads: DataFrame, details: DataFrame) -> DataFrame:
         F.url_encode(F.coalesce(_t("id"), _t("uuid"))),
     )
     df = df.withColumn("_detail_url", F.coalesce(keep_if_filled(_t("ref")), built))
-    df = with_detail(df, details, "_detail_url").withColumn(
-        "j", F.coalesce(F.from_json("detail", _SR), F.col("j"))
-    )
+    df = with_detail(df, details, "_detail_url").withColumnRenamed("j", "_listed")
+    df = fixed(df, "j", F.coalesce(F.from_json("detail", _SR), F.col("_listed")))
     df = df.withColumn("location", _sr_location(F.col("j.location")))
     df = us_or_remote(df.withColumn("is_remote", _sr_remote(F.col("j.location"), "location")))
     # section texts are decoded as one array, outside the higher-order function
@@ -80,8 +80,8 @@ def smartrecruiters(payloads: DataFrame, details: DataFrame) -> DataFrame:
     rebuilt = F.map_from_arrays(
         F.map_keys(sections),
         F.transform(
-            F.arrays_zip(F.map_values(sections).alias("s"), texts.alias("t")),
-            lambda z: F.struct(z["s"]["title"].alias("title"), z["t"].alias("text")),
+            zipped(F.map_values(sections), texts, ("s", "t")),
+            lambda z: F.named_struct(F.lit("title"), z["s"]["title"], F.lit("text"), z["t"]),
         ),
     )
     labels = distinct_ignore_case(
@@ -151,7 +151,7 @@ def oraclecloud(payloads: DataFrame, details: DataFrame) -> DataFrame:
     df = us_or_remote(df.withColumn("location", or_remote("location", F.col("is_remote"))))
     df = df.withColumn("_detail_url", oracle_detail_url("domain", "site", "_id"))
     df = with_detail(df, details, "_detail_url")
-    df = df.withColumn("d", F.get(F.from_json("detail", f"struct<items:array<{_DETAIL}>>")["items"], F.lit(0)))
+    df = fixed(df, "d", F.get(F.from_json("detail", f"struct<items:array<{_DETAIL}>>")["items"], F.lit(0)))
     d = lambda f: F.coalesce(F.col(f"d.{f}"), F.lit(""))
     long_text = strip_tags(
         F.concat_ws(
@@ -229,7 +229,7 @@ def bamboohr(payloads: DataFrame, details: DataFrame) -> DataFrame:
     )
     df = df.withColumn("_detail_url", _https(F.col("domain"), F.lit("/careers/"), F.col("_id"), F.lit("/detail")))
     df = with_detail(df, details, "_detail_url", "inner")
-    df = df.withColumn("d", F.from_json("detail", f"struct<result:struct<jobOpening:{opening}>>")["result"]["jobOpening"])
+    df = fixed(df, "d", F.from_json("detail", f"struct<result:struct<jobOpening:{opening}>>")["result"]["jobOpening"])
     df = df.filter(F.col("d").isNotNull())
     d = lambda f: F.col(f"d.{f}")
     df = df.withColumns(
@@ -300,7 +300,7 @@ def applicantpro(payloads: DataFrame, details: DataFrame) -> DataFrame:
         }
     )
     df = with_detail(df, details, "_detail_url")
-    df = df.withColumn("d", F.from_json("detail", f"struct<data:{_AP}>")["data"])
+    df = fixed(df, "d", F.from_json("detail", f"struct<data:{_AP}>")["data"])
     df = df.withColumns(
         {
             "title": clean_text(first_non_empty("d.title", "_title")),
@@ -362,7 +362,7 @@ def breezyhr(payloads: DataFrame, details: DataFrame) -> DataFrame:
     several = join_places(decode_entities_in(many), " | ", limit=4)
     df = df.withColumn(
         "_where",
-        F.coalesce(F.nullif(several, F.lit("")), clean_text(_breezy_place(F.col("j.location")))),
+        F.coalesce(empty_to_null(several), clean_text(_breezy_place(F.col("j.location")))),
     )
     company = F.when(F.startswith("j.company", F.lit("{")), F.get_json_object("j.company", "$.name"))
     kind = F.when(
@@ -382,13 +382,13 @@ def breezyhr(payloads: DataFrame, details: DataFrame) -> DataFrame:
         }
     )
     df = df.filter(is_us("_where") | F.col("_remote"))
-    df = with_detail(df, details, "job_url").withColumn("p", job_posting("detail"))
+    df = with_posting(with_detail(df, details, "job_url"), "detail")
     p = lambda f: F.coalesce(F.col(f"p.{f}"), F.lit(""))
     df = df.withColumns(
         {
             "title": first_non_empty(p("title"), "_title"),
             "description": F.coalesce(
-                F.nullif(strip_tags(p("description")), F.lit("")), meta("detail", "description")
+                empty_to_null(strip_tags(p("description"))), meta("detail", "description")
             ),
             "location": first_non_empty(posting_location("p", add_name=True), "_where"),
         }

@@ -33,6 +33,7 @@ from jobweave.functions.jsonv import (
 )
 from jobweave.functions.location import country_name, geo_allowed, is_us, join_places, or_remote, place
 from jobweave.functions.text import (
+    empty_to_null,
     blank_to_null,
     company_from_domain,
     contains_any,
@@ -423,7 +424,7 @@ def successfactors_json(payloads: DataFrame) -> DataFrame:
                 "title": first("title", "jobTitle", "name"),
                 "company": F.col("company_name"),
                 "description": strip_tags_loose(first("description", "jobDescription")),
-                "job_url": F.coalesce(F.nullif(first("url", "jobUrl", "applyUrl"), F.lit("")), own),
+                "job_url": F.coalesce(empty_to_null(first("url", "jobUrl", "applyUrl")), own),
                 "is_remote": _has("location", "remote"),
                 "date_posted": parse_date(first("postedDate", "postingDate", "datePosted")),
             }

@@ -20,7 +20,7 @@ from jobweave.functions.text import (
 from jobweave.functions.url import workday_api_url, workday_detail_url, workday_job_url
 from jobweave.schema import EXPORT_COLUMNS
 from jobweave.operators.dedupe import cap_per_group
-from jobweave.sources.normalizers.common import finish, json_list, us_or_remote, with_detail
+from jobweave.sources.normalizers.common import finish, fixed, json_list, us_or_remote, with_detail
 from jobweave.sources.normalizers.lists import _struct, _t
 
 _POSTING = _struct("title", "externalPath", "locationsText", "location", "postedOn", "startDate", "jobReqId",
@@ -96,7 +96,7 @@ def workday(payloads: DataFrame, details: DataFrame, as_of="1970-01-01") -> Data
     ``as_of`` is the day relative dates count from, usually the capture day.
     """
     df = us_or_remote(_listed(payloads).filter(~is_blank("title")))
-    df = with_detail(df, details, "detail_api_url").withColumn("d", F.from_json("detail", _DETAIL))
+    df = fixed(with_detail(df, details, "detail_api_url"), "d", F.from_json("detail", _DETAIL))
     reference = first_non_empty(_detail_reference(0), _detail_reference(1))
     listed_date = relative_date(first_non_empty(_t("startDate"), _t("postedOn")), as_of)
     return finish(
@@ -117,9 +117,8 @@ def workday(payloads: DataFrame, details: DataFrame, as_of="1970-01-01") -> Data
 
 def workday_tenants(payloads: DataFrame, details: DataFrame, as_of="1970-01-01") -> DataFrame:
     """The older per-tenant form: every posting, dates from the detail first."""
-    df = with_detail(_listed(payloads), details, "detail_api_url").withColumn(
-        "d", F.from_json("detail", _DETAIL)
-    )
+    df = with_detail(_listed(payloads), details, "detail_api_url")
+    df = fixed(df, "d", F.from_json("detail", _DETAIL))
     info = lambda f: scalar(F.col(f"d.jobPostingInfo.{f}"))
     posted = first_non_empty(info("startDate"), _t("startDate"), info("postedOn"), _t("postedOn"))
     return finish(
@@ -153,7 +152,7 @@ def workday_export(payloads: DataFrame, details: DataFrame, as_of="1970-01-01",
     )
     df = df.join(right, df["detail_api_url"] == right["_url"], "left").drop("_url")
     readable = F.when(F.col("_status").rlike("^2"), F.col("detail"))
-    df = df.withColumn("d", F.from_json(readable, _DETAIL))
+    df = fixed(df, "d", F.from_json(readable, _DETAIL))
     # from_json gives an all-NULL struct for a broken body; such a body is an error
     broken = F.col("_status").rlike("^2") & F.try_parse_json("detail").isNull()
     has_posting = F.when(~broken, F.col("d.jobPostingInfo").isNotNull())
