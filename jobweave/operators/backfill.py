@@ -18,6 +18,7 @@ from jobweave.operators.dedupe import first_per_key, last_per_keys
 from jobweave.operators.expand import with_variants
 from jobweave.operators.filters import has_unsafe_city, is_multi_location
 from jobweave.operators.keys import any_key_winner, key_entries
+from jobweave.operators.rows import fixed
 from jobweave.schema import LENGTHS, REFRESH_CATEGORY_LENGTH, TABLE_COLUMNS
 
 # a repair job needs (row_id, order): a unique id and the scan order of the table
@@ -120,17 +121,23 @@ def _insert_variants(rows: DataFrame, target: DataFrame, inserted_at, row_id: st
     return fresh.select(*[new.get(c, F.col(c)).alias(c) for c in target.columns])
 
 
+def _with_action(df: DataFrame, action: Column, to: Column) -> DataFrame:
+    do = F.struct(action.alias("action"), to.alias("to"), F.col("_variants").alias("variants"))
+    return fixed(df, "_do", do)
+
+
 def _apply(target: DataFrame, acted: DataFrame, inserted_at, row_id: str, order: str) -> DataFrame:
-    """``acted`` is the whole table with ``_action`` (keep, place, clear, expand), ``_to``
-    (new location) and ``_variants``."""
-    action = F.col("_action")
+    """``acted`` is the whole table with ``_do``: the action (keep, place, clear, expand), the
+    new location and the variants."""
+    action = F.col("_do.action")
     new = {}
-    for c, value in _place_columns(F.col("_to")).items():
+    for c, value in _place_columns(F.col("_do.to")).items():
         new[c] = F.when(action == "place", value).otherwise(F.col(c))
     for c in ("city", "state"):
         new[c] = F.when(action == "clear", F.lit(None)).otherwise(new[c])
     stay = acted.filter(action != "expand").select(*[new.get(c, F.col(c)).alias(c) for c in target.columns])
-    added = _insert_variants(acted.filter(action == "expand"), target, inserted_at, row_id, order)
+    expanded = acted.filter(action == "expand").withColumn("_variants", F.col("_do.variants"))
+    added = _insert_variants(expanded, target, inserted_at, row_id, order)
     return stay.unionByName(added)
 
 
@@ -144,22 +151,17 @@ def backfill_variants(target: DataFrame, inserted_at, row_id: str = "row_id", or
     """
     listed = has_separator("_source")
     n = F.size("_variants")
-    sourced = target.withColumn("_source", expansion_source("Location", "city"))
-    acted = (
-        with_variants(sourced, "_source", "job_reference")
-        .withColumn(
-            "_action",
-            F.when(~is_multi_location(), "keep")
-            .when(~listed, F.when(F.length("city") > 50, "place").otherwise("keep"))
-            .when(n == 0, "keep")
-            .when(n == 1, "place")
-            .when(is_blank("job_reference"), "keep")
-            .otherwise("expand"),
-        )
-        .withColumn(
-            "_to", F.when(listed, F.get("_variants", F.lit(0))["location"]).otherwise(F.col("_source"))
-        )
+    sourced = fixed(target, "_source", expansion_source("Location", "city"))
+    action = (
+        F.when(~is_multi_location(), "keep")
+        .when(~listed, F.when(F.length("city") > 50, "place").otherwise("keep"))
+        .when(n == 0, "keep")
+        .when(n == 1, "place")
+        .when(is_blank("job_reference"), "keep")
+        .otherwise("expand")
     )
+    to = F.when(listed, F.get("_variants", F.lit(0))["location"]).otherwise(F.col("_source"))
+    acted = _with_action(with_variants(sourced, "_source", "job_reference"), action, to)
     return _apply(target, acted, inserted_at, row_id, order)
 
 
@@ -170,19 +172,18 @@ def cleanup_cities(target: DataFrame, inserted_at, row_id: str = "row_id", order
     variants (not without a reference: such a row stays).
     """
     n = F.size("_variants")
-    acted = (
-        with_variants(target, cleanup_source("Location", "city"), "job_reference", "_all")
-        .withColumn("_variants", F.filter("_all", lambda v: safe_city(city_of(v["location"]))))
-        .withColumn(
-            "_action",
-            F.when(~has_unsafe_city(), "keep")
-            .when(n == 0, "clear")
-            .when(n == 1, "place")
-            .when(is_blank("job_reference"), "keep")
-            .otherwise("expand"),
-        )
-        .withColumn("_to", F.get("_variants", F.lit(0))["location"])
+    action = (
+        F.when(~has_unsafe_city(), "keep")
+        .when(n == 0, "clear")
+        .when(n == 1, "place")
+        .when(is_blank("job_reference"), "keep")
+        .otherwise("expand")
     )
+    listed = with_variants(target, cleanup_source("Location", "city"), "job_reference", "_all")
+    safe = F.filter("_all", lambda v: safe_city(city_of(v["location"])))
+    # only rows with an unsafe city need their places checked
+    checked = fixed(listed, "_variants", F.when(has_unsafe_city(), safe).otherwise(F.col("_all")))
+    acted = _with_action(checked, action, F.get("_variants", F.lit(0))["location"])
     return _apply(target, acted, inserted_at, row_id, order)
 
 

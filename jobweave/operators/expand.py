@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from jobweave.functions.location import location_parts, variant_codes
-from jobweave.functions.text import is_blank, zipped
+from jobweave.functions.text import is_blank, let, zipped
+from jobweave.operators.rows import fixed
 
 
 def with_variants(df: DataFrame, location, reference: str, name: str = "_variants") -> DataFrame:
@@ -20,9 +21,8 @@ def with_variants(df: DataFrame, location, reference: str, name: str = "_variant
         lambda z: F.named_struct(F.lit("location"), z["p"], F.lit("reference"), F.concat(ref, F.lit(":L"), z["c"])),
     )
     same_ref = F.transform(places, lambda p: F.named_struct(F.lit("location"), p, F.lit("reference"), ref))
-    # the list of places is a column of its own, so it is computed once per row
     return (
-        df.withColumn("_places", location_parts(location))
+        fixed(df, "_places", location_parts(location))
         .withColumn(name, F.when((F.size("_places") <= 1) | is_blank(ref), same_ref).otherwise(scoped))
         .drop("_places")
     )
@@ -33,7 +33,7 @@ def expand_locations(df: DataFrame, location="location", reference="external_id"
     keep = F.array(F.struct(F.col(location).alias("location"), F.col(reference).alias("reference")))
     rows = with_variants(df, location, reference).select(
         *[F.col(c) for c in df.columns if c != "part"],
-        F.posexplode(F.when(F.size("_variants") > 0, F.col("_variants")).otherwise(keep)).alias("_part", "_v"),
+        F.posexplode(let(F.col("_variants"), lambda v: F.when(F.size(v) > 0, v).otherwise(keep))).alias("_part", "_v"),
     )
     out = {location: F.col("_v.location"), reference: F.col("_v.reference"), "part": F.col("_part")}
     columns = df.columns if "part" in df.columns else [*df.columns, "part"]

@@ -26,11 +26,10 @@ FILLED = [
 OVERWRITTEN = {"Isremote": "Isremote", "IsIT": "IsIT", "ITScore": "ITScore", "inserteddate": "last_seen"}
 
 
-def prepare(jobs: DataFrame) -> DataFrame:
-    """Set the IT flags and the normalised category before a write."""
-    return with_it_flags(jobs).withColumn(
-        "category", normalize_category("category", "title", "description")
-    )
+def prepare(jobs: DataFrame, classified: bool = False) -> DataFrame:
+    """Set the IT flags (unless a batch step did) and the normalised category."""
+    flagged = jobs if classified else with_it_flags(jobs)
+    return flagged.withColumn("category", normalize_category("category", "title", "description"))
 
 
 def _timestamp(value) -> Column:
@@ -207,15 +206,15 @@ def refresh(target: DataFrame, staged: DataFrame, row_id: str = "row_id") -> Dat
 
 
 def upsert(target: DataFrame, duplicates: DataFrame, fresh: DataFrame, as_of,
-           row_key: Sequence[str] = ("seq",), row_id: str = "row_id") -> DataFrame:
+           row_key: Sequence[str] = ("seq",), row_id: str = "row_id", classified: bool = False) -> DataFrame:
     """The stored table after refreshing ``duplicates`` and inserting ``fresh``.
 
     Both inputs are standard postings.  A new row's id is 'new:<reference>': its
     reference is in neither the table nor another new row.
     """
     # the staged rows feed three match sides and the update itself
-    staged = cut_lineage(dedupe_stage(stage(prepare(duplicates), as_of, row_key)), "stage")
-    new_rows = insert_rows(prepare(fresh), as_of, row_key)
+    staged = cut_lineage(dedupe_stage(stage(prepare(duplicates, classified), as_of, row_key)), "stage")
+    new_rows = insert_rows(prepare(fresh, classified), as_of, row_key)
     ids = F.concat(F.lit("new:"), F.col("job_reference"))
     updated = refresh(target, staged, row_id)
     return updated.select(row_id, *TABLE_COLUMNS).unionByName(

@@ -56,7 +56,7 @@ def ingest(postings: DataFrame, target: DataFrame, as_of, limit: int | None = No
     fresh = split.filter(F.col("status") == dedupe.NEW).drop("status")
     if limit is not None:
         known, fresh = take_first(known, limit, *IN_ORDER), take_first(fresh, limit, *IN_ORDER)
-    updated = upsert.upsert(target, known, fresh, as_of, IN_ORDER)
+    updated = upsert.upsert(target, known, fresh, as_of, IN_ORDER, classified=True)
     # new rows are classified; only stored rows can lack flags, in their scan order
     ordered = updated.join(target.select(ROW_ID, "row_order"), ROW_ID, "left")
     filled = backfill_it_flags(ordered.withColumn("row_order", F.coalesce("row_order", F.lit(-1))))

@@ -8,6 +8,7 @@ from jobweave import rules
 from jobweave.functions.html import job_postings
 from jobweave.functions.location import is_us
 from jobweave.operators.dedupe import cap_per_group, dedupe_source
+from jobweave.operators.rows import fixed  # noqa: F401  (used by the normalisers)
 from jobweave.schema import JOBS_STD, conform
 from jobweave.sources.payloads import succeeded
 
@@ -46,15 +47,6 @@ def json_list(payloads: DataFrame, item: str, *path: str) -> DataFrame:
     return items(payloads, parsed)
 
 
-def fixed(df: DataFrame, name: str, value: Column) -> DataFrame:
-    """Add a column that is computed once per row.
-
-    Later filters on values derived from it would otherwise be pushed below a plain
-    column and compute it again, once per use.
-    """
-    return df.select("*", F.explode(F.array(value)).alias(name))
-
-
 def with_posting(df: DataFrame, html: str, use_graph: bool = True) -> DataFrame:
     """Add ``p``, the first JSON-LD posting of a page, or NULL."""
     first = F.slice(job_postings(html, use_graph), 1, 1)
