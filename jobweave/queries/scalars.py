@@ -189,7 +189,9 @@ _on("meta_tag", "pages", "page_id", "'v' || page_id AS v, 'v' || page_id AS w, '
 _H1 = "regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1)"
 _H1_TEXT = f"regexp_replace(replace(regexp_replace({_H1}, '<[^>]+>', ' ', 'g'), '&amp;', '&'), '{_WS}+', ' ', 'g')"
 _on("h1_title", "pages", "page_id", f"{s_trim(_H1_TEXT)} AS v", v=lambda: html.h1("html"))
-_on("page_title", "pages", "page_id", None, v=lambda: html.page_title("html"))
+_HEAD = "regexp_extract(html, '(?is)<(?:h1|h2|title)[^>]*>(.*?)</(?:h1|h2|title)>', 1)"
+_HEAD_TEXT = f"regexp_replace({_s_decode("regexp_replace(" + _HEAD + ", '<[^>]+>', ' ', 'g')")}, '{_WS}+', ' ', 'g')"
+_on("page_title", "pages", "page_id", f"{s_trim(_HEAD_TEXT)} AS v", v=lambda: html.page_title("html"))
 _on(
     "job_links", "pages", "page_id",
     f"[{_ORIGIN} || '/jobs/' || page_id || '/x/job', 'https://o.p/jobs/2/job'] AS icims, [{_ORIGIN} || '/apply/A' || page_id] AS jazzhr, [{_ORIGIN} || '/careers/9/jobs/1'] AS catsone",
@@ -352,7 +354,11 @@ _on("availability", "jobs", "seq",
     v=lambda: classify.availability(F.expr("CASE o_orderstatus WHEN 'F' THEN 200 WHEN 'O' THEN 404 ELSE 500 END"), F.lit(True), "category"),
     w=lambda: classify.availability(F.when(F.col("category") != "", F.lit(429)), F.lit(None).cast("boolean"), F.lit("")),
     x=lambda: classify.availability(F.lit(200), F.lit(False), F.lit("")))
-_on("tenant_priority", "part", "p_partkey", None, v=lambda: classify.tenant_priority(F.replace("p_name", F.lit(" "), F.lit("-"))))
+_COMPACT = "regexp_replace(lower(p_name), '[^a-z0-9]+', '', 'g')"
+_HITS = [(w, 3) for w in rules.IT_TENANT_SIGNALS] + [(w, -4) for w in rules.NON_IT_TENANT_SIGNALS]
+_POINTS = " + ".join(f"CASE WHEN contains({_COMPACT}, {q(w)}) THEN {n} ELSE 0 END" for w, n in _HITS)
+_on("tenant_priority", "part", "p_partkey",
+    f"CAST({_POINTS} + CASE WHEN {s_match(_COMPACT, rules.PREFERRED_TENANTS)} THEN 5 ELSE 0 END + CASE WHEN {s_match(_COMPACT, rules.AVOIDED_TENANTS)} THEN -5 ELSE 0 END AS INTEGER) AS v", v=lambda: classify.tenant_priority(F.replace("p_name", F.lit(" "), F.lit("-"))))
 
 # --- locations --------------------------------------------------------------------------------------------------------------
 
