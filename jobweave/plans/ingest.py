@@ -38,8 +38,11 @@ class Ingest:
 
 
 def prepare_batch(postings: DataFrame) -> DataFrame:
-    """Expanded and classified batch; the location filter was applied per source."""
-    return with_it_flags(expand.expand_locations(postings))
+    """Classified and expanded batch; the location filter was applied per source.
+
+    The class does not depend on the location, so it is set once per posting.
+    """
+    return expand.expand_locations(with_it_flags(postings))
 
 
 def ingest(postings: DataFrame, target: DataFrame, as_of, limit: int | None = None) -> Ingest:
