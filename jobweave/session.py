@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,14 +47,12 @@ def local_session(app: str = "jobweave", cores: str = "*", **conf: str) -> Spark
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder for intermediate files, below the one the cluster names.
 
-    Only a local session may fall back to a temporary folder of the machine.
+    That is ``spark.checkpoint.dir``; where it is unset, the warehouse, which driver and
+    executors share as well.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        shared = tempfile.mkdtemp(prefix="jobweave-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_intermediate"
     return f"{shared.rstrip('/')}/jobweave-{name}-{uuid.uuid4().hex}"
 
 
