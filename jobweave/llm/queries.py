@@ -7,13 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobweave.llm import simhash
-from jobweave.llm.common import prepare, table
+from jobweave.llm import dac, decontaminate, mixing, simhash
+from jobweave.llm.common import prepare, shared_folder, table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_QUERY_SQL: dict[str, str] = {}
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """Where the public tokenizers are installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def llm_query(name: str, sql: str | None = None):
     def add(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
         LLM_QUERIES[name] = lambda spark, sf_dir: fn(prepare(spark), sf_dir)
@@ -29,3 +36,54 @@ def op2_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.fingerprint_hex("fp").alias("fingerprint"), "component_id")
+
+
+_SQL_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_SQL_WORDS = f"regexp_extract_all({_SQL_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+#: Windows of documents, as strings, joined to the windows of items.
+JUDGE_SQL = f"""
+WITH item AS (SELECT item_id, {_SQL_WORDS} AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, least(len(w), 13) AS n,
+         unnest(list_transform(range(1, greatest(len(w) - 12, 1) + 1), lambda i: array_to_string(w[i:i + 12], ' '))) AS g
+  FROM item WHERE len(w) > 0),
+doc AS (SELECT row_number() OVER () AS rid, doc_id, {_SQL_WORDS} AS w FROM {{documents}}),
+lens AS (SELECT DISTINCT n FROM win),
+scan AS (
+  SELECT rid, n, unnest(range(1, len(w) - n + 2)) AS s,
+         unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) AS g
+  FROM doc, lens WHERE len(w) >= n),
+hit AS (SELECT DISTINCT rid, s, n, item_id FROM scan JOIN win USING (n, g)),
+covered AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(s, s + n)) AS p FROM hit) GROUP BY rid),
+items AS (
+  SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS item FROM hit WHERE item_id IS NOT NULL) GROUP BY rid),
+judged AS (
+  SELECT rid, doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+         CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+         coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+  FROM doc LEFT JOIN covered USING (rid) LEFT JOIN items USING (rid))
+"""
+
+
+@llm_query("op4_decontaminate", JUDGE_SQL.format(documents="documents") + "SELECT doc_id, n_words, n_hit, n_items, items_sha256, contaminated FROM judged")
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much of every document lies in windows of benchmark items."""
+    judged = decontaminate.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    listed = F.sha2(F.concat_ws(",", "items"), 256)
+    return judged.select("doc_id", "n_words", "n_hit", "n_items", listed.alias("items_sha256"), "contaminated")
+
+
+@llm_query("op5_mixture", mixing.MIX_SQL.format(documents="documents") + mixing.MIX_RESULT_SQL)
+def op5_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which documents a weighted mixture takes, and how often."""
+    return mixing.select_documents(table(spark, sf_dir, "documents"))
+
+
+@llm_query("op8_token_codes")
+def op8_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place, length and checksum, read back from the token file."""
+    path = shared_folder(spark, "tokens")
+    dac.write_tokens(table(spark, sf_dir, "documents"), path, tokenizer_path())
+    return dac.read_documents(spark, path)
