@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobweave.llm import dac, decontaminate, mixing, simhash
-from jobweave.llm.common import prepare, shared_folder, table
+from jobweave.llm import dac, decontaminate, mixing, quality, simhash
+from jobweave.llm.common import held_out, prepare, shared_folder, table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_QUERY_SQL: dict[str, str] = {}
@@ -31,6 +31,16 @@ def llm_query(name: str, sql: str | None = None):
     return add
 
 
+@llm_query("op1_quality_fm")
+def op1_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    docs = table(spark, sf_dir, "documents")
+    machine = quality.fit(docs, table(spark, sf_dir, "labels"))
+    scored = quality.with_score(docs.select("doc_id", "text"), machine)
+    predicted = (F.col("score") >= quality.THRESHOLD).cast("int")
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", predicted.alias("predicted"))
+
+
 @llm_query("op2_simhash_pivots")
 def op2_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
