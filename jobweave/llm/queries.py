@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobweave.llm import dac, decontaminate, mixing, quality, simhash
+from jobweave.llm import dac, decontaminate, mixing, quality, simhash, toxicity
 from jobweave.llm.common import held_out, prepare, shared_folder, table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,6 +91,16 @@ def op5_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.select_documents(table(spark, sf_dir, "documents"))
 
 
+@llm_query("op7_toxicity_lexicon")
+def op7_toxicity_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    docs = table(spark, sf_dir, "documents")
+    lexicon = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.with_score(docs.select("doc_id", "text"), lexicon)
+    predicted = (F.col("score") >= toxicity.THRESHOLD).cast("int")
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", predicted.alias("predicted"))
+
+
 @llm_query("op8_token_codes")
 def op8_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place, length and checksum, read back from the token file."""
