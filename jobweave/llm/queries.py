@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobweave.llm import dac, decontaminate, mixing, quality, simhash, toxicity
+from jobweave.llm import dac, decontaminate, mixing, quality, simhash, toxicity, warc
 from jobweave.llm.common import held_out, prepare, shared_folder, table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,3 +107,23 @@ def op8_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "tokens")
     dac.write_tokens(table(spark, sf_dir, "documents"), path, tokenizer_path())
     return dac.read_documents(spark, path)
+
+
+@llm_query(
+    "op10_warc",
+    """
+    WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b, sha256(coalesce(html, '')) AS h FROM pages),
+    f AS (SELECT h, min(page_id) AS first_id FROM p WHERE octet_length(b) >= 100 GROUP BY h)
+    SELECT page_id, CAST(octet_length(b) AS BIGINT) AS payload_bytes, h AS payload_digest,
+           CASE WHEN page_id <> coalesce(first_id, page_id) THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+    FROM p LEFT JOIN f USING (h)
+    """,
+)
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's record, read back from the archives."""
+    path = shared_folder(spark, "warc")
+    warc.write_archives(warc.plan_records(table(spark, sf_dir, "pages")), path)
+    read = warc.read_archives(spark, path)
+    ids = [F.col(c).cast("long").alias(c) for c in ("page_id", "refers_to")]
+    return read.select(ids[0], "payload_bytes", "payload_digest", "record_type", ids[1])
