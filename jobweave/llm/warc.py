@@ -124,22 +124,22 @@ def describe(fields: dict[bytes, bytes], block: bytes) -> dict:
 
 
 _INFO = "record_type string, page_id string, refers_to string, uri string, payload_bytes long, payload_digest string"
-_SCAN = f"kind string, file string, block long, at long, whole boolean, {_INFO}, starts binary, nexts binary, total long"
+_SCAN = f"kind string, file string, block long, at long, whole boolean, {_INFO}, starts binary, nexts binary, length long, total long, last long"
 
 
-def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, int, bytes]]:
-    """(file, split, offset, piece): offsets are from the first piece of the split, without the
-    magic, which the separator holds."""
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, int, int, bytes]]:
+    """(file, split, its length, offset, piece): offsets are from the first piece of the split,
+    without the magic, which the separator holds."""
     split, at = None, 0
     for batch in rows_of(batches):
-        files, blocks = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+        files, blocks, lengths = (batch.column(k).to_pylist() for k in (1, 2, 3))
         for i in range(batch.num_rows):
             piece = batch.column(0)[i].as_py()
             if split != (files[i], blocks[i]):
                 split, at = (files[i], blocks[i]), 0
                 if blocks[i] == 0:  # the file's own magic comes without a separator
                     piece = piece[len(MAGIC) :] if piece.startswith(MAGIC.encode()) else b""
-            yield *split, at, piece
+            yield *split, lengths[i], at, piece
             at += len(piece) + len(SEPARATOR)
 
 
@@ -148,17 +148,17 @@ def _scan(schema: pa.Schema):
         rows: list[dict] = []
         starts: list[int] = []
         nexts: list[int] = []
-        split, upto = None, 0
+        split, length, last, upto = None, 0, 0, 0
 
         def close() -> dict:
             pack = lambda x: np.array(x, dtype="<i8").tobytes()
-            return {"kind": "split", "file": split[0], "block": split[1], "starts": pack(starts), "nexts": pack(nexts), "total": upto}
+            return {"kind": "split", "file": split[0], "block": split[1], "starts": pack(starts), "nexts": pack(nexts), "length": length, "total": upto, "last": last}
 
-        for file, block, at, piece in _pieces(batches):
+        for file, block, size_of, at, piece in _pieces(batches):
             if split is not None and split != (file, block):
                 rows.append(close())
                 starts, nexts = [], []
-            split, upto = (file, block), at + len(piece) + len(SEPARATOR)
+            split, length, last, upto = (file, block), size_of, at, at + len(piece) + len(SEPARATOR)
             row = {"kind": "piece", "file": file, "block": block, "at": at, "whole": False}
             found = parse(piece)
             if found:
@@ -180,11 +180,31 @@ def _scan(schema: pa.Schema):
     return run
 
 
+def _place(frame: pd.DataFrame) -> pd.DataFrame:
+    """Where each split's first piece lies in its file, and ``until``: the split's pieces before
+    this offset are its own.
+
+    The line reader goes on for one piece more if a split ends on bytes that a separator could
+    begin with.  If no separator is there, the next split reads that piece too.  A split owns no
+    piece whose separator begins at or beyond the split's end, so such a last piece is left to
+    the next split.
+    """
+    frame = frame.sort_values("block")
+    bases, untils, base = [], [], 0
+    for i, (block, length, total, last) in enumerate(frame[["block", "length", "total", "last"]].itertuples(index=False)):
+        extra = i + 1 < len(frame) and base + last + len(MAGIC) - len(SEPARATOR) >= block + length
+        bases.append(base)
+        untils.append(last if extra else total)
+        base += untils[-1]
+    return frame.assign(base=bases, until=untils)[["file", "block", "base", "until"]]
+
+
 def _exits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """For each candidate, where its chain leaves the split; offsets are the file's."""
     for frame in batches:
-        for file, block, base, starts, nexts in frame.itertuples(index=False):
+        for file, block, base, until, starts, nexts in frame.itertuples(index=False):
             own, after = np.frombuffer(starts, "<i8"), np.frombuffer(nexts, "<i8")
+            own, after = own[own < until], after[own < until]
             leave: dict[int, int] = {}
             for a, b in zip(own[::-1].tolist(), after[::-1].tolist()):
                 leave[a] = leave.get(b, b)
@@ -194,19 +214,18 @@ def _exits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The candidates that the chain from a split's entry reaches."""
     for frame in batches:
-        for file, block, base, starts, nexts, entry in frame.itertuples(index=False):
+        for file, block, base, until, starts, nexts, entry in frame.itertuples(index=False):
             step = dict(zip(np.frombuffer(starts, "<i8").tolist(), np.frombuffer(nexts, "<i8").tolist()))
             at, found = int(entry - base), []
-            while at in step:
+            while at in step and at < until:
                 found.append(at)
                 at = step[at]
             yield pd.DataFrame({"file": file, "block": block, "at": np.array(found, dtype=np.int64)})
 
 
-def _reached(splits: DataFrame) -> DataFrame:
+def _reached(splits: DataFrame, places: DataFrame) -> DataFrame:
     """(file, block, at) of every true record, ``at`` within the split."""
-    base = F.sum("total").over(W.partitionBy("file").orderBy("block")) - F.col("total")
-    placed = cut_lineage(splits.select("file", "block", base.alias("base"), "starts", "nexts"), "splits")
+    placed = cut_lineage(splits.select("file", "block", "starts", "nexts").join(places, ["file", "block"]).select("file", "block", "base", "until", "starts", "nexts"), "splits")
     chains = placed.mapInPandas(_exits, "file string, block long, at long, out long")
     outs = chains.select("file", F.col("out").alias("at")).distinct()
     entries = chains.join(outs, ["file", "at"], "left_semi").union(chains.where("at = 0")).distinct()
@@ -224,12 +243,12 @@ def _reached(splits: DataFrame) -> DataFrame:
         twice = jumps.join(jumps.select("file", F.col("at").alias("out"), F.col("out").alias("far")), ["file", "out"], "left")
         jumps = cut_lineage(twice.select("file", "at", F.coalesce("far", "out").alias("out")), "jumps")
     entered = nodes.join(seen, ["file", "at"]).select("file", "block", F.col("at").alias("entry"))
-    walked = placed.join(entered, ["file", "block"]).select("file", "block", "base", "starts", "nexts", "entry")
+    walked = placed.join(entered, ["file", "block"]).select("file", "block", "base", "until", "starts", "nexts", "entry")
     return walked.mapInPandas(_walk, "file string, block long, at long")
 
 
 def _raw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for file, block, at, piece in _pieces(batches):
+    for file, block, _, at, piece in _pieces(batches):
         yield pa.RecordBatch.from_pylist([{"file": file, "block": block, "at": at, "data": piece}])
 
 
@@ -257,18 +276,22 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     from pyspark.sql.pandas.types import to_arrow_schema
 
     raw = spark.read.option("lineSep", SEPARATOR).text(path)
-    raw = raw.select(F.col("value").cast("binary"), F.col("_metadata.file_path"), F.col("_metadata.file_block_start"))
+    raw = raw.select(F.col("value").cast("binary"), F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.col("_metadata.file_block_length"))
     schema = T._parse_datatype_string(_SCAN)
     scanned = cut_lineage(raw.mapInArrow(_scan(to_arrow_schema(schema)), schema), "scan")
     pieces = scanned.where("kind = 'piece'")
-    reached = cut_lineage(_reached(scanned.where("kind = 'split'").select("file", "block", "starts", "nexts", "total")), "reached")
+    splits = scanned.where("kind = 'split'")
+    places = splits.select("file", "block", "length", "total", "last").groupBy("file").applyInPandas(_place, "file string, block long, base long, until long")
+    places = cut_lineage(places, "places")
+    reached = cut_lineage(_reached(splits, places), "reached")
     info = [f.name for f in T._parse_datatype_string(_INFO)]
     true = pieces.join(reached, ["file", "block", "at"])
     records = true.where("whole").select(*info)
     broken = true.where("not whole").select("file").distinct()
     if broken.isEmpty():
         return records
-    marked = pieces.join(broken, "file", "left_semi").select("file", "block", "at", "whole").join(reached.withColumn("true", F.lit(True)), ["file", "block", "at"], "left")
+    own = pieces.join(broken, "file", "left_semi").join(places, ["file", "block"]).where("at < until")
+    marked = own.select("file", "block", "at", "whole").join(reached.withColumn("true", F.lit(True)), ["file", "block", "at"], "left")
     order = W.partitionBy("file").orderBy("block", "at").rowsBetween(W.unboundedPreceding, W.currentRow)
     owner = F.last(F.when(F.col("true"), F.struct("block", "at", "whole")), ignorenulls=True).over(order)
     parts = marked.withColumn("owner", owner).where("owner is not null and not owner.whole").select("file", "block", "at", "owner")
