@@ -37,9 +37,15 @@ _CUT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[0-9]+| ?[^ \n{_LE
 _PLAIN, _SIMPLE, _WHOLE = 0, 1, 2
 
 
-def _ways(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """How each text may be cut: at single blanks, stops and breaks; by the rule; not at all.
-    And the kind of every byte.  ``data`` holds the texts one after the other."""
+def _bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The texts' bytes one after the other, and where each begins, and the end."""
+    blob = texts.cast(pa.binary())
+    offsets = np.frombuffer(blob.buffers()[1], np.int32)[blob.offset : blob.offset + len(blob) + 1].astype(np.int64)
+    return np.frombuffer(blob.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
+def _ways(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """How each text may be cut: at single blanks, stops and breaks; by the rule; not at all."""
     kind = _KIND[data]
     lead = np.flatnonzero(kind == _LEAD)
     if len(lead):
@@ -55,7 +61,7 @@ def _ways(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
         at = np.searchsorted(np.flatnonzero(flags), offsets)
         return at[1:] > at[:-1]
 
-    return np.where(some(kind == _OTHER), _WHOLE, np.where(some(odd), _SIMPLE, _PLAIN)), kind
+    return np.where(some(kind == _OTHER), _WHOLE, np.where(some(odd), _SIMPLE, _PLAIN))
 
 
 class Encoder:
@@ -71,6 +77,8 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = plain_specials
         self.specials = () if plain_specials else tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
+        if hasattr(self.tokenizer.model, "_resize_cache"):
+            self.tokenizer.model._resize_cache(0)  # each piece comes once
         self.known: dict[str, bytes] = {}
         (self.line_break,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
 
@@ -107,51 +115,45 @@ class Encoder:
                 found[i] = self.known[pieces[i]]
         return found
 
-    def _plain(self, data: np.ndarray, kind: np.ndarray, offsets: np.ndarray, texts: np.ndarray) -> list[bytes]:
-        """Ids of the texts with these numbers, cut at the bytes that the tokenizer cuts at."""
-        is_break = data == 0x0A
+    def _plain(self, texts: pa.Array) -> list[bytes]:
+        """Ids of texts that may be cut at single blanks, stops and breaks."""
+        data, offsets = _bytes_of(texts)
+        kind = _KIND[data]
         cut = (kind == _SPACE) | (kind == _STOP)
-        cut[1:] |= is_break[:-1]
+        cut[1:] |= data[:-1] == 0x0A
         cut[offsets[:-1][offsets[:-1] < len(data)]] = True
         starts = np.flatnonzero(cut).astype(np.int32)
         ends = np.append(starts, len(data)).astype(np.int32)
         pieces = pa.StringArray.from_buffers(len(starts), pa.py_buffer(ends), pa.py_buffer(data))
-        first = np.searchsorted(starts, offsets)
-        mine = np.zeros(len(starts) + 1, dtype=np.int8)
-        np.add.at(mine, first[:-1][texts], 1)
-        np.add.at(mine, first[1:][texts], -1)
-        mine = np.cumsum(mine[:-1]) > 0
-        coded = pieces.filter(pa.array(mine)).dictionary_encode()
+        coded = pieces.dictionary_encode()
         codes = coded.indices.to_numpy()
-        values = self._look_up(coded.dictionary.to_pylist())
+        values = self._look_up(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
         flat = np.frombuffer(b"".join(values), dtype="<u4")
         sizes = np.fromiter(map(len, values), np.int64, len(values)) // 4
         at = np.cumsum(sizes) - sizes
         n = sizes[codes]
         upto = np.cumsum(n)
-        ids = flat[np.repeat(at[codes] - (upto - n), n) + np.arange(upto[-1] if len(upto) else 0)]
-        counts = (first[1:] - first[:-1])[texts]
-        bounds = np.concatenate([[0], upto])[np.concatenate([[0], np.cumsum(counts)])]
-        raw = ids.tobytes()
-        bounds = (4 * bounds).tolist()
+        place = np.repeat(at[codes] - (upto - n), n)
+        place += np.arange(len(place))
+        raw = flat[place].tobytes()
+        bounds = (4 * np.concatenate([[0], upto])[np.searchsorted(starts, offsets)]).tolist()
         return [raw[a:b] for a, b in zip(bounds, bounds[1:])]
 
-    def _part(self, column: pa.Array) -> list[bytes]:
-        texts = pa.array(column, pa.string()) if not isinstance(column, pa.Array) else column
-        blob = texts.cast(pa.binary())
-        offsets = np.frombuffer(blob.buffers()[1], np.int32)[blob.offset : blob.offset + len(blob) + 1].astype(np.int64)
-        data = np.frombuffer(blob.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
-        offsets = offsets - offsets[0]
+    def _part(self, texts: pa.Array) -> list[bytes]:
+        data, offsets = _bytes_of(texts)
         if not len(data):
             return [b""] * len(texts)
-        ways, kind = _ways(data, offsets)
+        ways = _ways(data, offsets)
         for special in self.specials:
             holds = pc.match_substring(texts, special).to_numpy(zero_copy_only=False).astype(bool)
             ways[holds] = _WHOLE
+        plain = ways == _PLAIN
+        if plain.all():
+            return self._plain(texts)
         out: list[bytes] = [b""] * len(texts)
-        plain = np.flatnonzero((ways == _PLAIN) & (offsets[1:] > offsets[:-1]))
-        for i, ids in zip(plain.tolist(), self._plain(data, kind, offsets, plain) if len(plain) else []):
-            out[i] = ids
+        if plain.any():
+            for i, ids in zip(np.flatnonzero(plain).tolist(), self._plain(texts.filter(pa.array(plain)))):
+                out[i] = ids
         for i in np.flatnonzero(ways == _SIMPLE).tolist():
             out[i] = b"".join(self._look_up(_CUT.findall(texts[i].as_py())))
         whole = np.flatnonzero(ways == _WHOLE).tolist()
