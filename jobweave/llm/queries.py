@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobweave.llm import backoff, chat, dac, decontaminate, mixing, quality, simhash, toxicity, warc
+from jobweave.llm import backoff, chat, dac, decontaminate, mixing, quality, search, simhash, toxicity, warc
 from jobweave.llm.common import held_out, prepare, shared_folder, table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -120,6 +120,31 @@ def op5_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.select_documents(table(spark, sf_dir, "documents"))
 
 
+@llm_query(
+    "op6_bm25_search",
+    rf"""
+    WITH d AS (
+      SELECT row_number() OVER () AS row, doc_id, list_filter(regexp_split_to_array({_SQL_LOWER}, '[\x09-\x0D\x20]+'), lambda w: w <> '') AS w
+      FROM documents),
+    g AS (SELECT count(*) AS n, avg(len(w)) AS mean FROM d),
+    tf AS (SELECT row, doc_id, len, word, count(*) AS tf FROM (SELECT row, doc_id, len(w) AS len, unnest(w) AS word FROM d) GROUP BY ALL),
+    df AS (SELECT word, count(*) AS df FROM tf GROUP BY word),
+    s AS (
+      SELECT q.row AS q, q.doc_id AS query_id, t.row, t.doc_id,
+             round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * t.tf * {search.K1 + 1} / (t.tf + {search.K1} * ({1 - search.B} + {search.B} * t.len / mean))), {search.DIGITS}) AS score
+      FROM tf q JOIN tf t USING (word) JOIN df USING (word), g
+      WHERE q.doc_id % {search.QUERY_EVERY} = 0 GROUP BY ALL)
+    SELECT query_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+    FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS rank FROM s) WHERE rank <= {search.TOP}
+    """,
+)
+def op6_bm25_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every document whose id a hundred divides."""
+    docs = table(spark, sf_dir, "documents")
+    queries = docs.where(F.col("doc_id") % search.QUERY_EVERY == 0).select(F.col("doc_id").alias("query_id"), "text")
+    return search.search(docs, queries)
+
+
 @llm_query("op7_toxicity_lexicon")
 def op7_toxicity_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document."""
