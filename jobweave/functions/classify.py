@@ -57,7 +57,7 @@ def normalize_category(category, title, description,
     )
     known = F.try_element_at(names, F.lower(given))
     inferred = rule_label(_title_and_text(title, description), table)
-    return F.left(F.coalesce(known, inferred, given, F.lit("")), F.lit(30))
+    return F.coalesce(known, inferred, given, F.lit(""))
 
 
 def infer_job_type(text) -> Column:

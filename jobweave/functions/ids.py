@@ -9,21 +9,21 @@ from jobweave.functions.text import col, is_blank, trim_ws
 from jobweave.functions.url import tenant_key
 
 
-def _h16(text: Column) -> Column:
-    return F.left(F.sha2(F.lower(text).cast("binary"), 256), F.lit(16))
+def _digest(text: Column) -> Column:
+    return F.left(F.sha2(F.lower(text).cast("binary"), 256), F.lit(32))
 
 
 def scoped_id(source_id: int, source_key: str, domain, raw_id) -> Column:
-    """'<source id>:h' + 16 hex digits over source|tenant|id."""
+    """'<source id>:h' + 32 hex digits over source|tenant|id."""
     raw = F.coalesce(trim_ws(raw_id), F.lit(""))
-    return F.concat(F.lit(f"{source_id}:h"), _h16(F.concat_ws("|", F.lit(source_key), tenant_key(domain), raw)))
+    return F.concat(F.lit(f"{source_id}:h"), _digest(F.concat_ws("|", F.lit(source_key), tenant_key(domain), raw)))
 
 
 def site_scoped_id(source_id: int, domain, site, raw_id) -> Column:
     """The form keyed on domain|site|id."""
     return F.concat(
         F.lit(f"{source_id}:h"),
-        _h16(F.concat_ws("|", *[F.coalesce(col(c), F.lit("")) for c in (domain, site, raw_id)])),
+        _digest(F.concat_ws("|", *[F.coalesce(col(c), F.lit("")) for c in (domain, site, raw_id)])),
     )
 
 
@@ -33,13 +33,13 @@ def plain_id(source_id: int, raw_id) -> Column:
 
 def generated_reference(domain, tenant, site, external_path, title) -> Column:
     parts = [F.coalesce(col(c), F.lit("")) for c in (domain, tenant, site, external_path, title)]
-    return F.concat(F.lit("workday:h"), _h16(F.concat_ws("|", *parts)))
+    return F.concat(F.lit("workday:h"), _digest(F.concat_ws("|", *parts)))
 
 
 def looks_like_reference(c) -> Column:
-    """Short, no space or slash, at least one digit."""
+    """No space or slash, at least one digit."""
     text = trim_ws(c)
-    return F.coalesce((F.length(text) <= 80) & ~text.rlike("[ /]") & text.rlike("[0-9]"), F.lit(False))
+    return F.coalesce(~text.rlike("[ /]") & text.rlike("[0-9]"), F.lit(False))
 
 
 def reference_from_path(external_path) -> Column:

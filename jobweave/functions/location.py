@@ -16,7 +16,6 @@ from jobweave.functions.text import (
     is_blank,
     join_filled,
     trim_ws,
-    zipped,
 )
 
 _CITY_STATE = r"(?i)^\s*([^,]+),\s*(" + "|".join(rules.US_STATE_CODES + ["DC"]) + r")\b"
@@ -57,11 +56,9 @@ def place(*parts, separator: str = ", ") -> Column:
     return join_filled(separator, *parts)
 
 
-def join_places(values, separator: str, limit: int | None = None) -> Column:
-    """Filled, distinct (ignoring case) places joined; at most ``limit`` when the
-    source's record keeps only that many."""
-    places = distinct_ignore_case(filled_items(values))
-    return F.array_join(places if limit is None else F.slice(places, 1, limit), separator)
+def join_places(values, separator: str) -> Column:
+    """Filled, distinct (ignoring case) places joined."""
+    return F.array_join(distinct_ignore_case(filled_items(values)), separator)
 
 
 def or_remote(location, remote) -> Column:
@@ -97,19 +94,8 @@ def has_separator(c) -> Column:
 
 
 def variant_codes(parts) -> Column:
-    """Four-character code per place; a repeated code within one posting is re-drawn."""
-    parts = col(parts)
-    h4 = lambda text: F.left(F.sha2(text.cast("binary"), 256), F.lit(4))
-    first = F.transform(parts, lambda p: h4(F.lower(p)))
-    repeated = F.size(F.array_distinct(first)) < F.size(first)
-    seen = lambda c, i: F.size(F.filter(F.slice(first, 1, i), lambda x: x == c))
-    redrawn = F.transform(
-        zipped(parts, first, ("p", "c")),
-        lambda z, i: F.when(seen(z["c"], i) == 0, z["c"]).otherwise(
-            h4(F.concat(F.lower(z["p"]), F.lit("#"), seen(z["c"], i).cast("string")))
-        ),
-    )
-    return F.when(repeated, redrawn).otherwise(first)
+    """Code of 32 hex digits per place, the same for the same place whatever its case."""
+    return F.transform(col(parts), lambda p: F.left(F.sha2(F.lower(p).cast("binary"), 256), F.lit(32)))
 
 
 def safe_city(city) -> Column:

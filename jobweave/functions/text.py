@@ -251,7 +251,7 @@ def location_candidate(c) -> Column:
     value = trim_ws(F.trim(value, F.lit("-:|,.")))
     return let(
         value,
-        lambda v: F.when(v.rlike(rules.LOCATION_PROSE) | (F.length(v) > 120), F.lit("")).otherwise(v),
+        lambda v: F.when(v.rlike(rules.LOCATION_PROSE), F.lit("")).otherwise(v),
     )
 
 

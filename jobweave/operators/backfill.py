@@ -13,13 +13,13 @@ from jobweave.functions.location import (
     safe_city,
     state_of,
 )
-from jobweave.functions.text import clean, is_blank, normalize_key, same, truncate
+from jobweave.functions.text import clean, is_blank, normalize_key, same
 from jobweave.operators.dedupe import first_per_key, last_per_keys
 from jobweave.operators.expand import with_variants
 from jobweave.operators.filters import has_unsafe_city, is_multi_location
 from jobweave.operators.keys import any_key_winner, key_entries
 from jobweave.operators.rows import fixed
-from jobweave.schema import LENGTHS, REFRESH_CATEGORY_LENGTH, TABLE_COLUMNS
+from jobweave.schema import TABLE_COLUMNS
 
 # a repair job needs (row_id, order): a unique id and the scan order of the table
 
@@ -47,46 +47,23 @@ def backfill_it_flags(target: DataFrame, row_id: str = "row_id", order: str = "r
     return joined.select(*[new.get(c, F.col(c)).alias(c) for c in target.columns])
 
 
-def backfill_location_parts(target: DataFrame, order: str = "row_order") -> DataFrame:
+def backfill_location_parts(target: DataFrame) -> DataFrame:
     """Recompute city and state where they differ beyond case.
 
-    An update goes to every row with the same reference, URL and location (NULL equals
-    blank), as one statement per distinct combination.
+    Both depend on the row's own location only, however it is padded or cased, so every row
+    is repaired where it is, and a second run changes nothing.
     """
-    filled = target.filter(~is_blank("Location"))
-    now = filled.withColumn("_city", city_of("Location")).withColumn("_state", state_of("Location"))
-    changed = now.filter(~same("city", "_city") | ~same("state", "_state"))
-    combination = F.concat_ws(
-        "|", normalize_key("job_reference"), normalize_key("url"), normalize_key("Location")
-    )
-    distinct = first_per_key(changed.select(
-        order, "job_reference", "url", "Location", "_city", "_state", combination.alias("_c")
-    ), "_c", [order], "drop")
-    n = LENGTHS
-    updates = distinct.select(
-        F.coalesce(clean("job_reference", n["job_reference"]), F.lit("")).alias("k_ref"),
-        F.coalesce(clean("url", n["url"]), F.lit("")).alias("k_url"),
-        F.coalesce(clean("Location", n["Location"]), F.lit("")).alias("k_location"),
-        clean("_city", n["city"]).alias("u_city"),
-        clean("_state", n["state"]).alias("u_state"),
-        F.lit(True).alias("u_hit"),
-    )
-    equal = lambda c, k: F.coalesce(F.col(c), F.lit("")) == F.col(k)
-    joined = target.join(
-        updates,
-        equal("job_reference", "k_ref") & equal("url", "k_url") & equal("Location", "k_location"),
-        "left",
-    )
-    new = {c: F.when(F.col("u_hit"), F.col(f"u_{c}")).otherwise(F.col(c)) for c in ("city", "state")}
-    return joined.select(*[new.get(c, F.col(c)).alias(c) for c in target.columns])
+    city, state = city_of("Location"), state_of("Location")
+    changed = ~is_blank("Location") & (~same("city", city) | ~same("state", state))
+    new = {"city": F.when(changed, clean(city)).otherwise(F.col("city")), "state": F.when(changed, clean(state)).otherwise(F.col("state"))}
+    return target.select(*[new.get(c, F.col(c)).alias(c) for c in target.columns])
 
 
 def _place_columns(location: Column) -> dict[str, Column]:
-    n = LENGTHS
     return {
-        "Location": clean(location, n["Location"]),
-        "city": clean(city_of(location), n["city"]),
-        "state": clean(state_of(location), n["state"]),
+        "Location": clean(location),
+        "city": clean(city_of(location)),
+        "state": clean(state_of(location)),
     }
 
 
@@ -98,20 +75,19 @@ def _insert_variants(rows: DataFrame, target: DataFrame, inserted_at, row_id: st
     stored = target.select(normalize_key("job_reference").alias("_ref")).filter(F.col("_ref") != "").distinct()
     fresh = exploded.join(stored, "_ref", "left_anti")
     fresh = first_per_key(fresh, "_ref", [order, "_part"], "drop")
-    n = LENGTHS
     location = F.col("_v.location")
     new = {
         row_id: F.concat(F.col(row_id).cast("string"), F.lit("/"), F.col("_v.reference")),
-        "job_reference": clean(F.col("_v.reference"), n["job_reference"]),
+        "job_reference": clean(F.col("_v.reference")),
         **_place_columns(location),
-        "Title": clean("Title", n["Title"]),
+        "Title": clean("Title"),
         "zip": F.lit(None).cast("string"),
         "country": F.lit("USA"),
-        "job_type": clean("job_type", n["job_type"]),
-        "company": clean("company", n["company"]),
+        "job_type": clean("job_type"),
+        "company": clean("company"),
         "Isremote": (F.coalesce(F.col("Isremote"), F.lit(0)) == 1).cast("int"),
-        "category": clean(normalize_category("category", "Title", "description"), n["category"]),
-        "url": clean("url", n["url"]),
+        "category": clean(normalize_category("category", "Title", "description")),
+        "url": clean("url"),
         "description": clean("description"),
         "cpc": F.lit(0).cast("decimal(18,2)"),
         "inserteddate": F.lit(inserted_at).cast("timestamp"),
@@ -194,15 +170,14 @@ def backfill_categories(target: DataFrame, row_id: str = "row_id", order: str =
     changed = given.withColumn("_new", normalize_category("category", "Title", "description")).filter(
         ~same("category", "_new")
     )
-    n = LENGTHS
     staged = changed.select(
         F.col(order),
-        clean("_new", REFRESH_CATEGORY_LENGTH).alias("_new"),
-        truncate(normalize_key("category"), n["category"]).alias("old"),
+        clean("_new").alias("_new"),
+        normalize_key("category").alias("old"),
         "job_reference", "url", "Title", "company", "Location",
     )
     keys = ["job_reference", "url", "Title", "company", "Location"]
-    normal = {k: truncate(normalize_key(k), n[k]) for k in keys}
+    normal = {k: normalize_key(k) for k in keys}
     staged = last_per_keys(
         staged.select(order, "_new", "old", *[v.alias(k) for k, v in normal.items()]), [*keys, "old"], [order]
     )

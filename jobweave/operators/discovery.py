@@ -146,19 +146,19 @@ def first_valid_probe(probes: DataFrame, site: str, attempt: str, candidate: str
     Attempts are few per site (the candidate lists are fixed); repeated captures of one
     attempt are merged before any list is built.
     """
+    # of several captures of an attempt, a valid one counts, the smallest of them whole
+    capture = F.struct(candidate, *keep)
     merged = probes.groupBy(site, attempt).agg(
-        F.first(candidate).alias(candidate),
-        F.bool_or(valid).alias(valid),
-        *[F.min(c).alias(c) for c in keep],
-    )
+        F.min(F.struct((~F.col(valid)).alias("bad"), capture.alias("capture"))).alias("_best")
+    ).select(site, attempt, (~F.col("_best.bad")).alias(valid), "_best.capture.*")
     found = merged.filter(valid).groupBy(site).agg(
         F.min(attempt).alias("_at"),
         F.min_by(F.struct(candidate, *keep), attempt).alias("_hit"),
     )
     tried = merged.join(found, site).filter(F.col(attempt) <= F.col("_at"))
     return tried.groupBy(site).agg(
-        F.first("_hit").alias("_hit"),
-        F.first("_at").alias(attempt),
+        F.min("_hit").alias("_hit"),
+        F.min("_at").alias(attempt),
         F.sort_array(F.collect_list(F.struct(attempt, candidate))).alias("_tried"),
     ).select(
         site, attempt, "_hit.*",
@@ -192,16 +192,16 @@ def slice_matches(df: DataFrame, url: str, patterns: Sequence[str]) -> DataFrame
     return df.select("*", F.explode(hits).alias("slice"))
 
 
-def discover_slices(df: DataFrame, rank: str, order: str, limit: int, valid: Column,
+def discover_slices(df: DataFrame, rank: str, order: str, valid: Column, limit: int | None = None,
                     skip: DataFrame | None = None) -> DataFrame:
-    """Valid candidates slice by slice, each (domain, site) once, at most ``limit``.
+    """Valid candidates slice by slice, each (domain, site) once; with ``limit``, the first so many.
 
     The slices run one after another in the source and see what earlier ones took;
     taking the first occurrence by (slice, order) gives the same rows in one pass.
     """
     rows = exclude(df.filter(valid), skip=skip)
     first = first_per_key(rows, F.concat_ws("|", "domain", "site"), [rank, order], "drop")
-    return first.orderBy(rank, order).limit(limit)
+    return first if limit is None else first.orderBy(rank, order).limit(limit)
 
 
 def validate(cands: DataFrame, lists: DataFrame, details: DataFrame, index_id: str = "",
@@ -209,7 +209,8 @@ def validate(cands: DataFrame, lists: DataFrame, details: DataFrame, index_id: s
     """Candidates whose captured list response has jobs and whose sample is still live.
 
     ``lists``: domain, site, status_code, body.  ``details``: domain, site, status_code,
-    body of the sample posting.
+    body of the sample posting.  Of several captures of a list, the smallest usable response
+    counts, so that captures never multiply a candidate.
     """
     shape = "total string, jobPostings array<struct<title:string,externalPath:string>>"
     listed = lists.select(
@@ -222,6 +223,8 @@ def validate(cands: DataFrame, lists: DataFrame, details: DataFrame, index_id: s
         F.coalesce(sample["title"], F.lit("")).alias("sample_title"),
         F.coalesce(sample["externalPath"], F.lit("")).alias("sample_external_path"),
     ).filter((F.col("total_jobs").try_cast("int") > 0) & ~is_blank("sample_title") & ~is_blank("sample_external_path"))
+    response = F.struct("status_code", "total_jobs", "sample_title", "sample_external_path")
+    listed = listed.groupBy("_domain", "_site").agg(F.min(response).alias("r")).select("_domain", "_site", "r.*")
     live = details.filter(F.col("status_code").cast("string").rlike("^2")).select(
         normalize_key("domain").alias("_domain"), normalize_key("site").alias("_site"),
         F.get_json_object("body", "$.jobPostingInfo.title").alias("_title"),
@@ -269,25 +272,12 @@ def extend_skip_list(lists: Sequence[tuple[str, DataFrame]], order: str) -> Data
     return first_per_key(filled, key, ["_rank", "_order"], "drop").select("domain", "site", "source_file")
 
 
-def sample_estimate(df: DataFrame, site: str, order: str, hit: Column, sample: int = 60) -> DataFrame:
-    """Per site: rows, sampled rows, hits, hit percentage and the expected total of hits.
-
-    The sample is the first ``sample`` rows of a site; picking it is limited per map
-    task, so a large site does not gather in one.
-    """
-    from jobweave.operators.dedupe import cap_per_group
-
-    totals = df.groupBy(site).agg(F.count(F.lit(1)).alias("total_jobs"))
-    taken = cap_per_group(df.select(site, order, hit.alias("_hit")), [site], [order], sample)
-    sampled = taken.groupBy(site).agg(
-        F.count(F.lit(1)).alias("sampled_jobs"), F.count_if("_hit").alias("sample_hits")
-    )
-    share = F.col("sample_hits") / F.col("sampled_jobs")
-    return totals.join(sampled, site).select(
-        site, "total_jobs", "sampled_jobs", "sample_hits",
-        F.round(100 * share, 2).alias("sample_pct"),
-        F.round(F.col("total_jobs") * F.col("sample_hits") / F.col("sampled_jobs"), 0).cast("bigint").alias("expected"),
-    ).orderBy(F.desc("expected"), F.asc(site))
+def sample_estimate(df: DataFrame, site: str, hit: Column) -> DataFrame:
+    """Per site: rows, hits and hit percentage, over all of the site's rows."""
+    counted = df.groupBy(site).agg(F.count(F.lit(1)).alias("total_jobs"), F.count_if(hit).alias("hits"))
+    return counted.select(
+        site, "total_jobs", "hits", F.round(100 * F.col("hits") / F.col("total_jobs"), 2).alias("hit_pct")
+    ).orderBy(F.desc("hits"), F.asc(site))
 
 
 def blank_as_null(df: DataFrame, *columns: str) -> DataFrame:

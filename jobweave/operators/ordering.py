@@ -49,10 +49,11 @@ def company_rows(df: DataFrame, order: str, skip: int = 0, take: int | None = No
     company = first_non_empty("company", "identifier") if "company" in df.columns else F.col("identifier")
     rows = df.withColumn("identifier", identifier).filter(F.col("identifier") != "")
     rows = first_per_key(rows.withColumn("company", company), "identifier", [order], "drop")
-    rows = rows.select("identifier", "company", order).orderBy(order)
-    if skip:
-        rows = rows.offset(skip)
-    return rows if take is None else rows.limit(take)
+    rows = rows.select("identifier", "company", order)
+    if skip:  # what is skipped is a bounded list of slim rows; what stays is filtered where it is
+        last = rows.select(F.col(order).alias("_at")).orderBy("_at").limit(skip).agg(F.max("_at").alias("_last"), F.count("*").alias("_n"))
+        rows = rows.join(F.broadcast(last), (F.col(order) > F.col("_last")) & (F.col("_n") == skip)).drop("_last", "_n")
+    return rows.orderBy(order) if take is None else rows.orderBy(order).limit(take)
 
 
 def class_samples(df: DataFrame, flag: str, order: str, keep: int = 3) -> DataFrame:

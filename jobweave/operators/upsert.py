@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from jobweave.functions.classify import normalize_category, with_it_flags
 from jobweave.functions.location import city_of, state_of
-from jobweave.functions.text import blank_to_null, clean, normalize_key, truncate
+from jobweave.functions.text import blank_to_null, clean, normalize_key
 from jobweave.operators.dedupe import last_per_keys
 from jobweave.operators.keys import spread_blank
-from jobweave.schema import LENGTHS, REFRESH_CATEGORY_LENGTH, TABLE_COLUMNS
+from jobweave.schema import TABLE_COLUMNS
 from jobweave.session import cut_lineage
 
 STAGE_KEYS = [
@@ -38,29 +38,28 @@ def _timestamp(value) -> Column:
 
 def stage(jobs: DataFrame, last_seen, row_key: Sequence[str] = ("seq",)) -> DataFrame:
     """Staging rows of a refresh: cleaned values and the five match keys."""
-    n = LENGTHS
     return jobs.select(
         F.struct(*row_key).alias("stage_id"),
-        clean("location", n["Location"]).alias("Location"),
-        clean("title", n["Title"]).alias("Title"),
-        clean(city_of("location"), n["city"]).alias("city"),
-        clean(state_of("location"), n["state"]).alias("state"),
+        clean("location").alias("Location"),
+        clean("title").alias("Title"),
+        clean(city_of("location")).alias("city"),
+        clean(state_of("location")).alias("state"),
         F.lit("USA").alias("country"),
-        clean("job_type", n["job_type"]).alias("job_type"),
+        clean("job_type").alias("job_type"),
         F.col("date_posted").alias("posted_at"),
-        clean("company", n["company"]).alias("company"),
+        clean("company").alias("company"),
         F.coalesce(F.col("is_remote"), F.lit(False)).cast("int").alias("Isremote"),
-        clean("category", REFRESH_CATEGORY_LENGTH).alias("category"),
-        clean("job_url", n["url"]).alias("url"),
+        clean("category").alias("category"),
+        clean("job_url").alias("url"),
         clean("description").alias("description"),
         F.col("is_it").alias("IsIT"),
         F.col("it_score").alias("ITScore"),
         _timestamp(last_seen).alias("last_seen"),
-        truncate(normalize_key("external_id"), n["job_reference"]).alias("normalized_reference"),
-        truncate(normalize_key("job_url"), n["url"]).alias("normalized_url"),
-        truncate(normalize_key("title"), n["Title"]).alias("normalized_title"),
-        truncate(normalize_key("company"), n["company"]).alias("normalized_company"),
-        truncate(normalize_key("location"), n["Location"]).alias("normalized_location"),
+        normalize_key("external_id").alias("normalized_reference"),
+        normalize_key("job_url").alias("normalized_url"),
+        normalize_key("title").alias("normalized_title"),
+        normalize_key("company").alias("normalized_company"),
+        normalize_key("location").alias("normalized_location"),
     )
 
 
@@ -76,23 +75,22 @@ def generated_reference(*parts) -> Column:
 
 
 def insert_rows(jobs: DataFrame, inserted_at, row_key: Sequence[str] = ("seq",)) -> DataFrame:
-    """Stored form of new postings: 18 columns, cleaned and cut to length."""
-    n = LENGTHS
+    """Stored form of new postings: 18 columns, cleaned and whole."""
     generated = generated_reference(*row_key, "title", "company", "location", "job_url")
     return jobs.select(
-        F.coalesce(clean("external_id", n["job_reference"]), generated).alias("job_reference"),
-        clean("location", n["Location"]).alias("Location"),
-        clean("title", n["Title"]).alias("Title"),
-        clean(city_of("location"), n["city"]).alias("city"),
-        clean(state_of("location"), n["state"]).alias("state"),
+        F.coalesce(clean("external_id"), generated).alias("job_reference"),
+        clean("location").alias("Location"),
+        clean("title").alias("Title"),
+        clean(city_of("location")).alias("city"),
+        clean(state_of("location")).alias("state"),
         F.lit(None).cast("string").alias("zip"),
         F.lit("USA").alias("country"),
-        clean("job_type", n["job_type"]).alias("job_type"),
+        clean("job_type").alias("job_type"),
         F.col("date_posted").alias("posted_at"),
-        clean("company", n["company"]).alias("company"),
+        clean("company").alias("company"),
         F.coalesce(F.col("is_remote"), F.lit(False)).cast("int").alias("Isremote"),
-        clean("category", n["category"]).alias("category"),
-        clean("job_url", n["url"]).alias("url"),
+        clean("category").alias("category"),
+        clean("job_url").alias("url"),
         clean("description").alias("description"),
         F.lit(0).cast("decimal(18,2)").alias("cpc"),
         _timestamp(inserted_at).alias("inserteddate"),

@@ -125,7 +125,7 @@ def s_category(category: str, title: str, description: str) -> str:
     )
     text = f"(coalesce({title}, '') || ' ' || coalesce({description}, ''))"
     inferred = f"nullif({s_rules(text, rules.TECH_CATEGORY_RULES)}, '')"
-    return f"left(coalesce(CASE {known} END, {inferred}, {s_clean(category)}, ''), 30)"
+    return f"coalesce(CASE {known} END, {inferred}, {s_clean(category)}, '')"
 
 
 def s_host(x: str) -> str:
@@ -136,8 +136,8 @@ def s_url_path(x: str) -> str:
     return f"regexp_extract({x}, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+([^?#]*)', 1)"
 
 
-def s_h16(x: str) -> str:
-    return f"left(sha256(lower({x})), 16)"
+def s_digest(x: str) -> str:
+    return f"left(sha256(lower({x})), 32)"
 
 
 def s_parts(x: str) -> str:

@@ -8,6 +8,7 @@ from jobweave import rules
 from jobweave.functions.url import host_if_suffix, matches_pattern, normalize_domain
 from jobweave.operators import discovery, ordering, reports
 from jobweave.operators.dedupe import first_per_key
+from jobweave.plans import discovery as plans
 from jobweave.queries.base import q, query, s_host, s_match, s_trim, s_url_path, table
 from jobweave.session import shared_folder
 from jobweave.sources.archive import read_cdx_jsonl
@@ -227,10 +228,9 @@ _VALID = """valid AS (SELECT firsts.*, length(html) AS total FROM firsts JOIN pa
     FROM valid WHERE domain NOT IN (SELECT domain FROM known) AND site <> 'de'""",
 )
 def discover(s, d):
-    cands, lists, details = _probes(s, d)
-    known = _known(s, d)
-    picked = discovery.flag_known(discovery.exclude(cands, known, _skip(s, d)), known)
-    return discovery.validate(picked, lists, details, "archive-1").select(
+    _, lists, details = _probes(s, d)
+    lists = lists.unionByName(lists)  # every list captured twice
+    return plans.discover_sites(job_pages(s, d), _known(s, d), _skip(s, d), lists, details, "page_id", "archive-1").select(
         "domain", "tenant", "wd_server", "site", "total_jobs", "sample_title", "sample_job_url", "api_url",
         "known_from_jobsites",
     )
@@ -250,14 +250,10 @@ def discovery_summary(s, d):
 query(
     "seed_candidates",
     _WSEED + "," + _KNOWN + "," + _FIRST + """ SELECT page_id, domain, site FROM firsts
-    WHERE domain NOT IN (SELECT domain FROM known) AND site <> 'de' ORDER BY page_id LIMIT 100""",
+    WHERE domain NOT IN (SELECT domain FROM known) AND site <> 'de'""",
 )(
-    lambda s, d: ordering.take_first(
-        discovery.exclude(
-            discovery.candidates(job_pages(s, d), "url", "page_id", discovery.seed_candidate),
-            _known(s, d, discovery.seed_candidate), _skip(s, d, discovery.seed_candidate),
-        ),
-        100, "page_id",
+    lambda s, d: plans.seed_sites(
+        job_pages(s, d), _known(s, d, discovery.seed_candidate), _skip(s, d, discovery.seed_candidate), "page_id"
     ).select("page_id", "domain", "site")
 )
 
@@ -269,7 +265,7 @@ query(
         UNION ALL SELECT *, 1 FROM cand WHERE domain LIKE '%.wd6.myworkdayjobs.com'
         UNION ALL SELECT *, 2 FROM cand)
     SELECT slice, page_id, domain, site FROM (SELECT *, row_number() OVER (PARTITION BY lower(domain || '|' || site)
-        ORDER BY slice, page_id) AS rn FROM hits WHERE NOT contains(domain, 'spam')) WHERE rn = 1 ORDER BY slice, page_id LIMIT 60""",
+        ORDER BY slice, page_id) AS rn FROM hits WHERE NOT contains(domain, 'spam')) WHERE rn = 1""",
 )(
     lambda s, d: discovery.discover_slices(
         discovery.slice_matches(
@@ -279,7 +275,7 @@ query(
             .select("page_id", "url", "c.*"),
             "url", _SLICES,
         ),
-        "slice", "page_id", 60, ~F.contains("domain", F.lit("spam")),
+        "slice", "page_id", ~F.contains("domain", F.lit("spam")),
     ).select("slice", "page_id", "domain", "site")
 )
 
@@ -327,17 +323,9 @@ query(
 
 query(
     "sample_estimate",
-    """WITH r AS (SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey) AS rn FROM lineitem),
-    t AS (SELECT l_suppkey, count(*) AS total_jobs, count_if(rn <= 60) AS sampled_jobs,
-        count_if(rn <= 60 AND l_returnflag = 'R') AS sample_hits FROM r GROUP BY 1)
-    SELECT *, round(100.0 * sample_hits / sampled_jobs, 2) AS sample_pct,
-        CAST(round(CAST(total_jobs AS DOUBLE) * sample_hits / sampled_jobs, 0) AS BIGINT) AS expected FROM t""",
-)(
-    lambda s, d: discovery.sample_estimate(
-        table(s, d, "lineitem").withColumn("_o", F.struct("l_orderkey", "l_linenumber", "l_partkey")),
-        "l_suppkey", "_o", F.col("l_returnflag") == "R",
-    )
-)
+    """SELECT l_suppkey, count(*) AS total_jobs, count_if(l_returnflag = 'R') AS hits,
+        round(100.0 * count_if(l_returnflag = 'R') / count(*), 2) AS hit_pct FROM lineitem GROUP BY 1""",
+)(lambda s, d: discovery.sample_estimate(table(s, d, "lineitem"), "l_suppkey", F.col("l_returnflag") == "R"))
 
 # --- ranking and lists ------------------------------------------------------------------------------------
 

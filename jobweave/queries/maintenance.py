@@ -21,14 +21,14 @@ AT = f"TIMESTAMP '{LOADED_AT}'"
 
 
 def _insert_sql(source: str, key: str = "CAST(seq AS VARCHAR)") -> str:
-    ref = f"""coalesce({s_clean('external_id', 200)}, 'gen-' || left(sha256(concat_ws('|', {key},
+    ref = f"""coalesce({s_clean('external_id')}, 'gen-' || left(sha256(concat_ws('|', {key},
         coalesce(title, ''), coalesce(company, ''), coalesce(location, ''), coalesce(job_url, ''))), 32))"""
     category = s_category("category", "title", "description")
     score = s_it_score("title", "category", "description")
-    return f"""SELECT {ref} AS job_reference, {s_clean('location', 500)} AS "Location", {s_clean('title', 500)} AS "Title",
+    return f"""SELECT {ref} AS job_reference, {s_clean('location')} AS "Location", {s_clean('title')} AS "Title",
     {s_city('location')} AS city, {s_state('location')} AS state, CAST(NULL AS VARCHAR) AS zip, 'USA' AS country,
-    {s_clean('job_type', 200)} AS job_type, date_posted AS posted_at, {s_clean('company', 200)} AS company,
-    CAST(is_remote AS INTEGER) AS "Isremote", {s_clean(category, 150)} AS category, {s_clean('job_url', 800)} AS url,
+    {s_clean('job_type')} AS job_type, date_posted AS posted_at, {s_clean('company')} AS company,
+    CAST(is_remote AS INTEGER) AS "Isremote", {s_clean(category)} AS category, {s_clean('job_url')} AS url,
     {s_clean('description')} AS description, CAST(0 AS DECIMAL(18,2)) AS cpc, {AT} AS inserteddate,
     {score} > 0 AS "IsIT", {score} AS "ITScore" FROM {source}"""
 
@@ -43,10 +43,10 @@ _CATEGORY = s_category("category", "title", "description")
 _STAGE = f"""
     prepared AS (SELECT jobs.*, {_CATEGORY} AS cat, {s_it_score('title', 'category', 'description')} AS score
         FROM jobs JOIN status USING (seq) WHERE status = 'existing'),
-    staged AS (SELECT * FROM (SELECT seq AS sid, {s_clean('location', 500)} AS s_location, {s_clean('title', 500)} AS s_title,
-        {s_city('location')} AS s_city, {s_state('location')} AS s_state, {s_clean('job_type', 200)} AS s_job_type,
-        date_posted AS s_posted_at, {s_clean('company', 200)} AS s_company, CAST(is_remote AS INTEGER) AS s_remote,
-        {s_clean('cat', 30)} AS s_category, {s_clean('job_url', 800)} AS s_url, {s_clean('description')} AS s_description,
+    staged AS (SELECT * FROM (SELECT seq AS sid, {s_clean('location')} AS s_location, {s_clean('title')} AS s_title,
+        {s_city('location')} AS s_city, {s_state('location')} AS s_state, {s_clean('job_type')} AS s_job_type,
+        date_posted AS s_posted_at, {s_clean('company')} AS s_company, CAST(is_remote AS INTEGER) AS s_remote,
+        {s_clean('cat')} AS s_category, {s_clean('job_url')} AS s_url, {s_clean('description')} AS s_description,
         score > 0 AS s_it, score AS s_score, {s_key('external_id')} AS nr, {s_key('job_url')} AS nu,
         {s_key('title')} AS nt, {s_key('company')} AS nc, {s_key('location')} AS nl,
         row_number() OVER (PARTITION BY {s_key('external_id')}, {s_key('job_url')}, {s_key('title')},
@@ -153,15 +153,13 @@ query(
         coalesce(cand.score, "ITScore") AS "ITScore") FROM win LEFT JOIN cand ON cand.row_order = win.o)""",
 )(lambda s, d: _table(backfill.backfill_it_flags(stored(s, d))))
 
+_CITY, _STATE = s_city('"Location"'), s_state('"Location"')
 query(
     "location_backfill",
     "WITH " + STORED_CTE + f""",
-    changed AS (SELECT DISTINCT {s_clean('job_reference', 200)} AS r, {s_clean('url', 800)} AS u, {s_clean('"Location"', 500)} AS l,
-        {s_city('"Location"')} AS c, {s_state('"Location"')} AS st FROM stored WHERE NOT {s_blank('"Location"')}
-        AND ({s_key('city')} <> {s_key(s_city('"Location"'))} OR {s_key('state')} <> {s_key(s_state('"Location"'))}))
-    SELECT row_id, {COLS} FROM (SELECT stored.* REPLACE (CASE WHEN l IS NULL THEN city ELSE c END AS city,
-        CASE WHEN l IS NULL THEN state ELSE st END AS state) FROM stored LEFT JOIN changed
-        ON coalesce(job_reference, '') = coalesce(r, '') AND coalesce(url, '') = coalesce(u, '') AND coalesce("Location", '') = l)""",
+    now AS (SELECT *, NOT {s_blank('"Location"')} AND ({s_key('city')} <> {s_key(_CITY)} OR {s_key('state')} <> {s_key(_STATE)}) AS off FROM stored)
+    SELECT row_id, {COLS} FROM (SELECT now.* REPLACE (CASE WHEN off THEN {_CITY} ELSE city END AS city,
+        CASE WHEN off THEN {_STATE} ELSE state END AS state) FROM now)""",
 )(lambda s, d: _table(backfill.backfill_location_parts(stored(s, d))))
 
 _NEWCAT = s_category("category", '"Title"', "description")
@@ -206,20 +204,20 @@ def _variant_sql(acted: str) -> str:
     place = "dest"
     return f"""{acted},
     stay AS (SELECT * REPLACE (
-        CASE WHEN action = 'place' THEN {s_clean(place, 500)} ELSE "Location" END AS "Location",
+        CASE WHEN action = 'place' THEN {s_clean(place)} ELSE "Location" END AS "Location",
         CASE WHEN action = 'place' THEN {s_city(place)} WHEN action = 'clear' THEN NULL ELSE city END AS city,
         CASE WHEN action = 'place' THEN {s_state(place)} WHEN action = 'clear' THEN NULL ELSE state END AS state)
         FROM acted WHERE action <> 'expand'),
     parts AS (SELECT *, unnest(places) AS place, unnest(range(len(places))) AS part FROM acted WHERE action = 'expand'),
-    coded AS (SELECT *, job_reference || ':L' || left(sha256(lower(place)), 4) AS vref FROM parts),
+    coded AS (SELECT *, job_reference || ':L' || left(sha256(lower(place)), 32) AS vref FROM parts),
     fresh AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {s_key('vref')} ORDER BY row_order, part) AS rn
         FROM coded WHERE {s_key('vref')} NOT IN (SELECT {s_key('job_reference')} FROM stored)) WHERE rn = 1)
     SELECT row_id, {COLS} FROM stay UNION ALL BY NAME
-    SELECT row_id || '/' || vref AS row_id, vref AS job_reference, {s_clean('place', 500)} AS "Location",
-        {s_clean('"Title"', 500)} AS "Title", {s_city('place')} AS city, {s_state('place')} AS state,
-        CAST(NULL AS VARCHAR) AS zip, 'USA' AS country, {s_clean('job_type', 200)} AS job_type, posted_at,
-        {s_clean('company', 200)} AS company, CAST(coalesce("Isremote", 0) = 1 AS INTEGER) AS "Isremote",
-        {s_clean(_NEWCAT, 150)} AS category, {s_clean('url', 800)} AS url, {s_clean('description')} AS description,
+    SELECT row_id || '/' || vref AS row_id, vref AS job_reference, {s_clean('place')} AS "Location",
+        {s_clean('"Title"')} AS "Title", {s_city('place')} AS city, {s_state('place')} AS state,
+        CAST(NULL AS VARCHAR) AS zip, 'USA' AS country, {s_clean('job_type')} AS job_type, posted_at,
+        {s_clean('company')} AS company, CAST(coalesce("Isremote", 0) = 1 AS INTEGER) AS "Isremote",
+        {s_clean(_NEWCAT)} AS category, {s_clean('url')} AS url, {s_clean('description')} AS description,
         CAST(0 AS DECIMAL(18,2)) AS cpc, {AT} AS inserteddate, coalesce("IsIT", FALSE) AS "IsIT",
         coalesce("ITScore", 0) AS "ITScore" FROM fresh"""
 
@@ -253,7 +251,7 @@ def _variant_rows(s, d):
 
 _VROWS = f"""vrows AS (SELECT row_id AS original, unnest({s_parts('"Location"')}) AS place, job_reference,
     len({s_parts('"Location"')}) AS n FROM stored WHERE {s_match('"Location"', '[;|]')}),
-    vref AS (SELECT original, place, {s_key("CASE WHEN n = 1 OR " + s_blank('job_reference') + " THEN job_reference ELSE job_reference || ':L' || left(sha256(lower(place)), 4) END")} AS ref FROM vrows)"""
+    vref AS (SELECT original, place, {s_key("CASE WHEN n = 1 OR " + s_blank('job_reference') + " THEN job_reference ELSE job_reference || ':L' || left(sha256(lower(place)), 32) END")} AS ref FROM vrows)"""
 query(
     "variant_complete",
     "WITH " + STORED_CTE + "," + _VROWS + f""",

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from jobweave import rules
 from jobweave.functions.url import oracle_detail_url
 from jobweave.queries.base import (
-    q, query, s_any, s_blank, s_category, s_h16, s_is_us, s_it_score, s_match, s_rules, table,
+    q, query, s_any, s_blank, s_category, s_digest, s_is_us, s_it_score, s_match, s_rules, table,
 )
 from jobweave.queries.jobsview import JOBS_CTE, jobs
 from jobweave.operators import reports
@@ -315,7 +315,7 @@ _ORA_URL = "'https://d.example.com/hcmUI/CandidateExperience/en/sites/CX/job/' |
 _ORA_REMOTE = s_any("location || ' ' || title", ["remote"])
 
 
-@norm("oraclecloud", full(external=f"'95:h' || {s_h16(chr(39) + 'd.example.com|cx|' + chr(39) + ' || seq')}", job_url=_ORA_URL, source_id=95,
+@norm("oraclecloud", full(external=f"'95:h' || {s_digest(chr(39) + 'd.example.com|cx|' + chr(39) + ' || seq')}", job_url=_ORA_URL, source_id=95,
                           company="company", location="location || ' | ' || company", description="CASE WHEN o_orderstatus = 'F' THEN description || ' must' ELSE 'short' END",
                           category="CASE WHEN category = '' THEN 'Facet' ELSE category END", is_remote=_ORA_REMOTE, where=f"{US} OR {_ORA_REMOTE}")
       .replace("location || ' | ' || company AS location", "CASE WHEN o_orderstatus = 'F' THEN location || ' | ' || company ELSE location END AS location")
@@ -334,7 +334,7 @@ def _oracle(j):
 
 # the detail of an order comes from its line items
 _LINES = "lines AS (SELECT l_orderkey AS k, count(*) AS n, max(l_shipdate) AS shipped FROM lineitem GROUP BY 1)"
-_BAMBOO_ID = f"'96:h' || {s_h16(chr(39) + 'bamboohr|d.example.com|' + chr(39) + ' || seq')}"
+_BAMBOO_ID = f"'96:h' || {s_digest(chr(39) + 'bamboohr|d.example.com|' + chr(39) + ' || seq')}"
 
 
 @query(
@@ -361,7 +361,7 @@ def _bamboo(s, d):
 _AP_REMOTE = s_any("location || ' ' || title", ["remote"])
 
 
-@norm("applicantpro", full(external=f"'97:h' || {s_h16(chr(39) + 'applicantpro|d.example.com|' + chr(39) + ' || seq')}", company="'D'", source_id=97,
+@norm("applicantpro", full(external=f"'97:h' || {s_digest(chr(39) + 'applicantpro|d.example.com|' + chr(39) + ' || seq')}", company="'D'", source_id=97,
                            job_url="'https://d.example.com/jobs/' || seq", description="CASE WHEN o_orderstatus = 'F' THEN description ELSE '' END",
                            category="CASE WHEN category <> '' THEN category ELSE "
                            + s_category(q(""), "title", "CASE WHEN o_orderstatus = 'F' THEN description ELSE '' END") + " END",
@@ -377,7 +377,7 @@ def _applicantpro(j):
 _BREEZY_CAT = "CASE WHEN category <> '' THEN category WHEN o_orderstatus = 'F' THEN " + s_rules("title || ' ' || description", rules.TECH_CATEGORY_RULES) + " ELSE '' END"
 
 
-@norm("breezyhr", full(external=f"'98:h' || {s_h16(chr(39) + 'breezyhr|d.example.com|' + chr(39) + ' || seq')}", source_id=98,
+@norm("breezyhr", full(external=f"'98:h' || {s_digest(chr(39) + 'breezyhr|d.example.com|' + chr(39) + ' || seq')}", source_id=98,
                        job_url="'https://d.example.com/p/' || seq", description="CASE WHEN o_orderstatus = 'F' THEN description ELSE '' END",
                        location="CASE WHEN o_orderstatus = 'F' THEN 'Salem, OR' ELSE location || ' | ' || title END",
                        category=_BREEZY_CAT, is_remote="contains(location, 'Remote')",
@@ -414,7 +414,7 @@ def _freshteam(j):
 _ICIMS_URL = "'https://d.example.com/jobs/' || seq || '/' || replace(lower(title), ' ', '-') || '/job'"
 
 
-@norm("icims", full(external=f"'98:h' || {s_h16(chr(39) + 'icims|d.example.com|' + chr(39) + ' || seq')}", job_url=_ICIMS_URL, source_id=98,
+@norm("icims", full(external=f"'98:h' || {s_digest(chr(39) + 'icims|d.example.com|' + chr(39) + ' || seq')}", job_url=_ICIMS_URL, source_id=98,
                     is_remote=s_any("location || ' ' || title", ["remote"]),
                     where=f"({US} OR contains(location, 'Remote')) AND {s_it_score('lower(title)', q(''), q(''))} > 0 AND {s_it_score('title', 'category', q(''))} > 0"), FULL)
 def _icims(j):
@@ -427,7 +427,7 @@ def _icims(j):
 _JAZZ_URL = "'https://d.example.com/apply/A' || seq || '/role'"
 
 
-@norm("jazzhr", full(external=f"'97:h' || {s_h16(chr(39) + 'jazzhr|d.example.com|A' + chr(39) + ' || seq')}", job_url=_JAZZ_URL, source_id=97,
+@norm("jazzhr", full(external=f"'97:h' || {s_digest(chr(39) + 'jazzhr|d.example.com|A' + chr(39) + ' || seq')}", job_url=_JAZZ_URL, source_id=97,
                      job_type="''", posted="NULL", is_remote=s_any("location || ' ' || title", ["remote"]),
                      category="CASE WHEN category <> '' THEN category ELSE " + s_rules("title || ' ' || description", rules.TECH_CATEGORY_RULES) + " END",
                      where=f"{US} OR contains(location, 'Remote')"), FULL)
@@ -441,7 +441,7 @@ def _jazzhr(j):
 _CATS_URL = "'https://d.example.com/careers/5/jobs/' || seq || '-role'"
 
 
-@norm("catsone", full(external=f"'98:h' || {s_h16(chr(39) + 'catsone|d.example.com|' + chr(39) + ' || seq')}", company="'D'", job_url=_CATS_URL, source_id=98,
+@norm("catsone", full(external=f"'98:h' || {s_digest(chr(39) + 'catsone|d.example.com|' + chr(39) + ' || seq')}", company="'D'", job_url=_CATS_URL, source_id=98,
                       job_type="''", posted="NULL", location="location || ', TX, US'", category=s_category(q(""), "title", "description"),
                       is_remote=s_any("location || ' ' || title", ["remote"])), FULL)
 def _catsone(j):
@@ -454,7 +454,7 @@ def _catsone(j):
 _ZOHO_URL = "'https://d.example.com/recruit/PortalDetail.na?jobid=A' || lpad(CAST(seq AS VARCHAR), 9, '0')"
 
 
-@norm("zohorecruit", full(external=f"'99:h' || {s_h16(chr(39) + 'zohorecruit|d.example.com|A' + chr(39) + ' || lpad(CAST(seq AS VARCHAR), 9, ' + chr(39) + '0' + chr(39) + ')')}",
+@norm("zohorecruit", full(external=f"'99:h' || {s_digest(chr(39) + 'zohorecruit|d.example.com|A' + chr(39) + ' || lpad(CAST(seq AS VARCHAR), 9, ' + chr(39) + '0' + chr(39) + ')')}",
                           company="'D'", job_url=_ZOHO_URL, source_id=99, job_type="'Contract'", posted="NULL",
                           location="location || ', TX'", description="'contract ' || description",
                           category=s_category(q(""), "title", "'contract ' || description"), is_remote=s_any("location || ' ' || title", ["remote"]))
@@ -581,17 +581,23 @@ def mixed_payloads(s, d) -> DataFrame:
     status = F.expr("CASE o_orderstatus WHEN 'P' THEN 500 ELSE 200 END")
     unknown = payloads(j, lit("{}"), source="Nobody")
     broken = payloads(j, F.concat(lit('{"jobs":['), "title"), source="Ashby")
+    error = payloads(j, lit('{"error":"gone"}'), source="Greenhouse").unionByName(payloads(j, lit('{"data":[]}'), source="Lever"))
+    blocked = payloads(j, lit("<html><body>blocked</body></html>"), source="Personio", kind="feed")
+    other = payloads(j, lit("[]"), source="Lever", kind="page")
     return (
         payloads(j, one("jobs", jobicy), source="Jobicy", status=status)
         .unionByName(payloads(j, one("", lever), source="Lever"))
         .unionByName(unknown)
         .unionByName(broken)
+        .unionByName(error)
+        .unionByName(blocked)
+        .unionByName(other)
     )
 
 
 @query(
     "payload_scan",
-    f"{J} SELECT source, kind, count(*) AS n FROM (SELECT 'Lever' AS source, 'list' AS kind FROM jobs) GROUP BY 1, 2",
+    f"{J} SELECT source, kind, count(*) AS n FROM (SELECT 'Lever' AS source, 'list' AS kind FROM jobs UNION ALL SELECT 'Lever', 'list' FROM jobs) GROUP BY 1, 2",
 )
 def payload_scan(s, d):
     path = shared_folder(s, "payloads")
@@ -602,7 +608,9 @@ def payload_scan(s, d):
 query(
     "rejects",
     f"""{J} SELECT 'Jobicy' AS source, 'status' AS reason, count(*) AS n FROM jobs WHERE o_orderstatus = 'P' GROUP BY 1, 2
-    UNION ALL SELECT 'Nobody', 'unknown source', count(*) FROM jobs UNION ALL SELECT 'Ashby', 'broken json', count(*) FROM jobs""",
+    UNION ALL SELECT 'Nobody', 'unknown source', count(*) FROM jobs UNION ALL SELECT 'Ashby', 'broken json', count(*) FROM jobs
+    UNION ALL SELECT 'Greenhouse', 'wrong shape', count(*) FROM jobs UNION ALL SELECT 'Lever', 'wrong shape', count(*) FROM jobs
+    UNION ALL SELECT 'Personio', 'wrong shape', count(*) FROM jobs UNION ALL SELECT 'Lever', 'unknown kind', count(*) FROM jobs""",
 )(
     lambda s, d: registry.rejects(mixed_payloads(s, d)).groupBy("source", "reason").agg(F.count(F.lit(1)).alias("n"))
 )

@@ -135,7 +135,7 @@ query(
     "expand_locations",
     W + "," + _VARIANTS + f""" SELECT seq, CAST(part AS INTEGER) AS part, place AS location,
     CASE WHEN len(places) <= 1 OR {s_blank('external_id')} THEN external_id
-         ELSE external_id || ':L' || left(sha256(lower(place)), 4) END AS external_id FROM exploded""",
+         ELSE external_id || ':L' || left(sha256(lower(place)), 32) END AS external_id FROM exploded""",
 )(
     lambda s, d: expand.expand_locations(jobs(s, d).select("seq", "location", "external_id")).select(
         "seq", "part", "location", "external_id"
@@ -218,12 +218,12 @@ query(
 
 query(
     "stage_projection",
-    W + f""" SELECT seq, {s_clean('location', 500)} AS "Location", {s_clean('title', 500)} AS "Title",
+    W + f""" SELECT seq, {s_clean('location')} AS "Location", {s_clean('title')} AS "Title",
     {s_city('location')} AS city, {s_state('location')} AS state, 'USA' AS country,
-    {s_clean('job_type', 200)} AS job_type, CAST(is_remote AS INTEGER) AS "Isremote",
-    {s_clean('category', 30)} AS category, left({s_key('external_id')}, 200) AS normalized_reference,
-    left({s_key('job_url')}, 800) AS normalized_url, left({s_key('title')}, 500) AS normalized_title,
-    left({s_key('company')}, 200) AS normalized_company, left({s_key('location')}, 500) AS normalized_location
+    {s_clean('job_type')} AS job_type, CAST(is_remote AS INTEGER) AS "Isremote",
+    {s_clean('category')} AS category, {s_key('external_id')} AS normalized_reference,
+    {s_key('job_url')} AS normalized_url, {s_key('title')} AS normalized_title,
+    {s_key('company')} AS normalized_company, {s_key('location')} AS normalized_location
     FROM jobs""",
 )(
     lambda s, d: upsert.stage(with_it_flags(jobs(s, d)), LOADED_AT).select(

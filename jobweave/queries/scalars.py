@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 from jobweave import rules
 from jobweave.functions import classify, dates, html, ids, jsonv, location, text, url
 from jobweave.queries.base import (
-    q, query, s_any, s_blank, s_city, s_clean, s_fingerprint, s_first, s_h16, s_host, s_is_us, s_it_score,
+    q, query, s_any, s_blank, s_city, s_clean, s_digest, s_fingerprint, s_first, s_host, s_is_us, s_it_score,
     s_key, s_match, s_parts, s_rules, s_state, s_trim, s_url_path, table,
 )
 from jobweave.queries.jobsview import JOBS_CTE, jobs
+from jobweave.sources.normalizers import html_pages
 
 J = "WITH " + JOBS_CTE
 
@@ -81,7 +82,6 @@ _on("split_list", "part", "p_partkey", "[p_name, p_type] AS v",
     v=lambda: text.split_list(F.concat("p_name", F.lit("; ,"), "p_type", F.lit(" ,"), F.upper("p_name"), F.lit(";"))))
 _on("json_unescape", "jobs", "seq", "title || chr(10) || company || '/\"' AS v",
     v=lambda: text.json_unescape(F.concat("title", F.lit("\\n"), "company", F.lit('\\/\\"'))))
-_on("text_cap", "documents", "doc_id", "left(text, 5000) AS v", v=lambda: F.left("text", F.lit(5000)))
 _on(
     "location_candidate", "jobs", "seq",
     "CASE WHEN location LIKE '%Germany%' THEN '' ELSE location END AS v",
@@ -179,6 +179,7 @@ def _s_decode(x: str) -> str:
 
 _SPACED = f"regexp_replace({_s_decode(_TAGS)}, '{_WS}+', ' ', 'g')"
 _on("strip_tags", "pages", "page_id", f"md5({s_trim(_SPACED)}) AS v", v=lambda: F.md5(html.strip_tags("html").cast("binary")))
+_on("page_text", "pages", "page_id", f"md5({s_trim(_SPACED)}) AS v", v=lambda: F.md5(html_pages.page_text("html").cast("binary")))
 _on("decode_entities", "pages", "page_id", f"md5({_s_decode('html')}) AS v", v=lambda: F.md5(html.decode_entities("html").cast("binary")))
 _on("decode_entities_all", "documents", "doc_id", "text || '<\"é''>' AS v",
     v=lambda: html.decode_entities(F.concat("text", F.lit("&lt;&quot;&eacute;&#39;&#x3E;"))))
@@ -310,12 +311,12 @@ _on("epoch_dates", "orders", "o_orderkey", "o_orderdate AS seconds, o_orderdate
 
 # --- ids ----------------------------------------------------------------------------------------------------------------
 
-_on("scoped_id", "jobs", "seq", f"'96:h' || {s_h16(chr(39) + 'bamboohr|acme.example.com|' + chr(39) + ' || external_id')} AS v",
+_on("scoped_id", "jobs", "seq", f"'96:h' || {s_digest(chr(39) + 'bamboohr|acme.example.com|' + chr(39) + ' || external_id')} AS v",
     v=lambda: ids.scoped_id(96, "bamboohr", F.lit("https://www.Acme.example.com/x"), F.concat(F.lit(" "), "external_id")))
-_on("site_scoped_id", "jobs", "seq", f"'95:h' || {s_h16(chr(39) + 'd.com|cx|' + chr(39) + ' || seq')} AS v",
+_on("site_scoped_id", "jobs", "seq", f"'95:h' || {s_digest(chr(39) + 'd.com|cx|' + chr(39) + ' || seq')} AS v",
     v=lambda: ids.site_scoped_id(95, F.lit("D.com"), F.lit("CX"), F.col("seq").cast("string")))
 _on("plain_id", "jobs", "seq", "'91:' || seq AS v", v=lambda: ids.plain_id(91, F.col("seq").cast("string")))
-_GEN = f"'workday:h' || {s_h16(chr(39) + 'd|t|s|/p|' + chr(39) + ' || title')}"
+_GEN = f"'workday:h' || {s_digest(chr(39) + 'd|t|s|/p|' + chr(39) + ' || title')}"
 _on("workday_reference", "jobs", "seq",
     f"CASE WHEN external_id <> '' THEN external_id ELSE {_GEN} END AS v, 'R-' || seq AS from_path, {_GEN} AS generated",
     v=lambda: ids.workday_reference("external_id", F.lit("Sales"), F.lit("/p"), F.lit("D"), F.lit("T"), F.lit("S"), "title"),

@@ -24,7 +24,7 @@ def _postings(s, d):
 _EXPANDED = f"""
     parted AS (SELECT *, {s_parts('location')} AS places FROM jobs),
     ejobs AS (SELECT * EXCLUDE (places, place, location, external_id, p), place AS location, CAST(p AS INTEGER) AS part,
-        CASE WHEN len(places) <= 1 OR {s_blank('external_id')} THEN external_id ELSE external_id || ':L' || left(sha256(lower(place)), 4) END AS external_id
+        CASE WHEN len(places) <= 1 OR {s_blank('external_id')} THEN external_id ELSE external_id || ':L' || left(sha256(lower(place)), 32) END AS external_id
         FROM (SELECT *, unnest(CASE WHEN len(places) = 0 THEN [location] ELSE places END) AS place,
             unnest(range(greatest(len(places), 1))) AS p FROM parted))"""
 _FP = s_fingerprint("title", "company", "location")
@@ -45,10 +45,10 @@ _SCORE = s_it_score("title", "category", "description")
 _STAGE = f"""
     prepared AS (SELECT ejobs.*, {s_category('category', 'title', 'description')} AS cat, {_SCORE} AS score
         FROM ejobs JOIN status USING (seq, part) WHERE status = 'existing'),
-    staged AS (SELECT * FROM (SELECT (seq, part) AS sid, {s_clean('location', 500)} AS s_location, {s_clean('title', 500)} AS s_title,
-        {s_city('location')} AS s_city, {s_state('location')} AS s_state, {s_clean('job_type', 200)} AS s_job_type,
-        date_posted AS s_posted_at, {s_clean('company', 200)} AS s_company, CAST(is_remote AS INTEGER) AS s_remote,
-        {s_clean('cat', 30)} AS s_category, {s_clean('job_url', 800)} AS s_url, {s_clean('description')} AS s_description,
+    staged AS (SELECT * FROM (SELECT (seq, part) AS sid, {s_clean('location')} AS s_location, {s_clean('title')} AS s_title,
+        {s_city('location')} AS s_city, {s_state('location')} AS s_state, {s_clean('job_type')} AS s_job_type,
+        date_posted AS s_posted_at, {s_clean('company')} AS s_company, CAST(is_remote AS INTEGER) AS s_remote,
+        {s_clean('cat')} AS s_category, {s_clean('job_url')} AS s_url, {s_clean('description')} AS s_description,
         score > 0 AS s_it, score AS s_score, {s_key('external_id')} AS nr, {s_key('job_url')} AS nu,
         {s_key('title')} AS nt, {s_key('company')} AS nc, {s_key('location')} AS nl,
         row_number() OVER (PARTITION BY {s_key('external_id')}, {s_key('job_url')}, {s_key('title')},

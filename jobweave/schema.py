@@ -57,22 +57,6 @@ JOBS_TABLE = T.StructType(
 )
 TABLE_COLUMNS = [f.name for f in JOBS_TABLE]
 
-# Column lengths of the stored table (characters).
-LENGTHS = {
-    "job_reference": 200,
-    "Location": 500,
-    "Title": 500,
-    "city": 200,
-    "state": 50,
-    "zip": 20,
-    "country": 50,
-    "job_type": 200,
-    "company": 200,
-    "category": 150,
-    "url": 800,
-}
-REFRESH_CATEGORY_LENGTH = 30
-
 EXPORT_COLUMNS = [
     "source", "source_id", "domain", "tenant", "wd_server", "site", "api_url", "company",
     "title", "location", "is_us", "is_remote", "job_type", "category", "date_posted",

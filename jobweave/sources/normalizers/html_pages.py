@@ -61,7 +61,6 @@ from jobweave.operators.dedupe import cap_per_group, dedupe_source
 from jobweave.operators.filters import login_wall
 from jobweave.sources.normalizers.common import CONTEXT, context, finish, items, us_or_remote, with_detail, with_posting
 
-TEXT_LENGTH = 5000  # longest page text the two text-only sources keep
 
 
 def _filled(c) -> Column:
@@ -69,8 +68,8 @@ def _filled(c) -> Column:
 
 
 def page_text(html) -> Column:
-    """Whole text of a page, cut to the stored length."""
-    return F.left(strip_tags(html), F.lit(TEXT_LENGTH))
+    """Whole text of a page."""
+    return strip_tags(html)
 
 
 def _pages(details: DataFrame) -> DataFrame:
@@ -296,7 +295,7 @@ def portal_rows(payloads: DataFrame) -> DataFrame:
         & ~v.rlike(rules.JOB_CODE)
         & ~v.rlike(rules.JOB_TYPE_CELL),
     )
-    df = df.withColumn("_where", F.array_join(F.slice(others, 1, 2), ", "))
+    df = df.withColumn("_where", F.array_join(others, ", "))
     return cap_per_group(df, ["payload_seq", "job_url"], ["pos"], 1)
 
 

@@ -174,7 +174,7 @@ def oraclecloud(payloads: DataFrame, details: DataFrame) -> DataFrame:
     df = df.withColumns(
         {
             "_long": long_text,
-            "location": first_non_empty(join_places(every, " | ", limit=6), "location"),
+            "location": first_non_empty(join_places(every, " | "), "location"),
         }
     )
     df = df.withColumn(
@@ -359,7 +359,7 @@ def breezyhr(payloads: DataFrame, details: DataFrame) -> DataFrame:
     df = json_list(payloads, _BREEZY).withColumn("_title", clean_text("j.name"))
     df = df.filter(~is_blank("j.id") & (F.col("_title") != ""))
     many = F.when(F.startswith("j.locations", F.lit("[")), F.transform(as_items("j.locations"), _breezy_place))
-    several = join_places(decode_entities_in(many), " | ", limit=4)
+    several = join_places(decode_entities_in(many), " | ")
     df = df.withColumn(
         "_where",
         F.coalesce(empty_to_null(several), clean_text(_breezy_place(F.col("j.location")))),

@@ -32,11 +32,11 @@ _DETAIL = f"struct<jobPostingInfo:{_struct(*_INFO_FIELDS)}," + ",".join(f"{f}:st
 
 
 def category_of(j: str = "j") -> Column:
-    """First filled job-family field, else the bullets joined with ' | ' (250 characters)."""
+    """First filled job-family field, else the bullets joined with ' | '."""
     fields = ("jobFamily", "jobFamilyGroup", "jobProfile", "workerSubType", "employmentType")
     named = [F.when(~is_blank(scalar(f"{j}.{f}")), trim_ws(scalar(f"{j}.{f}"))) for f in fields]
     bullets = F.filter(F.col(f"{j}.bulletFields"), lambda b: ~is_blank(b))
-    return F.coalesce(*named, F.left(F.array_join(bullets, " | "), F.lit(250)), F.lit(""))
+    return F.coalesce(*named, F.array_join(bullets, " | "), F.lit(""))
 
 
 def _listed(payloads: DataFrame) -> DataFrame:

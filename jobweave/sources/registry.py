@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import inspect
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from jobweave import rules
 from jobweave.operators.filters import us_or_remote
@@ -39,25 +40,56 @@ def normalize_payloads(payloads: DataFrame, only: str | None = None, **options)
         entry = NORMALIZERS[source.name]
         own = payloads.filter(F.col("source") == source.name)
         parts = [own.filter(F.col("kind") == kind) for kind in entry.kinds]
-        extra = {k: v for k, v in options.items() if k in entry.function.__code__.co_varnames}
+        takes = inspect.signature(entry.function).parameters
+        extra = {k: v for k, v in options.items() if k in takes}
         jobs = entry.function(*parts, **extra)
         frames.append(us_or_remote(jobs, source.remote_counts))
     return union_sources(frames)
 
 
+# How a source's list responses must look: where the list is, in JSON; or what a feed or page
+# of that system begins with or holds.
+_LIST_PATHS = {
+    "Jobicy": ("$.jobs",), "Remotive": ("$.jobs",), "Arbeitnow": ("$.data",), "Greenhouse": ("$.jobs",), "Taleo": ("$.requisitionList",),
+    "Lever": ("$",), "Ashby": ("$.jobs",), "SmartRecruiters": ("$.content",), "Dayforce": ("$",), "Recruitee": ("$.offers",), "Jobsoid": ("$",),
+    "OracleCloud": ("$.items",), "BambooHR": ("$.result",), "ApplicantPro": ("$.data.jobs",), "BreezyHR": ("$",), "Workday": ("$.jobPostings",),
+    "SuccessFactors": ("$", "$.jobs", "$.results", "$.data.jobs"),
+}
+
+
+def _is_list(body: Column, path: str) -> Column:
+    found = body if path == "$" else F.get_json_object(body, path)
+    return F.coalesce(F.startswith(F.ltrim(found), F.lit("[")), F.lit(False))
+
+
+def _wrong_shape(body: Column) -> Column:
+    """True for a list or feed whose body can't hold its source's postings."""
+    out = F.lit(False)
+    for name, paths in _LIST_PATHS.items():
+        held = reduce(lambda a, b: a | b, [_is_list(body, p) for p in paths])
+        out = F.when((F.col("source") == name) & (F.col("kind") == "list"), ~held).otherwise(out)
+    feed = F.col("kind") == "feed"
+    return F.when(feed, ~body.rlike(r"(?is)<(rss|feed|channel|item|workzag-jobs|jobs|position)\b")).otherwise(out)
+
+
 def rejects(payloads: DataFrame) -> DataFrame:
-    """Payloads no normaliser can use: failed captures, and JSON bodies that do not parse.
+    """Payloads no normaliser can use, with the reason: unknown sources and kinds, failed captures,
+    empty bodies, JSON that does not parse, and lists and feeds of another shape than the
+    source's, such as an error object or a blocking page.  An empty list is not a reject.
 
     A broken body gives no postings; it does not stop the other sources.
     """
     names = [s.name for s in rules.SOURCES]
+    kinds = [F.lit(f"{name}|{kind}") for name, entry in NORMALIZERS.items() for kind in entry.kinds]
+    own_kind = F.array_contains(F.array(*kinds), F.concat_ws("|", "source", "kind"))
     body = F.ltrim(F.coalesce("body", F.lit("")))
     looks_json = body.rlike(r"^[\[{]")
     reason = (
         F.when(~F.col("source").isin(*names), F.lit("unknown source"))
+        .when(~own_kind, F.lit("unknown kind"))
         .when(F.col("status_code").isNotNull() & ~F.col("status_code").between(200, 299), F.lit("status"))
         .when(body == "", F.lit("empty body"))
         .when(looks_json & F.try_parse_json("body").isNull(), F.lit("broken json"))
+        .when(_wrong_shape(body), F.lit("wrong shape"))
     )
     return payloads.withColumn("reason", reason).filter(F.col("reason").isNotNull())
-
