@@ -1,14 +1,11 @@
-"""HTML reading with regular expressions, and the one Arrow UDF (entity decoding)."""
+"""HTML reading with regular expressions."""
 
 from __future__ import annotations
 
 import re
-import sys
 from html.entities import name2codepoint
 
-import pandas as pd
-from pyspark import cloudpickle
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, functions as F
 
 from jobweave import rules
 from jobweave.functions.text import (
@@ -26,49 +23,44 @@ from jobweave.functions.text import (
     zipped,
 )
 
-# the two UDFs travel with the job, so executors need not have this package installed
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+_NAME = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
 
-_ENTITY = re.compile(r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);")
 
+def _named() -> Column:
+    """The named entities and their characters."""
+    names = {**{name: chr(code) for name, code in name2codepoint.items()}, "apos": "'"}
+    return F.str_to_map(F.lit(";".join(f"{name}={character}" for name, character in names.items())), F.lit(";"), F.lit("="))
 
-def _entity(match: re.Match) -> str:
-    name = match.group(1)
-    if name[0] == "#":
-        code = int(name[2:], 16) if name[1] in "xX" else int(name[1:])
-        return chr(code) if 0 < code < 0x110000 and not 0xD800 <= code < 0xE000 else match.group(0)
-    if name == "apos":
-        return "'"
-    code = name2codepoint.get(name)
-    return match.group(0) if code is None else chr(code)
 
+def _character(name: Column) -> Column:
+    """The character of an entity's name or number; NULL when there is none."""
+    number = F.when(
+        F.lower(F.substring(name, 2, 1)) == "x", F.conv(F.substring(name, 3, 6), 16, 10).cast("int")
+    ).otherwise(F.substring(name, 2, 7).try_cast("int"))
+    valid = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+    numbered = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(number), 8, F.lit("0"))), "UTF-32"))
+    return F.when(F.startswith(name, F.lit("#")), numbered).when(name != "", F.try_element_at(_named(), name))
 
-@F.pandas_udf(T.StringType())
-def _decode(values: pd.Series) -> pd.Series:
-    return values.map(lambda v: _ENTITY.sub(_entity, v), na_action="ignore")
 
-
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _decode_all(values: pd.Series) -> pd.Series:
-    return values.map(
-        lambda vs: [None if v is None else _ENTITY.sub(_entity, v) for v in vs], na_action="ignore"
+def _after_ampersand(part: Column) -> Column:
+    """A piece of text that followed '&', its entity decoded."""
+    whole = lambda name, ch: F.when(ch.isNull(), F.concat(F.lit("&"), part)).otherwise(
+        F.concat(ch, F.substr(part, F.length(name) + 2))
     )
+    return let(F.regexp_extract(part, _NAME, 1), lambda name: let(_character(name), lambda ch: whole(name, ch)))
 
 
 def decode_entities(c) -> Column:
-    """Decode HTML entities.
-
-    Only values holding '&' are sent to Python; the rest stay in the JVM.
-    """
-    c = col(c)
-    return F.coalesce(_decode(let(c, lambda v: F.when(F.contains(v, F.lit("&")), v))), c)
+    """Decode HTML entities; an unknown one stays as it is."""
+    decoded = lambda parts: F.concat(
+        F.get(parts, F.lit(0)), F.array_join(F.transform(F.slice(parts, F.lit(2), F.size(parts)), _after_ampersand), "")
+    )
+    return let(col(c), lambda v: F.when(F.contains(v, F.lit("&")), let(F.split(v, "&"), decoded)).otherwise(v))
 
 
 def decode_entities_in(values) -> Column:
     """Entity decoding for an array column."""
-    values = col(values)
-    some = lambda vs: F.exists(vs, lambda v: F.contains(v, F.lit("&")))
-    return F.coalesce(_decode_all(let(values, lambda vs: F.when(some(vs), vs))), values)
+    return F.transform(col(values), decode_entities)
 
 
 def clean_text(c) -> Column:

@@ -131,11 +131,9 @@ def zipped(left, right, names: tuple[str, str]) -> Column:
 
 def last_wins(pairs) -> Column:
     """Map of an array of (k, v) string pairs; a repeated key keeps its last value."""
-    return F.aggregate(
-        pairs,
-        F.create_map().cast("map<string,string>"),
-        lambda m, p: F.map_concat(F.map_filter(m, lambda k, _: k != p["k"]), F.create_map(p["k"], p["v"])),
-    )
+    keys = lambda back: F.transform(back, lambda p: p["k"])
+    kept = lambda back, ks: F.filter(back, lambda p, i: F.array_position(ks, p["k"]) == i + 1)
+    return F.map_from_entries(let(F.reverse(pairs), lambda back: let(keys(back), lambda ks: kept(back, ks))))
 
 
 def filled_items(values) -> Column:

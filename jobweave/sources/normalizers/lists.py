@@ -46,7 +46,7 @@ from jobweave.functions.text import (
     upper_first,
 )
 from jobweave.operators.merge import merge_postings
-from jobweave.sources.normalizers.common import finish, items, json_list, us_or_remote
+from jobweave.sources.normalizers.common import fixed, finish, items, json_list, us_or_remote
 
 
 def _struct(*fields: str) -> str:
@@ -178,7 +178,7 @@ def taleo(payloads: DataFrame) -> DataFrame:
     shape = "struct<fields:array<string>,requisitionList:array<struct<column:array<string>,contestNo:string,jobId:string>>>"
     parsed = F.from_json("body", shape)
     df = items(payloads, parsed["requisitionList"], parsed["fields"].alias("fields"))
-    df = df.withColumn("v", positional("fields", F.coalesce(F.col("j.column"), F.array().cast("array<string>"))))
+    df = fixed(df, "v", positional("fields", F.coalesce(F.col("j.column"), F.array().cast("array<string>"))))
     value = lambda k: F.try_element_at("v", F.lit(k))
     df = df.withColumn("location", F.coalesce(value("location"), value("primarylocation"), F.lit("")))
     df = df.filter(is_us("location"))
