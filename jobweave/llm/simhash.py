@@ -62,21 +62,21 @@ def fingerprint(text: bytes) -> int:
     return value
 
 
-def _fingerprints(text: str):
+def _fingerprints(text: str, name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows_of(batches):
             prints = np.array([fingerprint(t) for t in binary_column(batch, text)], dtype=np.uint64)
             kept = [batch.column(i) for i in range(batch.num_columns) if batch.schema.names[i] != text]
             names = [n for n in batch.schema.names if n != text]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(prints.view(np.int64))], [*names, "fp"])
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(prints.view(np.int64))], [*names, name])
 
     return run
 
 
-def with_fingerprints(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
-    """``keep`` columns and ``fp``, the fingerprint as a signed 64-bit number."""
-    schema = docs.select(*keep).schema.add("fp", "long")
-    return docs.select(*keep, text).mapInArrow(_fingerprints(text), schema)
+def with_fingerprints(docs: DataFrame, keep: list[str], text: str = "text", name: str = "fp") -> DataFrame:
+    """``keep`` columns and ``name``, the fingerprint as a signed 64-bit number."""
+    schema = docs.select(*keep).schema.add(name, "long")
+    return docs.select(*keep, text).mapInArrow(_fingerprints(text, name), schema)
 
 
 def references() -> list[int]:
@@ -227,7 +227,7 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     single = kept.where("_kept_n = 1").select(*docs.columns)
     several = kept.where("_kept_n > 1").dropDuplicates(["_kept_id"]).select(*docs.columns)
     nameless = docs.where(docs[doc_id].isNull()).select(*docs.columns, F.col(text).alias("_read_text"))
-    printed = with_fingerprints(nameless, docs.columns, "_read_text").withColumnRenamed("fp", "_fp")
+    printed = with_fingerprints(nameless, docs.columns, "_read_text", "_fp")
     roots = found.where("doc_id is null and component_id is null").select(F.col("fp").alias("_fp"), F.col("root").alias("_root")).distinct()
     nameless = printed.join(roots, "_fp").dropDuplicates(["_root"]).select(*docs.columns)
     return single.union(several).union(nameless)
