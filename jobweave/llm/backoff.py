@@ -13,13 +13,15 @@ other.  That table has a fixed largest size and is broadcast.  Pairs are numbers
 words' ranks.  The pairs of the HOT most frequent words, which make up the frequent pairs,
 are counted and scored where their rows are, by a broadcast table of at most (HOT + 2)^2 counts.
 All other pairs have a word that fewer than one in HOT places has, so no pair's rows are many;
-they are dealt out by the pair's hash once, counted there, and joined to their counts in place.
+they are dealt out by the pair's hash once, and each gets its pair's count where the pair's rows
+meet.
 Sums per document are taken before the rows are dealt out by document.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from jobweave.llm.common import cut_lineage
@@ -39,22 +41,26 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[\x09-\x0D\x20]+"), lambda w: w != "")
 
 
+def begun(text: Column) -> Column:
+    """The words after the empty one that a document begins with; nothing without words."""
+    words = words_of(text)
+    return F.when(F.size(words) > 0, F.concat(F.array(F.lit("")), words)).otherwise(words)
+
+
 def vocabulary(docs: DataFrame, text: str = "text", size: int = VOCABULARY) -> DataFrame:
     """(word, rank, n): ranks by count, then word; the unknown word (null) and the beginning ('')
     are always there, with count 0 if nothing is."""
-    words = docs.select(words_of(F.col(text)).alias("w"))
     known = F.when(F.octet_length("word") <= WORD_BYTES, F.col("word"))
-    counts = cut_lineage(words.select(F.explode("w").alias("word")).select(known.alias("word")).groupBy("word").agg(F.count("*").alias("n")), "words")
-    top = counts.where("word is not null").orderBy(F.desc("n"), "word").limit(size)
+    words = docs.select(F.explode(begun(F.col(text))).alias("word")).select(known.alias("word"))
+    counts = cut_lineage(words.groupBy("word").agg(F.count("*").alias("n")), "words")
+    top = counts.where("word <> ''").orderBy(F.desc("n"), "word").limit(size)
     # at most ``size`` rows are numbered in one task
     rank = F.expr("row_number() over (order by n desc, word)") + 1
     top = cut_lineage(top.select("word", rank.cast("long").alias("rank"), "n"), "vocabulary")
-    whole = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
-    kept = top.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("k"))
-    begun = words.agg(F.count(F.when(F.size("w") > 0, 1)).alias("n"))
-    unknown = whole.join(kept).select(F.lit(None).cast("string").alias("word"), F.lit(UNKNOWN).cast("long").alias("rank"), (F.col("n") - F.col("k")).alias("n"))
-    begin = begun.select(F.lit("").alias("word"), F.lit(BEGIN).cast("long").alias("rank"), "n")
-    return cut_lineage(top.union(unknown).union(begin), "vocabulary")
+    of = lambda rows: rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    begin, every = of(counts.where("word = ''")), of(counts)
+    rest = [(None, UNKNOWN, every - begin - of(top)), ("", BEGIN, begin)]
+    return top.union(docs.sparkSession.createDataFrame(rest, top.schema))
 
 
 def pairs(docs: DataFrame, vocab: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -62,16 +68,16 @@ def pairs(docs: DataFrame, vocab: DataFrame, doc_id: str = "doc_id", text: str =
 
     ``row`` numbers the rows of ``docs``.  A document without words has one row of nulls.
     """
-    begun = F.concat(F.array(F.lit("")), words_of(F.col(text)))
-    base = docs.select(F.col(doc_id).alias("doc_id"), F.monotonically_increasing_id().alias("row"), begun.alias("w"))
-    zipped = F.arrays_zip(F.slice("w", 1, F.size("w") - 1).alias("v"), F.slice("w", 2, F.size("w") - 1).alias("w"))
+    base = docs.select(F.col(doc_id).alias("doc_id"), F.monotonically_increasing_id().alias("row"), begun(F.col(text)).alias("w"))
+    size = F.greatest(F.size("w") - 1, F.lit(0))
+    zipped = F.arrays_zip(F.slice("w", 1, size).alias("v"), F.slice("w", 2, size).alias("w"))
     rows = base.select("doc_id", "row", F.explode_outer(zipped).alias("p")).select("doc_id", "row", F.col("p.v").alias("v"), F.col("p.w").alias("w"))
-    ranks = vocab.where("word is not null").select("word", "rank")
+    ranks = vocab.where("word is not null").select("word", F.col("rank").cast("int").alias("rank"))
     out = rows
     for column, rank in (("v", "a"), ("w", "b")):
         own = F.broadcast(ranks.select(F.col("word").alias(column), F.col("rank").alias(rank)))
         out = out.join(own, column, "left")
-    known = lambda rank, word: F.when(F.col(word).isNotNull(), F.coalesce(rank, F.lit(UNKNOWN).cast("long"))).alias(rank)
+    known = lambda rank, word: F.when(F.col(word).isNotNull(), F.coalesce(rank, F.lit(UNKNOWN))).alias(rank)
     return out.select("doc_id", "row", known("a", "v"), known("b", "w"))
 
 
@@ -83,12 +89,13 @@ def scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     """
     vocab = vocabulary(docs, text)
     n = vocab.where(F.col("rank") != BEGIN).agg(F.sum("n")).first()[0] or 1
-    every = pairs(docs, vocab, doc_id, text).withColumn("pair", F.shiftleft("a", _SHIFT).bitwiseOR(F.col("b")))
+    # the ranks take a few bytes a word; the texts are not cut and looked up again
+    every = cut_lineage(pairs(docs, vocab, doc_id, text), "pairs")
+    every = every.withColumn("pair", F.shiftleft(F.col("a").cast("long"), _SHIFT).bitwiseOR(F.col("b").cast("long")))
     is_hot = (F.col("a") < HOT + 2) & (F.col("b") < HOT + 2)
     hot, cold = every.where(is_hot | F.col("a").isNull()), every.where(~is_hot)
     hot_counts = cut_lineage(hot.where("pair is not null").groupBy("pair").agg(F.count("*").alias("c")), "hot-pairs")
-    dealt = cold.select("pair", "row", "doc_id").repartition("pair")
-    cold_counts = dealt.groupBy("pair").agg(F.count("*").alias("c"))
+    counted = cold.select("pair", "row", "doc_id").withColumn("c", F.count("*").over(W.partitionBy("pair")))
     sizes = F.broadcast(vocab.select("rank", F.log(F.greatest(F.col("n"), F.lit(1)).cast("double")).alias("log_n")))
 
     def summed(rows: DataFrame) -> DataFrame:
@@ -99,8 +106,8 @@ def scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
         back = F.log(F.lit(BACKOFF / n)) + F.col("log_b")
         return rows.select("row", "doc_id", F.when(F.col("c") >= MIN_COUNT, seen).otherwise(back).alias("s"), F.col("pair").isNotNull().cast("long").alias("k"))
 
-    parts = summed(hot.select("pair", "row", "doc_id").join(F.broadcast(hot_counts), "pair", "left"))
-    parts = parts.union(summed(dealt.join(cold_counts, "pair")))
+    parts = summed(hot.select("pair", "row", "doc_id").join(F.broadcast(hot_counts), "pair", "left").select("pair", "row", "doc_id", "c"))
+    parts = parts.union(summed(counted.select("pair", "row", "doc_id", "c")))
     done = parts.groupBy("row", "doc_id").agg(F.sum("k").alias("n_words"), F.coalesce(F.sum("s"), F.lit(0.0)).alias("log_score"))
     mean = F.when(F.col("n_words") > 0, F.col("log_score") / F.col("n_words"))
     return done.select("doc_id", "n_words", "log_score", mean.alias("mean_log_score"))
