@@ -18,6 +18,7 @@ from jobweave.operators import reports
 from jobweave.schema import EXPORT_COLUMNS, PAYLOADS, conform
 from jobweave.sources import registry
 from jobweave.sources.normalizers import feeds, html_pages, list_detail, lists, workday
+from jobweave.sources.normalizers.common import payload_of
 from jobweave.sources.payloads import read_payloads
 from jobweave.session import shared_folder
 
@@ -55,7 +56,7 @@ def one(path: str, item: Column) -> Column:
 
 def out(df: DataFrame, *columns: str) -> DataFrame:
     """Posting number (from the arrival number) and the compared columns."""
-    n = F.shiftright("seq", 20).bitwiseAND(F.lit((1 << 38) - 1)).alias("n")
+    n = payload_of("seq").alias("n")
     return df.select(n, *columns)
 
 

@@ -12,7 +12,7 @@ S, B, I, L, TS = T.StringType(), T.BooleanType(), T.IntegerType(), T.LongType(),
 JOBS_STD = T.StructType(
     [
         T.StructField("source_name", S),
-        T.StructField("seq", L),
+        T.StructField("seq", T.DecimalType(38, 0)),
         T.StructField("part", I),
         T.StructField("title", S),
         T.StructField("company", S),

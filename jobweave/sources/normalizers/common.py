@@ -14,15 +14,25 @@ from jobweave.sources.payloads import succeeded
 
 CONTEXT = ["payload_seq", "tenant", "site", "domain", "company_name"]
 
-# Arrival order in one number: source rank, payload, position in the payload.
-_RANK_SHIFT, _PAYLOAD_SHIFT = 58, 20
+# Arrival order in one number of 38 digits: source rank, payload (any long) and position in the
+# payload (any int), each in digits of its own, so that no two items share a number.
+_POSITION_DIGITS, _PAYLOAD_DIGITS = 10, 19
+
+
+def _digits(n: int) -> Column:
+    return F.lit(f"1{'0' * n}").cast("decimal(38,0)")
 
 
 def arrival(source: rules.Source, payload_seq, position) -> Column:
-    payload = F.shiftleft(F.col(payload_seq).cast("bigint"), _PAYLOAD_SHIFT)
-    return F.lit(source.rank << _RANK_SHIFT).cast("bigint").bitwiseOR(payload).bitwiseOR(
-        F.col(position).cast("bigint")
-    )
+    whole = lambda c: c.cast("decimal(38,0)")
+    payload = F.lit(source.rank).cast("decimal(8,0)") * _digits(_PAYLOAD_DIGITS).cast("decimal(20,0)") + F.col(payload_seq).cast("decimal(19,0)")
+    return whole(payload.cast("decimal(27,0)") * _digits(_POSITION_DIGITS).cast("decimal(11,0)") + F.col(position).cast("decimal(10,0)"))
+
+
+def payload_of(seq) -> Column:
+    """The payload number inside an arrival number."""
+    inner = (F.col(seq) % _digits(_POSITION_DIGITS + _PAYLOAD_DIGITS)).cast("decimal(29,0)")
+    return F.floor(inner / _digits(_POSITION_DIGITS).cast("decimal(11,0)")).cast("bigint")
 
 
 def context(payloads: DataFrame) -> DataFrame:

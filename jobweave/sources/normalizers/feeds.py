@@ -43,7 +43,7 @@ from jobweave.functions.text import (
 )
 from jobweave.functions.url import id_from_url, posting_uuid, posting_uuid_in_html
 from jobweave.operators.upsert import generated_reference
-from jobweave.sources.normalizers.common import finish, fixed, items, us_or_remote, with_detail, with_posting
+from jobweave.sources.normalizers.common import finish, fixed, items, payload_of, us_or_remote, with_detail, with_posting
 from jobweave.sources.normalizers.lists import successfactors_json
 
 _RSS = {"rowTag": "rss", "ignoreNamespace": "true"}
@@ -108,7 +108,7 @@ def successfactors(payloads: DataFrame, feeds: DataFrame) -> DataFrame:
     hosts = payloads.select("payload_seq", "domain")
     # the payload number sits in the arrival number, so the host needs no second parse
     seen = (
-        listed.select((F.shiftright("seq", 20).bitwiseAND(F.lit((1 << 38) - 1))).alias("payload_seq"))
+        listed.select(payload_of("seq").alias("payload_seq"))
         .distinct()
         .join(hosts, "payload_seq")
         .select("domain")
