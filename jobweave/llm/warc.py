@@ -34,45 +34,69 @@ MAGIC = "WARC/1."
 SEPARATOR = END + MAGIC
 #: Payloads of fewer bytes are always written out.
 LEAST_REVISIT = 100
+#: Payloads that several rows have, as many as are broadcast; each takes about 200 bytes.
+BROADCAST_GROUPS = 200_000
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2024-01-01T00:00:00Z"
 _URN = "urn:x-page:"
 
 
-def _name(page_id: Column, tag: Column) -> Column:
-    return F.concat(F.lit(f"<{_URN}"), F.coalesce(page_id.cast("string"), F.lit("")), F.lit(":"), tag.cast("string"), F.lit(">"))
+def _name(page_id: Column, mark: Column) -> Column:
+    return F.concat(F.lit(f"<{_URN}"), F.coalesce(page_id.cast("string"), F.lit("")), F.lit(":"), mark, F.lit(">"))
+
+
+def _groups(rows: DataFrame) -> DataFrame:
+    """(_digest, first, ties) of every payload that several rows have: the smallest id, null if
+    there is none, and how many rows have that id."""
+    by_id = rows.where(F.col("n_bytes") >= LEAST_REVISIT).groupBy("digest", "page_id").agg(F.count("*").alias("n"))
+    least = F.min(F.struct(F.col("page_id").isNull().alias("nameless"), "page_id", "n"))
+    groups = by_id.groupBy(F.col("digest").alias("_digest")).agg(least.alias("least"), F.sum("n").alias("n")).where("n > 1")
+    return groups.select("_digest", F.col("least.page_id").alias("first"), F.col("least.n").alias("ties"))
 
 
 def plan_records(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """(page_id, tag, url, payload, n_bytes, digest, first) of every row of ``pages``.
+    """(page_id, url, payload, n_bytes, digest, role, first) of every row of ``pages``.
+
+    ``role`` is null for payloads that one row has alone or that are too small, "response" for
+    the row with the smallest id among equal payloads of LEAST_REVISIT bytes or more, and
+    "revisit" for the others, with ``first``, the response's id.  Of rows with that id, the one
+    with the smallest URL is the response; rows without an id come last.
 
-    ``first`` is (page_id, tag) of the response that a revisit refers to, null for responses:
-    of equal payloads of LEAST_REVISIT bytes or more, the row with the smallest id is the
-    response.  Of rows with that id, one; rows without an id come last.  ``tag`` numbers the
-    rows; it is written once, so that a lost task can't number them anew.
+    The payloads that several rows have are broadcast while their list is small, which is
+    checked, so that pages stay where they are read; beyond that the pages are dealt out by
+    digest.  Payloads of revisits are not moved further.
     """
     payload = F.coalesce(F.col(html), F.lit(""))
     rows = pages.select(
         F.col(page_id).alias("page_id"), F.col(url).alias("url"), payload.alias("payload"), F.octet_length(payload).cast("long").alias("n_bytes"),
-        F.sha2(payload.cast("binary"), 256).alias("digest"), F.monotonically_increasing_id().alias("tag"),
+        F.sha2(payload.cast("binary"), 256).alias("digest"),
     )
-    rows = cut_lineage(rows, "payloads")
-    rank = F.struct(F.col("page_id").isNull().alias("nameless"), "page_id", "tag")
-    groups = rows.where(F.col("n_bytes") >= LEAST_REVISIT).groupBy(F.col("digest").alias("_digest")).agg(F.min(rank).alias("least"), F.count("*").alias("n"))
-    groups = groups.where("n > 1").select("_digest", F.struct("least.page_id", "least.tag").alias("first"))
-    joined = rows.join(groups, (F.col("digest") == F.col("_digest")) & (F.col("n_bytes") >= LEAST_REVISIT), "left")
-    return joined.withColumn("first", F.when(F.col("tag") != F.col("first.tag"), F.col("first"))).drop("_digest")
+    groups = cut_lineage(_groups(rows), "payload-groups")
+    sized = F.broadcast if groups.count() <= BROADCAST_GROUPS else lambda x: x
+    joined = rows.join(sized(groups), (F.col("digest") == F.col("_digest")) & (F.col("n_bytes") >= LEAST_REVISIT), "left")
+    is_first = F.col("_digest").isNotNull() & F.col("page_id").eqNullSafe(F.col("first"))
+    columns = ["page_id", "url", "payload", "n_bytes", "digest", "role", "first"]
+    role = F.when(is_first, "response").when(F.col("_digest").isNotNull(), "revisit")
+    plain = joined.where(~is_first | (F.col("ties") == 1)).withColumn("role", role).select(*columns)
+    # rows that share the smallest id: one response, chosen with its payload, and the rest without
+    tied = joined.where(is_first & (F.col("ties") > 1))
+    place = F.row_number().over(W.partitionBy("digest").orderBy("url"))
+    one = tied.withColumn("_place", place).where("_place = 1").withColumn("role", F.lit("response")).select(*columns)
+    rest = tied.withColumn("payload", F.lit("")).withColumn("_place", place).where("_place > 1").withColumn("role", F.lit("revisit")).select(*columns)
+    return plain.union(one).union(rest)
 
 
 def write_archives(records: DataFrame, path: str) -> None:
     """Write planned records as WARC files below ``path``."""
-    is_revisit = F.col("first").isNotNull()
+    is_revisit = F.coalesce(F.col("role") == "revisit", F.lit(False))
+    # a name that others refer to is made of id and payload; any other just has to be one
+    mark = F.when(F.col("role") == "response", F.col("digest")).otherwise(F.concat(F.lit("m"), F.monotonically_increasing_id().cast("string")))
     clean = F.replace(F.replace(F.coalesce(F.col("url"), F.lit("")), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
     http = F.concat(F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}Content-Length: "), F.col("n_bytes").cast("string"), F.lit(END))
     length = F.octet_length(http) + F.when(is_revisit, 0).otherwise(F.col("n_bytes"))
-    refers = F.concat(F.lit(f"WARC-Profile: {PROFILE}{CRLF}WARC-Refers-To: "), _name(F.col("first.page_id"), F.col("first.tag")), F.lit(CRLF))
+    refers = F.concat(F.lit(f"WARC-Profile: {PROFILE}{CRLF}WARC-Refers-To: "), _name(F.col("first"), F.col("digest")), F.lit(CRLF))
     head = F.concat(
-        F.lit(f"{MAGIC}1{CRLF}WARC-Type: "), F.when(is_revisit, "revisit").otherwise("response"), F.lit(f"{CRLF}WARC-Record-ID: "), _name(F.col("page_id"), F.col("tag")),
+        F.lit(f"{MAGIC}1{CRLF}WARC-Type: "), F.when(is_revisit, "revisit").otherwise("response"), F.lit(f"{CRLF}WARC-Record-ID: "), _name(F.col("page_id"), mark),
         F.lit(f"{CRLF}WARC-Date: {DATE}{CRLF}WARC-Target-URI: "), clean, F.lit(f"{CRLF}WARC-Payload-Digest: sha256:"), F.col("digest"), F.lit(CRLF),
         F.when(is_revisit, refers).otherwise(""), F.lit(f"Content-Type: application/http; msgtype=response{CRLF}Content-Length: "), length.cast("string"), F.lit(END),
     )
