@@ -131,9 +131,9 @@ def zipped(left, right, names: tuple[str, str]) -> Column:
 
 def last_wins(pairs) -> Column:
     """Map of an array of (k, v) string pairs; a repeated key keeps its last value."""
-    keys = lambda back: F.transform(back, lambda p: p["k"])
-    kept = lambda back, ks: F.filter(back, lambda p, i: F.array_position(ks, p["k"]) == i + 1)
-    return F.map_from_entries(let(F.reverse(pairs), lambda back: let(keys(back), lambda ks: kept(back, ks))))
+    backward = lambda ps: F.reverse(F.transform(ps, lambda p: p["k"]))
+    last = lambda ps, ks: F.filter(ps, lambda p, i: F.array_position(ks, p["k"]) == F.size(ks) - i)
+    return F.map_from_entries(let(pairs, lambda ps: let(backward(ps), lambda ks: last(ps, ks))))
 
 
 def filled_items(values) -> Column:

@@ -368,8 +368,8 @@ _on("city_state", "jobs", "seq", f"{s_city('location')} AS city, {s_state('locat
 _on("join_location", "jobs", "seq", "company || ', TX, United States' AS v, company || ', Peru' AS w",
     v=lambda: location.place("company", F.lit("TX"), location.country_name(F.lit("usa"))),
     w=lambda: location.place("company", F.lit(" "), location.country_name(F.lit("Peru"))))
-_on("join_places", "jobs", "seq", "company || ' | ' || title AS capped, company || '; ' || title || '; x' AS whole",
-    capped=lambda: location.join_places(F.array("company", F.lit(" "), F.upper("company"), "title", F.lit("x")), " | ", 2),
+_on("join_places", "jobs", "seq", "company || ' | ' || title || ' | x' AS piped, company || '; ' || title || '; x' AS whole",
+    piped=lambda: location.join_places(F.array("company", F.lit(" "), F.upper("company"), "title", F.lit("x")), " | "),
     whole=lambda: location.join_places(F.array("company", "title", F.lit("x"), F.lit("X")), "; "))
 _on("or_remote", "jobs", "seq", "CASE WHEN category = '' AND is_remote THEN 'Remote' ELSE category END AS v",
     v=lambda: location.or_remote("category", F.col("is_remote")))
