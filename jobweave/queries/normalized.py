@@ -220,14 +220,14 @@ def _wwr(j):
 
 
 _SF = f"""us AS (SELECT * FROM jobs WHERE {US}), listed AS (SELECT * FROM us WHERE o_orderstatus = 'F')"""
+_SF_LABEL = "rtrim(trim(regexp_extract(replace(location, '_', ' '), '^[^;|]*')), '.,')"  # a label ends at the first separator
 query(
     "norm_successfactors",
     f"""{J}, {_SF} SELECT seq AS n, CAST(seq AS VARCHAR) AS external_id, title, location, description,
         'https://' || company || '/careers/job/' || seq AS job_url, date_posted FROM listed
-    UNION ALL SELECT seq, CAST(seq AS VARCHAR), title, replace(location, '_', ' '),
-        'Location: ' || replace(location, '_', ' ') || '; ' || description,
-        'https://x/?career_job_req_id=' || seq, date_posted FROM us
-        WHERE company NOT IN (SELECT company FROM listed) AND NOT regexp_matches(location, '[;|]')""",
+    UNION ALL SELECT seq, CAST(seq AS VARCHAR), title, {_SF_LABEL}, 'Location: ' || replace(location, '_', ' ') || '; ' || description,
+        'https://x/?career_job_req_id=' || seq, date_posted FROM jobs
+        WHERE company NOT IN (SELECT company FROM listed) AND {s_is_us(_SF_LABEL)}""",
 )(
     lambda s, d: out(
         feeds.successfactors(
@@ -237,7 +237,7 @@ query(
                 domain=F.col("company"),
             ),
             payloads(
-                jobs(s, d).filter("NOT location RLIKE '[;|]'"),
+                jobs(s, d),
                 F.concat(lit("<rss><channel><item><title>"), "title", lit("</title><link>https://x/?career_job_req_id="), F.col("seq").cast("string"),
                          lit("</link><guid>g</guid><pubDate>"), day("dd MMM yyyy HH:mm:ss"), lit("</pubDate><description>&lt;b&gt;Location:&lt;/b&gt; "),
                          F.replace("location", lit("_"), lit(" ")), lit("; "), "description", lit("</description></item></channel></rss>")),
