@@ -7,14 +7,19 @@ The score of a word after another is
 
 and a document's score is the sum of the logarithms.  A document begins after an empty word.
 
-All counts are taken over the whole corpus.  The model's words are the VOCABULARY most frequent
-ones of at most WORD_BYTES bytes; all others are one unknown word, counted and scored like any
-other.  That table has a fixed largest size and is broadcast.  Pairs are numbers made of two
-words' ranks.  The pairs of the HOT most frequent words, which make up the frequent pairs,
-are counted and scored where their rows are, by a broadcast table of at most (HOT + 2)^2 counts.
-All other pairs have a word that fewer than one in HOT places has, so no pair's rows are many;
-they are dealt out by the pair's hash once, and each gets its pair's count where the pair's rows
-meet.
+All counts are taken over the whole corpus and of every word, however rare or long.  A word is
+a number with the sign bit and 63 bits of its hash; a seed is taken under which no two words
+of the corpus share one.  The VOCABULARY most frequent words have ranks instead, by a table of
+fixed size that is broadcast; it saves work and changes no result.
+
+The pairs of the HOT most frequent words, which make up the frequent pairs, are counted and
+scored where their rows are, by a broadcast table of at most (HOT + 2)^2 scores.  All other
+pairs have a word that fewer than one in HOT places has, so no pair's rows are many; they are
+dealt out once, a pair of ranked words by the pair, any other by a word without a rank, the
+second if both are.  Each gets its pair's count where the pair's rows meet.  Since every word
+comes after something, the rows dealt by their second word are as many as that word is
+frequent, so its count is there too.  Only a repeated pair of two words without ranks needs
+its first word's count from a table, joined by the word.
 Sums per document are taken before the rows are dealt out by document.
 """
 
@@ -26,6 +31,7 @@ from pyspark.sql import functions as F
 
 from jobweave.llm.common import cut_lineage
 
+#: Words with ranks, and the longest one in a model that ``vocabulary`` was given a size for.
 VOCABULARY = 1 << 16
 WORD_BYTES = 64
 HOT = 512
@@ -34,6 +40,8 @@ BACKOFF = 0.4
 #: Ranks of the unknown word and of the beginning; words have theirs from 2 on.
 UNKNOWN, BEGIN = 0, 1
 _SHIFT = 20
+#: Added to a rank that stands after a word without one.
+_AFTER = 1 << 40
 
 
 def words_of(text: Column) -> Column:
@@ -47,38 +55,58 @@ def begun(text: Column) -> Column:
     return F.when(F.size(words) > 0, F.concat(F.array(F.lit("")), words)).otherwise(words)
 
 
-def vocabulary(docs: DataFrame, text: str = "text", size: int = VOCABULARY) -> DataFrame:
-    """(word, rank, n): ranks by count, then word; the unknown word (null) and the beginning ('')
-    are always there, with count 0 if nothing is."""
-    known = F.when(F.octet_length("word") <= WORD_BYTES, F.col("word"))
-    words = docs.select(F.explode(begun(F.col(text))).alias("word")).select(known.alias("word"))
-    counts = cut_lineage(words.groupBy("word").agg(F.count("*").alias("n")), "words")
-    top = counts.where("word <> ''").orderBy(F.desc("n"), "word").limit(size)
-    # at most ``size`` rows are numbered in one task
-    rank = F.expr("row_number() over (order by n desc, word)") + 1
-    top = cut_lineage(top.select("word", rank.cast("long").alias("rank"), "n"), "vocabulary")
-    of = lambda rows: rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    begin, every = of(counts.where("word = ''")), of(counts)
-    rest = [(None, UNKNOWN, every - begin - of(top)), ("", BEGIN, begin)]
-    return top.union(docs.sparkSession.createDataFrame(rest, top.schema))
-
-
-def pairs(docs: DataFrame, vocab: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, row, a, b): the ranks of every two words in a row, of every document.
+def vocabulary(docs: DataFrame, text: str = "text", size: int | None = None) -> DataFrame:
+    """(word, rank, n) of every word, without ranks, and of the beginning ('').
 
-    ``row`` numbers the rows of ``docs``.  A document without words has one row of nulls.
+    With a ``size``, the words are that many most frequent ones of at most WORD_BYTES bytes,
+    ranked by count, then word, and all others are one unknown word (null).  The unknown word
+    and the beginning are always there, with count 0 if nothing is.
     """
-    base = docs.select(F.col(doc_id).alias("doc_id"), F.monotonically_increasing_id().alias("row"), begun(F.col(text)).alias("w"))
+    words = docs.select(F.explode(begun(F.col(text))).alias("word"))
+    if size is not None:
+        words = words.select(F.when(F.octet_length("word") <= WORD_BYTES, F.col("word")).alias("word"))
+    counts = cut_lineage(words.groupBy("word").agg(F.count("*").alias("n")), "words")
+    of = lambda rows: rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    begin = of(counts.where("word = ''"))
+    if size is None:
+        top, unknown = counts.where("word <> ''").select("word", F.lit(None).cast("long").alias("rank"), "n"), 0
+    else:
+        top = counts.where("word <> ''").orderBy(F.desc("n"), "word").limit(size)
+        # at most ``size`` rows are numbered in one task
+        rank = F.expr("row_number() over (order by n desc, word)") + 1
+        top = cut_lineage(top.select("word", rank.cast("long").alias("rank"), "n"), "vocabulary")
+        unknown = of(counts) - begin - of(top)
+    rest = [(None, UNKNOWN, unknown), ("", BEGIN, begin)]
+    return top.union(docs.sparkSession.createDataFrame(rest, "word string, rank long, n long"))
+
+
+def word_id(word: Column, seed: int) -> Column:
+    """A negative number."""
+    return F.xxhash64(word, F.lit(seed)).bitwiseOR(F.lit(-(1 << 63)))
+
+
+def numbered(vocab: DataFrame) -> tuple[DataFrame, int]:
+    """(id, rank, n) of the words of ``vocab`` and the seed of their ids, which all differ."""
+    words, seed = vocab.where("word is not null"), 0
+    while True:
+        ids = cut_lineage(words.select(word_id(F.col("word"), seed).alias("id"), "rank", "n"), "ids")
+        if ids.groupBy("id").count().where("count > 1").isEmpty():
+            return ids, seed
+        seed += 1
+
+
+def pairs(docs: DataFrame, row: Column, text: str, seed: int) -> DataFrame:
+    """(row, v, w): the ids of every two words in a row, of every document with words."""
+    base = docs.select(row.alias("row"), F.transform(begun(F.col(text)), lambda w: word_id(w, seed)).alias("w"))
     size = F.greatest(F.size("w") - 1, F.lit(0))
     zipped = F.arrays_zip(F.slice("w", 1, size).alias("v"), F.slice("w", 2, size).alias("w"))
-    rows = base.select("doc_id", "row", F.explode_outer(zipped).alias("p")).select("doc_id", "row", F.col("p.v").alias("v"), F.col("p.w").alias("w"))
-    ranks = vocab.where("word is not null").select("word", F.col("rank").cast("int").alias("rank"))
-    out = rows
+    return base.select("row", F.explode(zipped).alias("p")).select("row", F.col("p.v").alias("v"), F.col("p.w").alias("w"))
+
+
+def _ranked(rows: DataFrame, ranks: DataFrame, how: str) -> DataFrame:
     for column, rank in (("v", "a"), ("w", "b")):
-        own = F.broadcast(ranks.select(F.col("word").alias(column), F.col("rank").alias(rank)))
-        out = out.join(own, column, "left")
-    known = lambda rank, word: F.when(F.col(word).isNotNull(), F.coalesce(rank, F.lit(UNKNOWN))).alias(rank)
-    return out.select("doc_id", "row", known("a", "v"), known("b", "w"))
+        rows = rows.join(F.broadcast(ranks.select(F.col("id").alias(column), F.col("rank").alias(rank))), column, how)
+    return rows
 
 
 def scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -88,26 +116,60 @@ def scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     0.  Repeated rows stay and count as often as they are there.
     """
     vocab = vocabulary(docs, text)
-    n = vocab.where(F.col("rank") != BEGIN).agg(F.sum("n")).first()[0] or 1
-    # the ranks take a few bytes a word; the texts are not cut and looked up again
-    every = cut_lineage(pairs(docs, vocab, doc_id, text), "pairs")
-    every = every.withColumn("pair", F.shiftleft(F.col("a").cast("long"), _SHIFT).bitwiseOR(F.col("b").cast("long")))
-    is_hot = (F.col("a") < HOT + 2) & (F.col("b") < HOT + 2)
-    hot, cold = every.where(is_hot | F.col("a").isNull()), every.where(~is_hot)
-    hot_counts = cut_lineage(hot.where("pair is not null").groupBy("pair").agg(F.count("*").alias("c")), "hot-pairs")
-    counted = cold.select("pair", "row", "doc_id").withColumn("c", F.count("*").over(W.partitionBy("pair")))
-    sizes = F.broadcast(vocab.select("rank", F.log(F.greatest(F.col("n"), F.lit(1)).cast("double")).alias("log_n")))
-
-    def summed(rows: DataFrame) -> DataFrame:
-        rows = rows.withColumn("a", F.shiftright("pair", _SHIFT)).withColumn("b", F.col("pair").bitwiseAND(F.lit((1 << _SHIFT) - 1)))
-        rows = rows.join(sizes.select(F.col("rank").alias("a"), F.col("log_n").alias("log_a")), "a", "left")
-        rows = rows.join(sizes.select(F.col("rank").alias("b"), F.col("log_n").alias("log_b")), "b", "left")
-        seen = F.log(F.col("c").cast("double")) - F.col("log_a")
-        back = F.log(F.lit(BACKOFF / n)) + F.col("log_b")
-        return rows.select("row", "doc_id", F.when(F.col("c") >= MIN_COUNT, seen).otherwise(back).alias("s"), F.col("pair").isNotNull().cast("long").alias("k"))
-
-    parts = summed(hot.select("pair", "row", "doc_id").join(F.broadcast(hot_counts), "pair", "left").select("pair", "row", "doc_id", "c"))
-    parts = parts.union(summed(counted.select("pair", "row", "doc_id", "c")))
-    done = parts.groupBy("row", "doc_id").agg(F.sum("k").alias("n_words"), F.coalesce(F.sum("s"), F.lit(0.0)).alias("log_score"))
+    n = vocab.where(f"rank is null or rank <> {BEGIN}").agg(F.sum("n")).first()[0] or 1
+    unknown = vocab.where(f"rank = {UNKNOWN}").agg(F.sum("n")).first()[0]
+    ids, seed = numbered(vocab)
+    top = ids.where(f"rank is null or rank <> {BEGIN}").orderBy(F.desc("n"), "id").limit(VOCABULARY if not unknown else ids.count())
+    rank = F.expr("row_number() over (order by n desc, id)") + 1
+    top = top.select("id", rank.cast("long").alias("rank"), "n").union(ids.where(f"rank = {BEGIN}").select("id", "rank", "n"))
+    top = cut_lineage(top, "top")
+
+    # rows are told apart by what they hold, the same in every pass; equal ones share their sums
+    row = F.xxhash64(F.col(doc_id), F.col(doc_id).isNull(), F.col(text))
+    every = pairs(docs, row, text, seed)
+    is_hot = F.col("a").between(0, HOT + 1) & F.col("b").between(0, HOT + 1)
+    read = _ranked(every, top, "left")
+    rest = [F.lit(UNKNOWN).cast("long")] * 2 if unknown else [F.col("v"), F.col("w")]
+    read = read.select("row", F.coalesce("a", rest[0]).alias("a"), F.coalesce("b", rest[1]).alias("b"))
+    hot = read.where(is_hot) if unknown else _ranked(every, top.where(F.col("rank") < HOT + 2), "inner")
+    hot = cut_lineage(hot.select("row", F.col("a").cast("short").alias("a"), F.col("b").cast("short").alias("b")), "hot")
+    sizes = top.select("rank", "n").union(docs.sparkSession.createDataFrame([(UNKNOWN, unknown)], "rank long, n long"))
+    sizes = F.broadcast(sizes.select(F.col("rank").alias("r"), F.log(F.greatest(F.col("n"), F.lit(1)).cast("double")).alias("log_n")))
+
+    seen = F.col("c") >= MIN_COUNT
+    own = F.when(seen, F.log(F.col("c").cast("double"))).otherwise(F.log(F.lit(BACKOFF / n)))
+    side = F.when(seen, F.lit(-1.0)).otherwise(F.lit(1.0))
+    first, second = F.shiftright("x", _SHIFT), F.col("x").bitwiseAND(F.lit((1 << _SHIFT) - 1))
+    pair = F.shiftleft(F.col("a").cast("long"), _SHIFT).bitwiseOR(F.col("b").cast("long"))
+
+    hot_scores = hot.groupBy("a", "b").agg(F.count("*").alias("c")).select(pair.alias("x"), "c")
+    hot_scores = hot_scores.withColumn("r", F.when(seen, first).otherwise(second)).join(sizes, "r")
+    hot_scores = cut_lineage(hot_scores.select("x", (own + side * F.col("log_n")).alias("s")), "hot-scores")
+    none = F.lit(None).cast("long").alias("need")
+    hot_parts = hot.select("row", pair.alias("x")).join(F.broadcast(hot_scores), "x").select("row", none, "s")
+
+    # x >= 0: two ranks; else y < _AFTER: y before x, and y >= _AFTER: the rank after x
+    x = F.when(F.col("b") < 0, F.col("b")).when(F.col("a") < 0, F.col("a")).otherwise(pair)
+    y = F.when(F.col("b") < 0, F.col("a")).when(F.col("a") < 0, F.col("b") + _AFTER)
+    dealt = read.where(~is_hot).select(x.alias("x"), y.alias("y"), "row").repartition("x").sortWithinPartitions("x", "y")
+    before = F.col("y") < _AFTER
+    counted = dealt.withColumn("c", F.count("*").over(W.partitionBy("x", "y"))).withColumn("n_x", F.count(F.when(before, 1)).over(W.partitionBy("x")))
+    ranked = F.when(F.col("x") >= 0, F.when(seen, first).otherwise(second))
+    ranked = ranked.when(before, F.when(seen & (F.col("y") >= 0), F.col("y"))).otherwise(F.when(~seen, F.col("y") - _AFTER))
+    need = F.when((F.col("x") < 0) & (F.col("y") < 0) & seen, F.col("y"))
+    met = F.when((F.col("x") < 0) & (before != seen), F.log(F.col("n_x").cast("double"))).otherwise(F.lit(0.0))
+    scored = counted.select("row", need.alias("need"), ranked.alias("r"), side.alias("side"), (own + side * met).alias("s"))
+    cold_parts = scored.join(sizes, "r", "left").select("row", "need", (F.col("s") + F.col("side") * F.coalesce("log_n", F.lit(0.0))).alias("s"))
+
+    parts = cold_parts.union(hot_parts).groupBy("row", "need").agg(F.sum("s").alias("s"), F.count("*").alias("k"))
+    parts = cut_lineage(parts, "parts")
+    lacking = parts.where("need is not null").join(ids.where(f"n >= {MIN_COUNT}").select(F.col("id").alias("need"), "n"), "need")
+    lacking = lacking.select("row", (F.col("s") - F.col("k") * F.log(F.col("n").cast("double"))).alias("s"), "k")
+    sums = parts.where("need is null").select("row", "s", "k").union(lacking).groupBy("row").agg(F.sum("s").alias("s"), F.sum("k").alias("k"))
+    rows = cut_lineage(docs.select(F.col(doc_id).alias("doc_id"), row.alias("row")), "rows")
+    times = rows.groupBy("row").agg(F.count("*").alias("times"))
+    each = sums.join(times, "row").select("row", (F.col("s") / F.col("times")).alias("s"), F.expr("k div times").alias("k"))
+    done = rows.join(each, "row", "left")
+    done = done.select("doc_id", F.coalesce("k", F.lit(0)).cast("long").alias("n_words"), F.coalesce("s", F.lit(0.0)).alias("log_score"))
     mean = F.when(F.col("n_words") > 0, F.col("log_score") / F.col("n_words"))
     return done.select("doc_id", "n_words", "log_score", mean.alias("mean_log_score"))
