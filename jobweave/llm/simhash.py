@@ -217,15 +217,21 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     """The rows of ``docs`` without near-duplicates: of each component, the row with its
     ``component_id`` stays.
 
-    Of several rows with that id one stays, and of a component without any id one row.  All
-    columns are returned as they came.
+    Several texts may share an id: each component is looked up by its id and the smallest
+    fingerprint that it has under that id.  Of several such rows one stays, and of a component
+    without any id one row.  All columns are returned as they came.
     """
     found = cut_lineage(near_duplicates(docs, doc_id, text), "found")
-    first = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n"))
-    ids = first.select(F.col("doc_id").alias("_kept_id"), F.col("n").alias("_kept_n"))
+    first = found.where("doc_id = component_id").groupBy("root").agg(F.min("doc_id").alias("_kept_id"), F.min("fp").alias("_fp"))
+    rows = found.where("doc_id is not null").groupBy(F.col("doc_id").alias("_kept_id")).agg(F.count("*").alias("_kept_n"))
+    chosen = cut_lineage(first.withColumnRenamed("root", "_root").join(rows, "_kept_id"), "chosen")
+    ids = chosen.select("_kept_id", "_kept_n").distinct()
     kept = docs.join(ids, docs[doc_id] == F.col("_kept_id"))
     single = kept.where("_kept_n = 1").select(*docs.columns)
-    several = kept.where("_kept_n > 1").dropDuplicates(["_kept_id"]).select(*docs.columns)
+    # only rows that share their id are read again for their fingerprints
+    shared = kept.where("_kept_n > 1").select(*docs.columns, "_kept_id", F.col(text).alias("_read_text"))
+    shared = with_fingerprints(shared, [*docs.columns, "_kept_id"], "_read_text", "_fp")
+    several = shared.join(chosen.select("_kept_id", "_fp", "_root"), ["_kept_id", "_fp"]).dropDuplicates(["_root"]).select(*docs.columns)
     nameless = docs.where(docs[doc_id].isNull()).select(*docs.columns, F.col(text).alias("_read_text"))
     printed = with_fingerprints(nameless, docs.columns, "_read_text", "_fp")
     roots = found.where("doc_id is null and component_id is null").select(F.col("fp").alias("_fp"), F.col("root").alias("_root")).distinct()
