@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobweave.llm import backoff, chat, dac, decontaminate, mixing, quality, search, simhash, toxicity, warc
+from jobweave.llm import backoff, chat, dac, decontaminate, exact, mixing, quality, search, simhash, toxicity, warc
 from jobweave.llm.common import held_out, prepare, shared_folder, table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -212,3 +212,17 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = warc.read_archives(spark, path)
     ids = [F.col(c).cast("long").alias(c) for c in ("page_id", "refers_to")]
     return read.select(ids[0], "payload_bytes", "payload_digest", "record_type", ids[1])
+
+
+@llm_query(
+    "op13_exact_dedup",
+    f"""
+    WITH d AS (SELECT doc_id, {_SQL_LOWER} AS t, row_number() OVER () AS row FROM documents)
+    SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+           row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST, row) = 1 AS kept, sha256(t) AS text_sha256
+    FROM d WINDOW same AS (PARTITION BY t)
+    """,
+)
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of equal texts of every document."""
+    return exact.classes(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
