@@ -194,6 +194,23 @@ def _settle(entries: DataFrame, entry_schema: T.StructType, level: int) -> DataF
     return links.join(ends, "parent").drop("parent")
 
 
+def _classified(docs: DataFrame, doc_id: str, text: str, keep: list[str]) -> DataFrame:
+    """(row, best_id, n, kept, digest) of every row; ``row`` holds the columns ``keep``."""
+    hashed = [f.name for f in docs.schema if not any(x in f.dataType.simpleString() for x in ("map<", "variant"))]
+    row = F.struct(*[F.col(f"`{c}`") for c in keep]) if keep else F.struct(F.lit(None).cast("int").alias("_none"))
+    tie = F.xxhash64(*[F.col(f"`{c}`") for c in hashed])
+    read = docs.select(row.alias("row"), F.col(f"`{doc_id}`").alias("_id"), F.col(f"`{text}`").alias("_text"), tie.alias("_tie"))
+    entry = T.StructType().add("node", "long").add("parent", "long").add("settled", "boolean").add("digest", "binary").add("text", "binary")
+    entry = entry.add("size", "long").add("n", "long").add("best_id", read.schema["_id"].dataType).add("best_tie", "long").add("best_row", "long")
+    folder = T.StructField("folder", T.IntegerType())  # last, as readers of folders want it
+    first_schema = T.StructType([*entry.fields, T.StructField("row", read.schema["row"].dataType), folder])
+    out = _written(read, _pass(True, to_arrow_schema(first_schema), TABLE_BYTES, 0, 1, False), first_schema, "entries-0")
+    groups = _settle(out.where("parent is null"), T.StructType([*entry.fields, folder]), 1)
+    groups = groups.select(F.col("node").alias("parent"), "digest", "n", "best_id", "best_row")
+    rows = out.where("parent is not null").select("parent", "node", "row")
+    return rows.join(groups, "parent").select("row", "best_id", "n", (F.col("node") == F.col("best_row")).alias("kept"), "digest")
+
+
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``docs`` with the class of equal texts that each row is in.
 
@@ -202,35 +219,18 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: l
     ``text_sha256`` (lower-case hex digest of the normalised text).
 
     The row with the largest id stays, nulls being the smallest.  Of rows that share text and id
-    one stays, chosen by a hash of all columns; rows that are alike in every column can't be
-    told apart, and one of them stays.  Null texts are empty ones, and empty texts are equal
-    like any others.  Texts of any length are compared whole; one longer than a table has a
-    table for itself.  An empty table has no rows.
+    one stays, chosen by a hash of all columns but maps; rows that are alike in every column
+    can't be told apart, and one of them stays.  Null texts are empty ones, and empty texts are
+    equal like any others.  Texts of any length are compared whole; one longer than a table has
+    a table for itself.  An empty table has no rows.
     """
     added = ("keep_id", "group_size", "kept", "text_sha256")
-    kept = [c for c in (docs.columns if keep is None else keep) if c not in added]
-    hashed = [f.name for f in docs.schema if not any(x in f.dataType.simpleString() for x in ("map<", "variant"))]
-    quoted = [F.col(f"`{c}`") for c in kept]
-    row = F.struct(*quoted) if kept else F.struct(F.lit(None).cast("int").alias("_none"))
-    tie = F.xxhash64(*[F.col(f"`{c}`") for c in hashed])
-    read = docs.select(row.alias("row"), F.col(doc_id).alias("_id"), F.col(text).alias("_text"), tie.alias("_tie"))
-    entry = T.StructType().add("node", "long").add("parent", "long").add("settled", "boolean").add("digest", "binary").add("text", "binary")
-    entry = entry.add("size", "long").add("n", "long").add("best_id", docs.schema[doc_id].dataType).add("best_tie", "long").add("best_row", "long")
-    entry_schema = T.StructType([*entry.fields]).add("folder", "integer")
-    first_schema = T.StructType([*entry.fields, T.StructField("row", read.schema["row"].dataType), T.StructField("folder", T.IntegerType())])
-    out = _written(read, _pass(True, to_arrow_schema(first_schema), TABLE_BYTES, 0, 1, False), first_schema, "entries-0")
-    groups = _settle(out.where("parent is null"), entry_schema, 1)
-    groups = groups.select(F.col("node").alias("parent"), "digest", "n", "best_id", "best_row")
-    rows = out.where("parent is not null").select("parent", "node", "row")
-    found = rows.join(groups, "parent")
-    names = [F.col("row").getField(c).alias(c) for c in kept]
-    return found.select(
-        *names, F.col("best_id").alias("keep_id"), F.col("n").alias("group_size"),
-        (F.col("node") == F.col("best_row")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"),
-    )
+    names = [c for c in (docs.columns if keep is None else keep) if c not in added]
+    found = _classified(docs, doc_id, text, names)
+    sha = F.lower(F.hex("digest")).alias("text_sha256")
+    return found.select(*[F.col("row").getField(c).alias(c) for c in names], F.col("best_id").alias("keep_id"), F.col("n").alias("group_size"), "kept", sha)
 
 
 def drop_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of each class of equal texts (see ``classes``), with the columns of ``docs``."""
-    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{doc_id}`").alias("_id"), F.col(f"`{text}`").alias("_text"))
-    return classes(marked, "_id", "_text", ["_row"]).where("kept").select("_row.*")
+    return _classified(docs, doc_id, text, docs.columns).where("kept").select("row.*")
