@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobweave.llm import backoff, chat, dac, decontaminate, exact, mixing, quality, search, simhash, toxicity, warc
+from jobweave.llm import backoff, chat, dac, decontaminate, exact, mixing, negatives, quality, search, simhash, toxicity, warc, whitening
 from jobweave.llm.common import held_out, prepare, shared_folder, table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -214,6 +214,39 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select(ids[0], "payload_bytes", "payload_digest", "record_type", ids[1])
 
 
+@llm_query(
+    "op11_hard_negatives",
+    f"""
+    WITH r AS (
+      SELECT row_number() OVER () AS row, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+             list_transform(embedding, lambda c: floor({negatives.SCALE} * CAST(c AS DOUBLE))) AS x
+      FROM embeddings
+      WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+    s AS (
+      SELECT a.row AS anchor, a.vec_id AS anchor_id, b.row, b.vec_id, a.label = b.label AS same, CAST(list_inner_product(a.x, b.x) AS BIGINT) AS score
+      FROM r a JOIN r b ON a.row <> b.row WHERE a.vec_id % {negatives.ANCHOR_EVERY} = 0),
+    p AS (
+      SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id, row) AS k FROM s WHERE same)
+      WHERE k <= {negatives.POSITIVES}),
+    n AS (
+      SELECT p.anchor_id, p.vec_id AS positive_id, row_number() OVER (PARTITION BY p.anchor, p.row ORDER BY s.score DESC, s.vec_id, s.row) AS rank,
+             s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+      FROM p JOIN s USING (anchor)
+      WHERE NOT s.same AND {negatives.LOWEST} * p.score <= 100 * s.score AND 100 * s.score <= {negatives.HIGHEST} * p.score)
+    SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= {negatives.NEGATIVES}
+    """,
+)
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten hard negatives for each positive of every anchor."""
+    return negatives.mine(table(spark, sf_dir, "embeddings"), relabel=True)
+
+
+@llm_query("op12_whitening")
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding along the sixteen leading components, scaled to unit variance."""
+    return whitening.components(table(spark, sf_dir, "embeddings"))
+
+
 @llm_query(
     "op13_exact_dedup",
     f"""
