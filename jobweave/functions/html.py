@@ -23,7 +23,7 @@ from jobweave.functions.text import (
     zipped,
 )
 
-_NAME = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+_NAME = r"^(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
 
 
 def _named() -> Column:
@@ -33,10 +33,13 @@ def _named() -> Column:
 
 
 def _character(name: Column) -> Column:
-    """The character of an entity's name or number; NULL when there is none."""
-    number = F.when(
-        F.lower(F.substring(name, 2, 1)) == "x", F.conv(F.substring(name, 3, 6), 16, 10).cast("int")
-    ).otherwise(F.substring(name, 2, 7).try_cast("int"))
+    """The character of an entity's name or number; NULL when there is none.
+
+    A number may begin with any number of zeros.
+    """
+    digits = F.regexp_replace(name, "^#[xX]?0*", "")
+    sized = lambda most: F.when(F.length(digits) <= most, digits)
+    number = F.when(F.lower(F.substring(name, 2, 1)) == "x", F.conv(sized(6), 16, 10).try_cast("int")).otherwise(sized(7).try_cast("int"))
     valid = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
     numbered = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(number), 8, F.lit("0"))), "UTF-32"))
     return F.when(F.startswith(name, F.lit("#")), numbered).when(name != "", F.try_element_at(_named(), name))

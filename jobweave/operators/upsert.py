@@ -36,14 +36,20 @@ def _timestamp(value) -> Column:
     return (value if isinstance(value, Column) else F.lit(value)).cast("timestamp")
 
 
+def _city_state(jobs: DataFrame) -> list[Column]:
+    """City and state: what a place list said (``place_city``, ``place_state``), else "City, ST"."""
+    if "place_city" in jobs.columns:
+        return [clean("place_city").alias("city"), clean("place_state").alias("state")]
+    return [clean(city_of("location")).alias("city"), clean(state_of("location")).alias("state")]
+
+
 def stage(jobs: DataFrame, last_seen, row_key: Sequence[str] = ("seq",)) -> DataFrame:
     """Staging rows of a refresh: cleaned values and the five match keys."""
     return jobs.select(
         F.struct(*row_key).alias("stage_id"),
         clean("location").alias("Location"),
         clean("title").alias("Title"),
-        clean(city_of("location")).alias("city"),
-        clean(state_of("location")).alias("state"),
+        *_city_state(jobs),
         F.lit("USA").alias("country"),
         clean("job_type").alias("job_type"),
         F.col("date_posted").alias("posted_at"),
@@ -81,8 +87,7 @@ def insert_rows(jobs: DataFrame, inserted_at, row_key: Sequence[str] = ("seq",))
         F.coalesce(clean("external_id"), generated).alias("job_reference"),
         clean("location").alias("Location"),
         clean("title").alias("Title"),
-        clean(city_of("location")).alias("city"),
-        clean(state_of("location")).alias("state"),
+        *_city_state(jobs),
         F.lit(None).cast("string").alias("zip"),
         F.lit("USA").alias("country"),
         clean("job_type").alias("job_type"),

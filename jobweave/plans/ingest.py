@@ -10,6 +10,7 @@ from jobweave.functions.classify import with_it_flags
 from jobweave.operators import dedupe, expand, reports, upsert
 from jobweave.operators.backfill import backfill_it_flags
 from jobweave.operators.ordering import take_first
+from jobweave.operators.places import with_places
 from jobweave.schema import ROW_KEY
 from jobweave.session import cut_lineage
 from jobweave.sources.registry import normalize_payloads
@@ -45,14 +46,19 @@ def prepare_batch(postings: DataFrame) -> DataFrame:
     return expand.expand_locations(with_it_flags(postings))
 
 
-def ingest(postings: DataFrame, target: DataFrame, as_of, limit: int | None = None) -> Ingest:
+def ingest(postings: DataFrame, target: DataFrame, as_of, limit: int | None = None,
+           places: DataFrame | None = None) -> Ingest:
     """Refresh known postings and add new ones.
 
     ``target`` needs row_id and row_order.  The batch and the status of its rows are
     written once, because refresh, insert and the reports all read them.  ``limit``
-    applies to refresh and insert separately, in arrival order.
+    applies to refresh and insert separately, in arrival order.  With ``places`` (city, state,
+    code), cities and states come from that list, and by pattern where it knows nothing.
     """
-    batch = cut_lineage(prepare_batch(postings), "batch")
+    batch = prepare_batch(postings)
+    if places is not None:
+        batch = with_places(batch, places, city="place_city", state="place_state", fallback=True)
+    batch = cut_lineage(batch, "batch")
     status = cut_lineage(dedupe.batch_status(batch, target, IN_ORDER), "status")
     split = batch.join(status, IN_ORDER)
     known = split.filter(F.col("status") == dedupe.EXISTING).drop("status")
@@ -67,11 +73,11 @@ def ingest(postings: DataFrame, target: DataFrame, as_of, limit: int | None = No
 
 
 def ingest_payloads(payloads: DataFrame, store: SnapshotTable, as_of, only: str | None = None,
-                    limit: int | None = None) -> Ingest:
+                    limit: int | None = None, places: DataFrame | None = None) -> Ingest:
     """Normalise captured payloads, ingest them, and publish the next version."""
     store.ensure()
     postings = normalize_payloads(payloads, only, as_of=as_of)
     target = store.read().withColumn("row_order", F.xxhash64(ROW_ID))
-    run = ingest(postings, target, as_of, limit)
+    run = ingest(postings, target, as_of, limit, places)
     store.commit(run.table)
     return run

@@ -8,6 +8,7 @@ from jobweave.queries import (  # noqa: F401  (registration)
     catalogue,
     maintenance,
     normalized,
+    places,
     postings,
     relational,
     scalars,
