@@ -8,10 +8,10 @@ alone can't reach it.  A join adds partial scores block by block.  It drops rows
 anchor's threshold even with all that remains, by the norms of the remaining dimensions, and
 computes the scores of the pairs that are left in full.
 
-An anchor's threshold begins high and is lowered until its *window* has filled: its k best rows
-of the same label for positives, k rows between two bounds of other labels for negatives of each
-positive.  The first shards, about one in SEED_SHARE, are searched first; the k-th score found
-there is the threshold at which all others may stop, because the whole corpus holds these rows too.
+In the first shards, about one in SEED_SHARE, an anchor's threshold begins high and is lowered
+until its *window* has filled: its k best rows of the same label for positives, k rows between
+two bounds of other labels for negatives of each positive.  The k-th score found there is the
+threshold for all other shards, because the whole corpus holds these rows too.
 Every anchor meets every shard, in batches, and a shard gives at most k rows for a window; the
 best of all shards are chosen by a window function over (anchor, positive), whose rows are few.
 """
@@ -66,11 +66,10 @@ class Index:
     """A shard's vectors by blocks of dimensions, with the norms of what remains after each."""
 
     def __init__(self, x: np.ndarray, order: np.ndarray) -> None:
-        self.order = order
         self.exact = x[:, order]
-        self.x = self.exact.astype(float)
         self.edges = [*range(0, x.shape[1], BLOCK), x.shape[1]]
-        self.rest = self.remaining(self.x)
+        self.blocks = [self.exact[:, s:e].astype(float) for s, e in zip(self.edges, self.edges[1:])]
+        self.rest = self.remaining(self.exact.astype(float))
 
     def remaining(self, x: np.ndarray) -> np.ndarray:
         """Norms of the dimensions from each edge on, one row for each edge."""
@@ -80,41 +79,52 @@ class Index:
             squares[i] = squares[i + 1] + (part * part).sum(axis=1)
         return np.sqrt(squares) * (1 + 1e-9)
 
+    def scores(self, anchors: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """Exact scores of pairs, as 64-bit numbers."""
+        x = self.exact[rows]
+        if float(np.abs(anchors).max(initial=0)) * float(np.abs(x).max(initial=0)) * x.shape[1] < _EXACT:
+            return np.einsum("pd,pd->p", anchors.astype(float), x.astype(float)).astype(np.int64)
+        whole = (anchors.astype(object) * x.astype(object)).sum(axis=1)
+        return np.array([min(max(v, -(2**63)), 2**63 - 1) for v in whole], dtype=np.int64)
+
     def join(self, anchors: np.ndarray, least: np.ndarray, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(anchor, row, score) of the allowed pairs that reach the anchor's threshold."""
+        """(anchor, row, score) of the allowed pairs that reach the anchor's threshold, by anchor."""
         a = anchors.astype(float)
         rest = self.remaining(a)
         # float sums of whole numbers may be off by this much
         bar = least - 1 - 1e-9 * rest[0] * self.rest[0].max(initial=0)
-        lowest = bar.min(initial=np.inf)
-        partial = np.zeros(allowed.shape)
-        alive = allowed.copy()
-        open_rows = np.flatnonzero(alive.any(axis=0))
-        bound = np.zeros(allowed.shape)
-        for i in range(len(self.edges) - 1):
-            # rows of which the dimensions from here on can still make a score by themselves
-            listed = open_rows[self.rest[i][open_rows] * rest[i].max(initial=0) >= lowest] if lowest > 0 else open_rows
-            some = slice(self.edges[i], self.edges[i + 1])
-            partial[:, listed] += a[:, some] @ self.x[listed, some].T
-            bound[:, listed] = np.outer(rest[i + 1], self.rest[i + 1][listed])
-            closed = np.setdiff1d(open_rows, listed, assume_unique=True)
-            bound[:, closed] = np.outer(rest[i], self.rest[i][closed])
-            alive[:, open_rows] &= partial[:, open_rows] + bound[:, open_rows] >= bar[:, None]
-            open_rows = listed[alive[:, listed].any(axis=0)]
-            if not len(open_rows):
+        lowest, rows, pairs = bar.min(initial=np.inf), np.flatnonzero(allowed.any(axis=0)), []
+        partial = np.zeros((len(a), len(rows)))
+
+        def reach(i: int, some: np.ndarray, sums: np.ndarray) -> np.ndarray:
+            """Pairs that reach their thresholds if the dimensions from edge ``i`` on are alike."""
+            return (sums + np.outer(rest[i], self.rest[i][some]) >= bar[:, None]) & allowed[:, some]
+
+        def close(i: int, some: np.ndarray, sums: np.ndarray) -> None:
+            at, row = np.nonzero(reach(i, some, sums))
+            pairs.append((at, some[row]))
+
+        for i, block in enumerate(self.blocks):
+            # rows for which the dimensions from here on can make a score by themselves are in this block's list
+            listed = self.rest[i][rows] * rest[i].max(initial=0) >= lowest
+            if not listed.all():
+                close(i, rows[~listed], partial[:, ~listed])
+                rows, partial = rows[listed], partial[:, listed]
+            if not len(rows):
                 break
-        at, row = np.nonzero(alive)
-        size = max(float(np.abs(anchors).max(initial=0)) * float(np.abs(self.exact).max(initial=0)), 0.0) * anchors.shape[1]
-        scores = np.zeros(len(at), dtype=np.int64 if size < _EXACT else object)
-        for s in range(0, len(at), 1 << 16):
-            i, r = at[s : s + (1 << 16)], row[s : s + (1 << 16)]
-            if size < _EXACT:
-                scores[s : s + (1 << 16)] = np.einsum("pd,pd->p", a[i], self.x[r]).astype(np.int64)
-            else:
-                whole = (anchors[i].astype(object) * self.exact[r].astype(object)).sum(axis=1)
-                scores[s : s + (1 << 16)] = [min(max(x, -(2**63)), 2**63 - 1) for x in whole]
-        found = scores >= least[at]
-        return at[found], row[found], scores[found]
+            partial += a[:, self.edges[i] : self.edges[i + 1]] @ (block if len(rows) == len(block) else block[rows]).T
+            if rest[i + 1].mean() * self.rest[i + 1][rows].mean() < bar.mean():  # else norms hardly drop any row
+                open_ = reach(i + 1, rows, partial).any(axis=0)
+                if open_.mean() < 0.7:
+                    rows, partial = rows[open_], partial[:, open_]
+        close(len(self.blocks), rows, partial)
+        at, row = (np.concatenate([p[i] for p in pairs]) for i in (0, 1))
+        by_anchor = np.argsort(at, kind="stable")
+        at, row = at[by_anchor], row[by_anchor]
+        parts = [self.scores(anchors[at[s : s + (1 << 16)]], row[s : s + (1 << 16)]) for s in range(0, len(at), 1 << 16)]
+        score = np.concatenate(parts) if parts else np.zeros(0, dtype=np.int64)
+        found = score >= least[at]
+        return at[found], row[found], score[found]
 
 
 def descend(index: Index, anchors: np.ndarray, start: np.ndarray, stop: np.ndarray, allowed: np.ndarray, windows) -> list[tuple]:
@@ -158,7 +168,7 @@ def _matrix(column: pa.ListArray, d: int) -> np.ndarray:
 
 def _best(rows: np.ndarray, scores: np.ndarray, ids: np.ndarray, k: int) -> list[tuple[int, int]]:
     """(row, score) of the k best: highest scores, then smallest ids."""
-    order = sorted(range(len(rows)), key=lambda j: (-int(scores[j]), ids[rows[j]], rows[j]))[:k]
+    order = np.lexsort((rows, ids[rows], ~scores))[:k]
     return [(int(rows[j]), int(scores[j])) for j in order]
 
 
@@ -174,8 +184,9 @@ def _shard(d: int, order: np.ndarray, mining: bool):
         most = np.outer(index.remaining(anchors.astype(float))[0], index.rest[0]).max(axis=1, initial=0)
         if mining:
             ranges = [b["windows"] for b in batch]  # (positive, low, high), never empty
-            start = np.minimum(most, [float(max(w["high"] for w in r)) for r in ranges])
             stop = np.array([float(min(w["low"] for w in r)) for r in ranges])
+            start = np.minimum(most, [float(max(w["high"] for w in r)) for r in ranges])
+            start = np.where([b["seeded"] for b in batch], stop, start)
 
             def windows(anchor, rows, scores):
                 filled, picked = True, []
@@ -188,7 +199,8 @@ def _shard(d: int, order: np.ndarray, mining: bool):
             return descend(index, anchors, start, np.minimum(stop, start), ~same & other, windows)
         stop = np.array([-m if b["low"] is None else b["low"] for m, b in zip(most, batch)])
         found = lambda _, rows, scores: (len(rows) >= k, [(-1, *p) for p in _best(rows, scores, held["id"], k)])
-        return descend(index, anchors, np.maximum(most, stop), stop, same & other, found)
+        start = np.where([b["seeded"] for b in batch], stop, np.maximum(most, stop))
+        return descend(index, anchors, start, stop, same & other, found)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, parts, waiting, held, index = None, [], [], {}, None
@@ -225,9 +237,9 @@ def _shard(d: int, order: np.ndarray, mining: bool):
                         "id": ids.fill_null(2**63 - 1).to_numpy(), "no_id": ids.is_null().to_numpy(zero_copy_only=False),
                     })
                     continue
-                fields = [some[c].to_pylist() for c in ("anchor", "label", "low", "windows")]
-                for i, (anchor, label, low, windows) in enumerate(zip(*fields)):
-                    waiting.append({"anchor": anchor, "label": label, "low": low, "windows": windows, "x": x[at + i]})
+                fields = [some[c].to_pylist() for c in ("anchor", "label", "seeded", "low", "windows")]
+                for i, (anchor, label, seeded, low, windows) in enumerate(zip(*fields)):
+                    waiting.append({"anchor": anchor, "label": label, "seeded": seeded, "low": low, "windows": windows, "x": x[at + i]})
                     if len(waiting) >= BATCH:
                         yield from answers()
         yield from answers()
@@ -240,12 +252,12 @@ _FOUND = "anchor long, positive long, row long, score long, vec_id long"
 
 def _join(rows: DataFrame, anchors: DataFrame, shards: int, first: int, end: int, d: int, order: np.ndarray, mining: bool) -> DataFrame:
     """What the shards from ``first`` to before ``end`` find for the anchors."""
-    extra = {"anchor": "long", "low": "double", "windows": "array<struct<positive: long, low: long, high: long>>"}
+    extra = {"anchor": "long", "seeded": "boolean", "low": "double", "windows": "array<struct<positive: long, low: long, high: long>>"}
     shard = F.expr(f"int(pmod(xxhash64(row), {shards}))")
     here = rows.withColumn("shard", shard).where(F.col("shard").between(first, end - 1))
     here = here.select("shard", *[F.lit(None).cast(t).alias(c) for c, t in extra.items()], "row", "vec_id", "label", "x")
     # each anchor goes to each shard: the stated queries against all rows, in blocks
-    asked = anchors.withColumn("shard", F.explode(F.sequence(F.lit(first), F.lit(end - 1)))).select(*here.columns)
+    asked = anchors.withColumn("seeded", F.lit(first > 0)).withColumn("shard", F.explode(F.sequence(F.lit(first), F.lit(end - 1)))).select(*here.columns)
     dealt = here.union(asked).repartitionById(end - first, F.col("shard") - first).sortWithinPartitions("shard", F.col("anchor").isNotNull())
     return dealt.mapInArrow(_shard(d, order, mining), _FOUND)
 
