@@ -9,6 +9,7 @@ from jobweave.queries import (  # noqa: F401  (registration)
     maintenance,
     normalized,
     places,
+    probes,
     postings,
     relational,
     scalars,

@@ -434,7 +434,7 @@ _JAZZ_URL = "'https://d.example.com/apply/A' || seq || '/role'"
                      where=f"{US} OR contains(location, 'Remote')"), FULL)
 def _jazzhr(j):
     url = F.concat(lit("https://d.example.com/apply/A"), F.col("seq").cast("string"), lit("/role"))
-    page = F.concat(lit("<html><h1>"), "title", lit(" - "), "company", lit(' - Career Page</h1><span class="job-location">'), "location",
+    page = F.concat(F.lit("<html><h1>"), "title", lit(" - "), "company", lit(' - Career Page</h1><span class="job-location">'), "location",
                     lit('</span><span class="department">'), "category", lit('</span><div id="job-description"><p>'), "description", lit("</p></div></html>"))
     return html_pages.jazzhr(payloads(j, page, url))
 
@@ -583,7 +583,7 @@ def mixed_payloads(s, d) -> DataFrame:
     unknown = payloads(j, lit("{}"), source="Nobody")
     broken = payloads(j, F.concat(lit('{"jobs":['), "title"), source="Ashby")
     error = payloads(j, lit('{"error":"gone"}'), source="Greenhouse").unionByName(payloads(j, lit('{"data":[]}'), source="Lever"))
-    blocked = payloads(j, lit("<html><body>blocked</body></html>"), source="Personio", kind="feed")
+    blocked = payloads(j, F.lit("<html><body>blocked</body></html>"), source="Personio", kind="feed")
     other = payloads(j, lit("[]"), source="Lever", kind="page")
     return (
         payloads(j, one("jobs", jobicy), source="Jobicy", status=status)
@@ -616,6 +616,46 @@ query(
     lambda s, d: registry.rejects(mixed_payloads(s, d)).groupBy("source", "reason").agg(F.count(F.lit(1)).alias("n"))
 )
 
+# Every source and kind gets a page in front of the site, a page of another kind, and, from
+# supplier 0 on, an empty page where its system has one.
+_KINDS = [(name, kind) for name, entry in registry.NORMALIZERS.items() for kind in entry.kinds]
+_KIND_SQL = "(VALUES " + ", ".join(f"({q(n)}, {q(k)})" for n, k in _KINDS) + ") AS k(source, kind)"
+_NO_JOBS = [("Freshteam", "list"), ("ZohoRecruit", "list")]
+
+
+def blocked_payloads(s, d):
+    rows = table(s, d, "supplier").select(F.col("s_suppkey").alias("seq"))
+    pairs = F.array(*[F.struct(F.lit(n).alias("source"), F.lit(k).alias("kind")) for n, k in _KINDS])
+    rows = rows.select("seq", F.explode(pairs).alias("p")).select("seq", "p.*")
+    wall = rows.withColumn("body", F.lit("<html><head><title>Just a moment...</title></head><body><a href='/jobs/1/x'>a</a></body></html>"))
+    other = rows.withColumn("body", F.lit("<html><body><p>Welcome to our company</p></body></html>"))
+    empty = rows.filter(F.concat_ws("|", "source", "kind").isin(*["|".join(p) for p in _NO_JOBS])).withColumn("body", F.lit("<html><p>There are no open positions.</p></html>"))
+    return conform(wall.unionByName(other).unionByName(empty).withColumns({"payload_seq": F.col("seq"), "status_code": F.lit(200)}), PAYLOADS)
+
+
+query(
+    "rejects_by_kind",
+    f"""SELECT source, kind, 'blocked page' AS reason, count(*) AS n FROM supplier, {_KIND_SQL} GROUP BY 1, 2
+    UNION ALL SELECT source, kind, 'wrong shape', count(*) FROM supplier, {_KIND_SQL} GROUP BY 1, 2""",
+)(lambda s, d: registry.rejects(blocked_payloads(s, d)).groupBy("source", "kind", "reason").agg(F.count(F.lit(1)).alias("n")))
+
+@query(
+    "payload_outcomes",
+    f"""{J} SELECT kind, outcome, count(*) AS payloads, CAST(sum(n) AS BIGINT) AS postings FROM (
+        SELECT 'list' AS kind, CASE WHEN {US} OR contains(location, 'Remote') THEN 'postings' ELSE 'none kept' END AS outcome,
+            CAST({US} OR contains(location, 'Remote') AS INTEGER) AS n FROM jobs
+        UNION ALL SELECT 'list', 'wrong shape', 0 FROM jobs UNION ALL SELECT 'page', 'unknown kind', 0 FROM jobs) GROUP BY 1, 2""",
+)
+def payload_outcomes(s, d):
+    # the three kinds of Lever payloads have arrival numbers of their own
+    mixed = mixed_payloads(s, d).filter("source = 'Lever'")
+    shift = F.expr("CASE WHEN kind = 'page' THEN 2 WHEN body LIKE '{%' THEN 1 ELSE 0 END")
+    mixed = mixed.withColumn("payload_seq", F.col("payload_seq") * 3 + shift)
+    postings = registry.normalize_payloads(mixed, only="Lever", as_of=AS_OF)
+    found = registry.outcomes(mixed, postings)
+    return found.groupBy("kind", "outcome").agg(F.count(F.lit(1)).alias("payloads"), F.sum("postings").alias("postings"))
+
+
 query(
     "normalize_payloads",
     f"""{J} SELECT 'Jobicy' AS source_name, title, location FROM jobs WHERE o_orderstatus <> 'P' AND {US}
