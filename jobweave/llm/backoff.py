@@ -8,9 +8,10 @@ The score of a word after another is
 and a document's score is the sum of the logarithms.  A document begins after an empty word.
 
 All counts are taken over the whole corpus and of every word, however rare or long.  A word is
-a number with the sign bit and 63 bits of its hash; a seed is taken under which no two words
-of the corpus share one.  The VOCABULARY most frequent words have ranks instead, by a table of
-fixed size that is broadcast; it saves work and changes no result.
+a number with the sign bit and 63 bits of its hash; of words that share a number, all but the
+smallest are hashed again, under other seeds, until none do.  The VOCABULARY most frequent
+words have ranks instead, by a table of fixed size that is broadcast; it saves work and changes
+no result.
 
 The pairs of the HOT most frequent words, which make up the frequent pairs, are counted and
 scored where their rows are, by a broadcast table of at most (HOT + 2)^2 scores.  All other
@@ -31,14 +32,13 @@ from pyspark.sql import functions as F
 
 from jobweave.llm.common import cut_lineage
 
-#: Words with ranks, and the longest one in a model that ``vocabulary`` was given a size for.
+#: Words with ranks.
 VOCABULARY = 1 << 16
-WORD_BYTES = 64
 HOT = 512
 MIN_COUNT = 2
 BACKOFF = 0.4
-#: Ranks of the unknown word and of the beginning; words have theirs from 2 on.
-UNKNOWN, BEGIN = 0, 1
+#: Rank of the beginning; words have theirs from 2 on.
+BEGIN = 1
 _SHIFT = 20
 #: Added to a rank that stands after a word without one.
 _AFTER = 1 << 40
@@ -55,49 +55,43 @@ def begun(text: Column) -> Column:
     return F.when(F.size(words) > 0, F.concat(F.array(F.lit("")), words)).otherwise(words)
 
 
-def vocabulary(docs: DataFrame, text: str = "text", size: int | None = None) -> DataFrame:
-    """(word, rank, n) of every word, without ranks, and of the beginning ('').
-
-    With a ``size``, the words are that many most frequent ones of at most WORD_BYTES bytes,
-    ranked by count, then word, and all others are one unknown word (null).  The unknown word
-    and the beginning are always there, with count 0 if nothing is.
-    """
+def vocabulary(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(word, n) of every word and of the beginning (''), which is there with count 0 if nothing is."""
     words = docs.select(F.explode(begun(F.col(text))).alias("word"))
-    if size is not None:
-        words = words.select(F.when(F.octet_length("word") <= WORD_BYTES, F.col("word")).alias("word"))
     counts = cut_lineage(words.groupBy("word").agg(F.count("*").alias("n")), "words")
-    of = lambda rows: rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    begin = of(counts.where("word = ''"))
-    if size is None:
-        top, unknown = counts.where("word <> ''").select("word", F.lit(None).cast("long").alias("rank"), "n"), 0
-    else:
-        top = counts.where("word <> ''").orderBy(F.desc("n"), "word").limit(size)
-        # at most ``size`` rows are numbered in one task
-        rank = F.expr("row_number() over (order by n desc, word)") + 1
-        top = cut_lineage(top.select("word", rank.cast("long").alias("rank"), "n"), "vocabulary")
-        unknown = of(counts) - begin - of(top)
-    rest = [(None, UNKNOWN, unknown), ("", BEGIN, begin)]
-    return top.union(docs.sparkSession.createDataFrame(rest, "word string, rank long, n long"))
-
-
-def word_id(word: Column, seed: int) -> Column:
-    """A negative number."""
-    return F.xxhash64(word, F.lit(seed)).bitwiseOR(F.lit(-(1 << 63)))
-
-
-def numbered(vocab: DataFrame) -> tuple[DataFrame, int]:
-    """(id, rank, n) of the words of ``vocab`` and the seed of their ids, which all differ."""
-    words, seed = vocab.where("word is not null"), 0
+    begin = counts.where("word = ''").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    return counts.where("word <> ''").union(docs.sparkSession.createDataFrame([("", begin)], "word string, n long"))
+
+
+def word_id(word: Column, seeds: dict[str, int]) -> Column:
+    """A negative number; ``seeds`` has the words that aren't hashed under seed 0."""
+    seed = F.lit(0)
+    for other in sorted(set(seeds.values())):
+        seed = F.when(word.isin([w for w, s in seeds.items() if s == other]), other).otherwise(seed)
+    return F.xxhash64(word, seed).bitwiseOR(F.lit(-(1 << 63)))
+
+
+def numbered(vocab: DataFrame) -> tuple[DataFrame, dict[str, int]]:
+    """(id, n, begin) of the words of ``vocab``, with ids that all differ, and the words with other seeds.
+
+    The driver gets the words that share an id: of n words about n^2 / 2^64 pairs, ten among
+    ten thousand million words.
+    """
+    seeds: dict[str, int] = {}
     while True:
-        ids = cut_lineage(words.select(word_id(F.col("word"), seed).alias("id"), "rank", "n"), "ids")
-        if ids.groupBy("id").count().where("count > 1").isEmpty():
-            return ids, seed
-        seed += 1
+        named = vocab.select("word", word_id(F.col("word"), seeds).alias("id"), "n")
+        ids = cut_lineage(named.select("id", "n", (F.col("word") == "").alias("begin")), "ids")
+        shared = ids.groupBy("id").count().where("count > 1").select("id")
+        if shared.isEmpty():
+            return ids, seeds
+        first = named.join(shared, "id").groupBy("id").agg(F.min("word").alias("first"))
+        for row in named.join(first, "id").where("word <> first").select("word").collect():
+            seeds[row["word"]] = seeds.get(row["word"], 0) + 1
 
 
-def pairs(docs: DataFrame, row: Column, text: str, seed: int) -> DataFrame:
+def pairs(docs: DataFrame, row: Column, text: str, seeds: dict[str, int]) -> DataFrame:
     """(row, v, w): the ids of every two words in a row, of every document with words."""
-    base = docs.select(row.alias("row"), F.transform(begun(F.col(text)), lambda w: word_id(w, seed)).alias("w"))
+    base = docs.select(row.alias("row"), F.transform(begun(F.col(text)), lambda w: word_id(w, seeds)).alias("w"))
     size = F.greatest(F.size("w") - 1, F.lit(0))
     zipped = F.arrays_zip(F.slice("w", 1, size).alias("v"), F.slice("w", 2, size).alias("w"))
     return base.select("row", F.explode(zipped).alias("p")).select("row", F.col("p.v").alias("v"), F.col("p.w").alias("w"))
@@ -116,25 +110,22 @@ def scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     0.  Repeated rows stay and count as often as they are there.
     """
     vocab = vocabulary(docs, text)
-    n = vocab.where(f"rank is null or rank <> {BEGIN}").agg(F.sum("n")).first()[0] or 1
-    unknown = vocab.where(f"rank = {UNKNOWN}").agg(F.sum("n")).first()[0]
-    ids, seed = numbered(vocab)
-    top = ids.where(f"rank is null or rank <> {BEGIN}").orderBy(F.desc("n"), "id").limit(VOCABULARY if not unknown else ids.count())
+    ids, seeds = numbered(vocab)
+    n = ids.where("not begin").agg(F.sum("n")).first()[0] or 1
+    top = ids.where("not begin").orderBy(F.desc("n"), "id").limit(VOCABULARY)
     rank = F.expr("row_number() over (order by n desc, id)") + 1
-    top = top.select("id", rank.cast("long").alias("rank"), "n").union(ids.where(f"rank = {BEGIN}").select("id", "rank", "n"))
+    begin = ids.where("begin").select("id", F.lit(BEGIN).cast("long").alias("rank"), "n")
+    top = top.select("id", rank.cast("long").alias("rank"), "n").union(begin)
     top = cut_lineage(top, "top")
 
     # rows are told apart by what they hold, the same in every pass; equal ones share their sums
     row = F.xxhash64(F.col(doc_id), F.col(doc_id).isNull(), F.col(text))
-    every = pairs(docs, row, text, seed)
+    every = pairs(docs, row, text, seeds)
     is_hot = F.col("a").between(0, HOT + 1) & F.col("b").between(0, HOT + 1)
-    read = _ranked(every, top, "left")
-    rest = [F.lit(UNKNOWN).cast("long")] * 2 if unknown else [F.col("v"), F.col("w")]
-    read = read.select("row", F.coalesce("a", rest[0]).alias("a"), F.coalesce("b", rest[1]).alias("b"))
-    hot = read.where(is_hot) if unknown else _ranked(every, top.where(F.col("rank") < HOT + 2), "inner")
+    read = _ranked(every, top, "left").select("row", F.coalesce("a", "v").alias("a"), F.coalesce("b", "w").alias("b"))
+    hot = _ranked(every, top.where(F.col("rank") < HOT + 2), "inner")
     hot = cut_lineage(hot.select("row", F.col("a").cast("short").alias("a"), F.col("b").cast("short").alias("b")), "hot")
-    sizes = top.select("rank", "n").union(docs.sparkSession.createDataFrame([(UNKNOWN, unknown)], "rank long, n long"))
-    sizes = F.broadcast(sizes.select(F.col("rank").alias("r"), F.log(F.greatest(F.col("n"), F.lit(1)).cast("double")).alias("log_n")))
+    sizes = F.broadcast(top.select(F.col("rank").alias("r"), F.log(F.greatest(F.col("n"), F.lit(1)).cast("double")).alias("log_n")))
 
     seen = F.col("c") >= MIN_COUNT
     own = F.when(seen, F.log(F.col("c").cast("double"))).otherwise(F.log(F.lit(BACKOFF / n)))

@@ -169,20 +169,15 @@ def op8_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     WITH d AS (
       SELECT row_number() OVER () AS row, doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x09-\x0D\x20]+'), lambda w: w <> '') AS w
       FROM documents),
-    c AS (SELECT CASE WHEN strlen(x) <= {backoff.WORD_BYTES} THEN x END AS word, count(*) AS n FROM (SELECT unnest(w) AS x FROM d) GROUP BY 1),
-    t AS (SELECT word, n FROM c WHERE word IS NOT NULL ORDER BY n DESC, word LIMIT {backoff.VOCABULARY}),
-    m AS (
-      SELECT word, n FROM t UNION ALL SELECT '', (SELECT count(*) FROM d WHERE len(w) > 0)
-      UNION ALL SELECT NULL, coalesce((SELECT sum(n) FROM c), 0) - coalesce((SELECT sum(n) FROM t), 0)),
-    q AS (SELECT row, doc_id, unnest(list_concat([''], w[:-2])) AS v, unnest(w) AS w FROM d WHERE len(w) > 0),
-    p AS (SELECT row, x.word AS v, y.word AS w FROM q LEFT JOIN m x ON q.v = x.word LEFT JOIN m y ON q.w = y.word),
+    c AS (SELECT word, count(*) AS n FROM (SELECT unnest(w) AS word FROM d) GROUP BY 1),
+    m AS (SELECT word, n FROM c UNION ALL SELECT '', (SELECT count(*) FROM d WHERE len(w) > 0)),
+    p AS (SELECT row, unnest(list_concat([''], w[:-2])) AS v, unnest(w) AS w FROM d WHERE len(w) > 0),
     k AS (SELECT v, w, count(*) AS c FROM p GROUP BY v, w),
     s AS (
       SELECT p.row, count(*) AS n_words,
              sum(CASE WHEN k.c >= {backoff.MIN_COUNT} THEN ln(k.c) - ln(greatest(a.n, 1))
                  ELSE ln({backoff.BACKOFF} / (SELECT sum(n) FROM c)) + ln(greatest(b.n, 1)) END) AS log_score
-      FROM p JOIN k ON p.v IS NOT DISTINCT FROM k.v AND p.w IS NOT DISTINCT FROM k.w
-           JOIN m a ON p.v IS NOT DISTINCT FROM a.word JOIN m b ON p.w IS NOT DISTINCT FROM b.word
+      FROM p JOIN k USING (v, w) JOIN m a ON p.v = a.word JOIN m b ON p.w = b.word
       GROUP BY p.row)
     SELECT doc_id, coalesce(n_words, 0) AS n_words, round(coalesce(log_score, 0.0), 4) AS log_score, round(log_score / n_words, 6) AS mean_log_score
     FROM d LEFT JOIN s USING (row)

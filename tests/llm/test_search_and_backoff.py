@@ -2,6 +2,8 @@ import math
 import random
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from jobweave.llm import backoff, search
 
 
@@ -46,11 +48,10 @@ def test_search_against_brute_force(llm, monkeypatch):
     assert search.search(frame, llm.createDataFrame([], "query_id long, text string")).count() == 0
 
 
-def brute_scores(docs, size):
+def brute_scores(docs):
     bags = [(t or "").lower().split() for _, t in docs]
     counts = Counter(w for b in bags for w in b)
-    known = {w for w, _ in sorted(((w, c) for w, c in counts.items() if len(w.encode()) <= backoff.WORD_BYTES), key=lambda x: (-x[1], x[0]))[:size]}
-    read = [["", *((w if w in known else None) for w in b)] if b else [] for b in bags]
+    read = [["", *b] if b else [] for b in bags]
     single = Counter(w for r in read for w in r)
     double = Counter(p for r in read for p in zip(r, r[1:]))
     total = sum(counts.values())
@@ -65,12 +66,23 @@ def test_backoff_against_brute_force(llm, monkeypatch):
     monkeypatch.setattr(backoff, "HOT", 5)
     docs = list(enumerate(texts(3, 150))) + [(None, None), (9, ""), (9, "w1 w1"), (9, "w1 w1"), (None, "W1 only"), (400, "x" * 100 + " w1"), (401, "w1 w2 " * 30_000)]
     frame = llm.createDataFrame([(*r, 1, "x", 2) for r in docs], "doc_id long, text string, row int, pair string, a int")
-    for size in (backoff.VOCABULARY, 20):
-        vocab = backoff.vocabulary
-        monkeypatch.setattr(backoff, "vocabulary", lambda d, t="text", size=size, vocab=vocab: vocab(d, t, size))
+    want = brute_scores(docs)
+    for size in (backoff.VOCABULARY, 20):  # ranks change no result
+        monkeypatch.setattr(backoff, "VOCABULARY", size)
         got = sorted(((r["doc_id"], r["n_words"], round(r["log_score"], 6)) for r in backoff.scores(frame).collect()), key=repr)
-        monkeypatch.setattr(backoff, "vocabulary", vocab)
-        want = brute_scores(docs, size)
         assert [g[:2] for g in got] == [w[:2] for w in want]
         assert all(math.isclose(g[2], w[2], rel_tol=1e-6, abs_tol=1e-4) for g, w in zip(got, want))
     assert backoff.scores(frame.limit(0)).count() == 0
+
+
+def test_words_that_share_a_number(llm, monkeypatch):
+    """Ids of eight bits: most words share one at first."""
+    whole = backoff.word_id
+    monkeypatch.setattr(backoff, "word_id", lambda w, seeds: whole(w, seeds).bitwiseAND(F.lit(255)).bitwiseOR(F.lit(-(1 << 63))))
+    docs = llm.createDataFrame([(i, t) for i, t in enumerate(texts(6, 60))], "doc_id long, text string")
+    vocab = backoff.vocabulary(docs)
+    ids, seeds = backoff.numbered(vocab)
+    assert seeds and ids.select("id").distinct().count() == vocab.count() == ids.count()
+    got = {r["doc_id"]: r["log_score"] for r in backoff.scores(docs).collect()}
+    want = {d: s for d, _, s in brute_scores([(r["doc_id"], r["text"]) for r in docs.collect()])}
+    assert all(math.isclose(got[d], want[d], rel_tol=1e-6, abs_tol=1e-4) for d in want)
