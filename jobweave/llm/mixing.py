@@ -140,12 +140,14 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` as the mixture takes them: a document once per copy, whole.
 
     Repeated rows count as documents of their own.  Rows with one id and text differ in nothing
-    the draw sees, so such a group's copies are dealt among its rows by their order.
+    the draw sees: such a group's copies are dealt evenly among its rows, and where that leaves
+    some over, the rows with the smallest hashes of all columns (but maps) get one more.  Rows
+    that are alike in every column are as good as each other.  Null texts have no tokens and
+    are never taken; texts are taken whole, however long.
     """
     chosen = select_rows(docs, **options)
     key = [F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("lang"), F.col("source"), F.col("text_key")]
     names = ["_k1", "_k2", "_k3", "_k4"]
-    # equal rows are summed up, and each of the group's rows stands for its share below
     group = chosen.groupBy(*(k.alias(n) for k, n in zip(key, names))).agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows"))
     own = [
         F.coalesce(docs["doc_id"].cast("string"), F.lit("")), F.coalesce(docs["lang"], F.lit("")), F.coalesce(docs["source"], F.lit("")),
@@ -155,9 +157,21 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     for mine, name in zip(own[1:], names[1:]):
         on = on & (mine == F.col(name))
     joined = docs.join(group.where("_copies > 0"), on)
-    single = joined.where("_rows = 1").select(*docs.columns, F.col("_copies").alias("_times"))
-    several = joined.where("_rows > 1").dropDuplicates(names).select(*docs.columns, F.col("_copies").alias("_times"))
-    taken = single.union(several)
+    even = joined.where("_copies >= _rows").select(*docs.columns, F.call_function("div", "_copies", "_rows").alias("_times"))
+    # what is left over, at most one group of a leaf, goes by class of equal rows, so that a
+    # class costs one row however often it is repeated
+    hashed = [f.name for f in docs.schema if not any(x in f.dataType.simpleString() for x in ("map<", "variant"))]
+    uneven = joined.where("_copies % _rows > 0").withColumn("_tie", F.xxhash64(*[docs[c] for c in hashed]))
+    classes = uneven.groupBy(*names, "_tie").agg(F.count("*").alias("_n"), F.min(F.col("_copies") % F.col("_rows")).alias("_over"))
+    classes = classes.withColumn("_part", F.pmod("_tie", F.lit(4096)))
+    parts = classes.groupBy(*names, "_part").agg(F.sum("_n").alias("_in_part"))
+    parts = parts.withColumn("_before", F.sum("_in_part").over(W.partitionBy(*names).orderBy("_part")) - F.col("_in_part"))
+    inside = F.sum("_n").over(W.partitionBy(*names, "_part").orderBy("_tie")) - F.col("_n")
+    placed = classes.withColumn("_inside", inside).join(parts, [*names, "_part"])
+    more = F.least(F.col("_n"), F.col("_over") - F.col("_before") - F.col("_inside")).alias("_times")
+    placed = placed.select(*names, "_tie", more).where("_times > 0")
+    extra = uneven.dropDuplicates([*names, "_tie"]).join(placed, [*names, "_tie"]).select(*docs.columns, "_times")
+    taken = even.union(extra)
     return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times")))).select(*docs.columns)
 
 

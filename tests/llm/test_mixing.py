@@ -87,6 +87,24 @@ def test_mixed_rows(llm):
     assert rows == want
 
 
+def test_rows_that_share_id_and_text(llm):
+    """Every row stays with its own other columns; what is over is dealt alike every time."""
+    docs = [(1, "same text", "en", "src0")] * 7
+    tagged = [(*r, i % 4, "x" if i < 4 else "y", "z") for i, r in enumerate(docs)]
+    schema = "doc_id long, text string, lang string, source string, n_tokens int, domain string, copies string"
+    for percent in (100, 200, 150, 45):
+        seen = []
+        for rows in (tagged, tagged[::-1]):
+            mixed = m.mix(llm.createDataFrame(rows, schema).repartition(3), budget_percent=percent)
+            seen.append(Counter(tuple(r) for r in mixed.collect()))
+        assert seen[0] == seen[1]
+        chosen = m.select_rows(llm.createDataFrame(tagged, schema), budget_percent=percent).collect()
+        total = sum(r["copies"] for r in chosen)
+        assert sum(seen[0].values()) == total
+        each = Counter(map(tuple, tagged))
+        assert all(total // 7 * each[r] <= seen[0][r] <= (total // 7 + 1) * each[r] for r in each)
+
+
 def test_shortage_goes_to_siblings_first(llm):
     big, small = "w " * 1000, "w " * 10
     docs = [(1, big, "en", "src0"), (2, small, "de", "src0"), (3, big, "en", "src1")]
