@@ -75,7 +75,7 @@ def _encoded(tokenizer: str, schema: pa.Schema):
                     np.add.at(steps, [at[2], at[3]], [1, -1])
                 masks.append(np.cumsum(steps[:-1], dtype=np.int8).astype(np.uint8).tobytes())
                 shown.append(f"{OPEN}{head}{COLON}{body}{CLOSE}")
-            columns = [batch.column(0), batch.column(1), shown, ids, masks, lengths]
+            columns = [batch.column(0), batch.column(1), shown, ids, masks, lengths, roles, [len(OPEN + h + COLON) + 1 for h in heads]]
             yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
     return run
@@ -94,10 +94,12 @@ def format_turns(rows: DataFrame, tokenizer: str, conv_id: str = "conv_id", turn
     from pyspark.sql.pandas.types import to_arrow_schema
 
     slim = rows.select(F.col(conv_id).alias("conv_id"), F.col(turn).alias("turn"), F.col(role).alias("role"), F.col(text).alias("text"))
-    fields = [("formatted", T.StringType()), ("ids", T.BinaryType()), ("mask", T.BinaryType()), ("n_ids", T.LongType())]
+    fields = [("formatted", T.StringType()), ("ids", T.BinaryType()), ("mask", T.BinaryType()), ("n_ids", T.LongType()), ("role", T.StringType()), ("body", T.IntegerType())]
     schema = T.StructType([slim.schema["conv_id"], slim.schema["turn"], *(T.StructField(*f) for f in fields)])
     made = slim.mapInArrow(_encoded(tokenizer, to_arrow_schema(schema)), schema)
-    order = W.partitionBy("conv_id").orderBy("turn", "formatted")
+    # the text as it was, without a second copy of it on the way: CLOSE is behind it in every row
+    text = F.regexp_replace(F.substr("formatted", F.col("body")), r"(?s)\\(.)", "$1")
+    order = W.partitionBy("conv_id").orderBy("turn", "role", F.left(text, F.length(text) - len(CLOSE)))
     running = order.rowsBetween(W.unboundedPreceding, W.currentRow)
     made = made.withColumn("seq", F.row_number().over(order) - 1).withColumn("start", F.sum("n_ids").over(running) - F.col("n_ids"))
     return made.select("conv_id", "turn", "seq", "start", "formatted", "ids", "mask", "n_ids")
