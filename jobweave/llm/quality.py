@@ -141,6 +141,13 @@ def labelled_sample(labels: DataFrame, doc_id: str, label: str, limit: int) -> D
     return known.orderBy(F.xxhash64("_id"), "_id").limit(limit)
 
 
+def one_per_id(rows: DataFrame) -> DataFrame:
+    """(_id, _label, text): of rows that share an id, the one whose text has the smallest hash."""
+    text = F.coalesce("text", F.lit(""))
+    least = F.min(F.struct(F.xxhash64(text).alias("h"), text.alias("text")))
+    return rows.groupBy("_id", "_label").agg(least.alias("t")).select("_id", "_label", "t.text")
+
+
 def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in rows_of(batches):
         made = [features(t) for t in binary_column(batch, "text")]
@@ -152,14 +159,14 @@ def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: str = "doc_id", text: str = "text", limit: int = FIT_ROWS) -> Machine:
     """A machine for P(label = 1), from labelled rows that aren't held out.
 
-    The sample's ids, at most ``limit``, are broadcast to the scan of the texts.  Rows of
-    ``docs`` that share an id all count.  Without labelled rows every score is 0.5.
+    The sample's ids, at most ``limit``, are broadcast to the scan of the texts.  Of rows of
+    ``docs`` that share an id, the one whose text has the smallest hash counts.  Without
+    labelled rows every score is 0.5.
     """
     sample = F.broadcast(labelled_sample(labels, doc_id, label, limit))
-    slim = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("text"))
-    rows = slim.join(sample, "_id").select("_id", "_label", "text")
+    rows = one_per_id(docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("text")).join(sample, "_id"))
     schema = rows.select("_id", "_label").schema.add("index", "binary").add("vals", "binary")
-    taken = sorted(rows.mapInArrow(_feature_rows, schema).limit(4 * limit).collect(), key=lambda r: (str(r["_id"]), r["vals"], r["index"]))
+    taken = sorted(rows.mapInArrow(_feature_rows, schema).collect(), key=lambda r: (str(r["_id"]), r["vals"], r["index"]))
     lists = [(np.frombuffer(r["index"], "<u2").astype(np.int64), np.frombuffer(r["vals"], "<f4")) for r in taken]
     return train(lists, np.array([r["_label"] for r in taken], dtype=np.float32))
 
@@ -183,7 +190,8 @@ def _scores(machine: Machine):
 
 def with_score(docs: DataFrame, machine: Machine, name: str = "score", text: str = "text") -> DataFrame:
     """``docs`` and a column ``name`` in place of any such column: P(label = 1), for null and
-    empty texts too (their statistics are zeros)."""
+    empty texts too (their statistics are zeros).  Rows are scored one by one, whole, however
+    long, and repeated ones alike."""
     kept = [c for c in docs.columns if c != name]
     schema = docs.select(*kept).schema.add("_score", "double")
     scored = docs.select(*kept, F.col(text).alias("_read_text")).mapInArrow(_scores(machine), schema)
