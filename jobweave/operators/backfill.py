@@ -33,18 +33,26 @@ def backfill_it_flags(target: DataFrame, row_id: str = "row_id", order: str = "r
     scored = missing.select(
         order, "job_reference", "url", it_score("Title", "category", "description").alias("score")
     )
-    source = key_entries(scored, [order, "score"], "job_reference", "url")
     # a row can be reached only through a key of an unclassified row
-    winner = any_key_winner(
-        key_entries(target, [row_id], "job_reference", "url"), source, ["kind", "key"], row_id, order, "score"
-    )
-    joined = target.join(winner, row_id, "left")
+    return with_flags(target.join(flag_fills(scored, target, row_id, order), row_id, "left")).select(*target.columns)
+
+
+def flag_fills(scored: DataFrame, keys: DataFrame, row_id: str = "row_id", order: str = "row_order") -> DataFrame:
+    """(row_id, score) of the rows whose flags ``backfill_it_flags`` sets.
+
+    ``scored`` has order, job_reference, url and score of the rows lacking a flag; ``keys`` the
+    id, job_reference and url of all rows.
+    """
+    source = key_entries(scored, [order, "score"], "job_reference", "url")
+    entries = key_entries(keys, [row_id], "job_reference", "url")
+    return any_key_winner(entries, source, ["kind", "key"], row_id, order, "score")
+
+
+def with_flags(rows: DataFrame) -> DataFrame:
+    """Rows with a ``score`` (or NULL), which sets their flags and is dropped."""
     score = F.col("score")
-    new = {
-        "IsIT": F.when(score.isNotNull(), score > 0).otherwise(F.col("IsIT")),
-        "ITScore": F.coalesce(score, F.col("ITScore")),
-    }
-    return joined.select(*[new.get(c, F.col(c)).alias(c) for c in target.columns])
+    new = {"IsIT": F.when(score.isNotNull(), score > 0).otherwise(F.col("IsIT")), "ITScore": F.coalesce(score, F.col("ITScore"))}
+    return rows.select(*[new.get(c, F.col(c)).alias(c) for c in rows.columns if c != "score"])
 
 
 def backfill_location_parts(target: DataFrame) -> DataFrame:

@@ -180,24 +180,19 @@ def refresh_matches(target: DataFrame, staged: DataFrame, row_id: str = "row_id"
     return t.select(row_id, F.explode(hits).alias("h")).select(row_id, "h.pass", "h.stage_id")
 
 
-def refresh(target: DataFrame, staged: DataFrame, row_id: str = "row_id") -> DataFrame:
-    """Stored rows after the refresh, all of them, with the columns of ``target``.
-
-    Values of the matched staged rows are folded into one update per stored row; the
-    stored table itself moves once, and not at all when the updates are small enough
-    for Spark to broadcast.
-    """
-    matches = refresh_matches(target, staged, row_id)
-    hit = matches.join(
+def _updates(target: DataFrame, staged: DataFrame, row_id: str) -> DataFrame:
+    """One row of new values per stored row that a staged one hits; only keys of ``target`` are read."""
+    hit = refresh_matches(target, staged, row_id).join(
         staged.select("stage_id", *FILLED, *OVERWRITTEN.values()), "stage_id"
     )
-    updates = hit.groupBy(row_id).agg(
+    return hit.groupBy(row_id).agg(
         *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col("pass"))).alias(f"u_{c}") for c in FILLED],
         *[F.max_by(s, "pass").alias(f"u_{c}") for c, s in OVERWRITTEN.items()],
         F.lit(True).alias("u_hit"),
     )
-    joined = target.join(updates, row_id, "left")
 
+
+def _updated(joined: DataFrame, columns: Sequence[str]) -> DataFrame:
     def value(c: str) -> Column:
         if c in OVERWRITTEN:
             return F.when(F.col("u_hit"), F.col(f"u_{c}")).otherwise(F.col(c)).alias(c)
@@ -205,24 +200,50 @@ def refresh(target: DataFrame, staged: DataFrame, row_id: str = "row_id") -> Dat
             return F.coalesce(F.col(f"u_{c}"), F.col(c)).alias(c)
         return F.col(c)
 
-    return joined.select(*[value(c) for c in target.columns])
+    return joined.select(*[value(c) for c in columns])
+
+
+def refresh(target: DataFrame, staged: DataFrame, row_id: str = "row_id") -> DataFrame:
+    """Stored rows after the refresh, all of them, with the columns of ``target``.
+
+    Values of the matched staged rows are folded into one update per stored row; the
+    stored table itself moves once, and not at all when the updates are small enough
+    for Spark to broadcast.
+    """
+    return _updated(target.join(_updates(target, staged, row_id), row_id, "left"), target.columns)
+
+
+def _new_rows(fresh: DataFrame, as_of, row_key: Sequence[str], row_id: str, classified: bool) -> DataFrame:
+    """Stored form of new postings: a new row's id is 'new:<reference>', since its reference is in
+    neither the table nor another new row."""
+    rows = insert_rows(prepare(fresh, classified), as_of, row_key)
+    return rows.select(F.concat(F.lit("new:"), F.col("job_reference")).alias(row_id), *TABLE_COLUMNS)
+
+
+def staged_duplicates(duplicates: DataFrame, as_of, row_key: Sequence[str] = ("seq",), classified: bool = False) -> DataFrame:
+    """Staging rows, written once: they feed three match sides and the update itself."""
+    return cut_lineage(dedupe_stage(stage(prepare(duplicates, classified), as_of, row_key)), "stage")
 
 
 def upsert(target: DataFrame, duplicates: DataFrame, fresh: DataFrame, as_of,
            row_key: Sequence[str] = ("seq",), row_id: str = "row_id", classified: bool = False) -> DataFrame:
     """The stored table after refreshing ``duplicates`` and inserting ``fresh``.
 
-    Both inputs are standard postings.  A new row's id is 'new:<reference>': its
-    reference is in neither the table nor another new row.
+    Both inputs are standard postings.
     """
-    # the staged rows feed three match sides and the update itself
-    staged = cut_lineage(dedupe_stage(stage(prepare(duplicates, classified), as_of, row_key)), "stage")
-    new_rows = insert_rows(prepare(fresh, classified), as_of, row_key)
-    ids = F.concat(F.lit("new:"), F.col("job_reference"))
-    updated = refresh(target, staged, row_id)
-    return updated.select(row_id, *TABLE_COLUMNS).unionByName(
-        new_rows.select(ids.alias(row_id), *TABLE_COLUMNS)
-    )
+    updated = refresh(target, staged_duplicates(duplicates, as_of, row_key, classified), row_id)
+    return updated.select(row_id, *TABLE_COLUMNS).unionByName(_new_rows(fresh, as_of, row_key, row_id, classified))
+
+
+def upsert_changes(target: DataFrame, keys: DataFrame, duplicates: DataFrame, fresh: DataFrame, as_of,
+                   row_key: Sequence[str] = ("seq",), row_id: str = "row_id", classified: bool = False) -> DataFrame:
+    """The rows that ``upsert`` changes or adds, with their ids, and no others.
+
+    ``keys`` has the id and key columns of ``target``, which itself is read for the rows hit only.
+    """
+    updates = _updates(keys, staged_duplicates(duplicates, as_of, row_key, classified), row_id)
+    hit = _updated(target.join(updates, row_id), [row_id, *TABLE_COLUMNS])
+    return hit.unionByName(_new_rows(fresh, as_of, row_key, row_id, classified))
 
 
 def repair_report(before: DataFrame, after: DataFrame, row_id: str, columns: Sequence[str]) -> DataFrame:

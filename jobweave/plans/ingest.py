@@ -6,12 +6,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from jobweave.functions.classify import with_it_flags
+from jobweave.functions.classify import it_score, with_it_flags
 from jobweave.operators import dedupe, expand, reports, upsert
-from jobweave.operators.backfill import backfill_it_flags
+from jobweave.operators.backfill import flag_fills, with_flags
 from jobweave.operators.ordering import take_first
 from jobweave.operators.places import with_places
-from jobweave.schema import ROW_KEY
+from jobweave.schema import ROW_KEY, TABLE_COLUMNS
 from jobweave.session import cut_lineage
 from jobweave.sources.registry import normalize_payloads
 from jobweave.sources.snapshots import ROW_ID, SnapshotTable
@@ -21,11 +21,18 @@ IN_ORDER = list(ROW_KEY)
 
 @dataclass
 class Ingest:
-    """The parts of one run; all lazy except the batch and its status."""
+    """The parts of one run; all lazy except the batch, its status, and the changed rows."""
 
     batch: DataFrame
     status: DataFrame
-    table: DataFrame
+    target: DataFrame
+    changes: DataFrame
+
+    @property
+    def table(self) -> DataFrame:
+        """The whole table afterwards."""
+        same = self.target.join(self.changes.select(ROW_ID), ROW_ID, "left_anti")
+        return same.select(ROW_ID, *TABLE_COLUMNS).unionByName(self.changes)
 
     def counts(self) -> DataFrame:
         return dedupe.status_counts(self.status)
@@ -59,17 +66,40 @@ def ingest(postings: DataFrame, target: DataFrame, as_of, limit: int | None = No
     if places is not None:
         batch = with_places(batch, places, city="place_city", state="place_state", fallback=True)
     batch = cut_lineage(batch, "batch")
-    status = cut_lineage(dedupe.batch_status(batch, target, IN_ORDER), "status")
+    keys = cut_lineage(stored_keys(target), "keys")
+    status = cut_lineage(dedupe.batch_status(batch, keys, IN_ORDER), "status")
     split = batch.join(status, IN_ORDER)
     known = split.filter(F.col("status") == dedupe.EXISTING).drop("status")
     fresh = split.filter(F.col("status") == dedupe.NEW).drop("status")
     if limit is not None:
         known, fresh = take_first(known, limit, *IN_ORDER), take_first(fresh, limit, *IN_ORDER)
-    updated = upsert.upsert(target, known, fresh, as_of, IN_ORDER, classified=True)
-    # new rows are classified; only stored rows can lack flags, in their scan order
-    ordered = updated.join(target.select(ROW_ID, "row_order"), ROW_ID, "left")
-    filled = backfill_it_flags(ordered.withColumn("row_order", F.coalesce("row_order", F.lit(-1))))
-    return Ingest(batch, status, filled.drop("row_order"))
+    changes = cut_lineage(upsert.upsert_changes(target, keys, known, fresh, as_of, IN_ORDER, classified=True), "changes")
+    return Ingest(batch, status, target, _with_filled_flags(target, keys, changes))
+
+
+def stored_keys(target: DataFrame) -> DataFrame:
+    """What matching needs of the stored table, read once: ids, keys, and the score of rows
+    that lack a flag."""
+    lacking = F.col("IsIT").isNull() | F.col("ITScore").isNull()
+    score = F.when(lacking, it_score("Title", "category", "description"))
+    return target.select(ROW_ID, "row_order", "job_reference", "url", "Title", "company", "Location", score.alias("score"))
+
+
+def _with_filled_flags(target: DataFrame, keys: DataFrame, changes: DataFrame) -> DataFrame:
+    """``changes``, and the stored rows whose flags the backfill sets after them.
+
+    Changed and new rows are classified, so only stored rows that stay as they are can lack
+    flags; they pass them on to every row that shares their reference or URL.
+    """
+    same = keys.join(changes.select(ROW_ID), ROW_ID, "left_anti")
+    lacking = same.filter(F.col("score").isNotNull())
+    if lacking.isEmpty():
+        return changes
+    reach = same.select(ROW_ID, "job_reference", "url").unionByName(changes.select(ROW_ID, "job_reference", "url"))
+    fills = cut_lineage(flag_fills(lacking, reach), "fills")
+    rest = target.join(changes.select(ROW_ID), ROW_ID, "left_anti").select(ROW_ID, *TABLE_COLUMNS)
+    filled = with_flags(changes.join(fills, ROW_ID, "left")).unionByName(with_flags(rest.join(fills, ROW_ID)))
+    return cut_lineage(filled.select(ROW_ID, *TABLE_COLUMNS), "filled")
 
 
 def ingest_payloads(payloads: DataFrame, store: SnapshotTable, as_of, only: str | None = None,
@@ -79,5 +109,5 @@ def ingest_payloads(payloads: DataFrame, store: SnapshotTable, as_of, only: str
     postings = normalize_payloads(payloads, only, as_of=as_of)
     target = store.read().withColumn("row_order", F.xxhash64(ROW_ID))
     run = ingest(postings, target, as_of, limit, places)
-    store.commit(run.table)
+    store.commit_changes(run.changes)
     return run

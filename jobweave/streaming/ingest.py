@@ -10,25 +10,36 @@ from jobweave.plans.ingest import ingest
 from jobweave.sources.snapshots import ROW_ID, SnapshotTable
 
 
-def read_landed(spark: SparkSession, path: str, schema: StructType, glob: str = "*.parquet") -> DataFrame:
-    """Stream of landed Parquet files."""
-    return spark.readStream.schema(schema).option("pathGlobFilter", glob).parquet(path)
+def read_landed(spark: SparkSession, path: str, schema: StructType, glob: str = "*.parquet", files_per_batch: int | None = None) -> DataFrame:
+    """Stream of landed Parquet files, at most ``files_per_batch`` of them in a micro-batch."""
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(path)
 
 
-def ingest_stream(postings: DataFrame, store: SnapshotTable, checkpoint: str, as_of) -> StreamingQuery:
-    """Run every micro-batch of standard postings through the batch ingest.
+def ingest_batch(batch: DataFrame, store: SnapshotTable, as_of, batch_name: str) -> bool:
+    """Ingest one batch of standard postings, unless a version was made of it before.
 
-    A batch that is replayed after a failure finds its rows already stored and only
-    refreshes them, so the table ends the same.  Stops when all landed files are read.
+    The version's log row carries the batch's name, and is written last: a batch that failed
+    midway left no version and is ingested again; one that got through is not.
     """
-    store.ensure()
+    if store.has_batch(batch_name):
+        return False
+    target = store.read().withColumn("row_order", F.xxhash64(ROW_ID))
+    store.commit_changes(ingest(batch, target, as_of).changes, batch=batch_name)
+    return True
+
 
-    def one_batch(batch: DataFrame, _: int) -> None:
-        target = store.read().withColumn("row_order", F.xxhash64(ROW_ID))
-        store.commit(ingest(batch, target, as_of).table)
+def ingest_stream(postings: DataFrame, store: SnapshotTable, checkpoint: str, as_of, name: str = "ingest") -> StreamingQuery:
+    """Run every micro-batch of standard postings through the batch ingest, each once.
 
+    Spark numbers micro-batches in the checkpoint and delivers the last one again after a
+    failure; ``name`` tells the streams of a table apart.  Stops when all landed files are read.
+    """
+    store.ensure()
     return (
-        postings.writeStream.foreachBatch(one_batch)
+        postings.writeStream.foreachBatch(lambda batch, n: ingest_batch(batch, store, as_of, f"{name}:{n}"))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
