@@ -150,6 +150,11 @@ def hrefs(html, system: str) -> Column:
     )
 
 
+def root_links(html) -> Column:
+    """Hrefs of a page that begin at the site's root, in page order, as they are written."""
+    return F.regexp_extract_all(F.coalesce(col(html), F.lit("")), F.lit(r"""href="(/[^"]*)\""""), F.lit(1))
+
+
 def job_links(html, base_url, system: str) -> Column:
     """Absolute job links of a page: decoded, fragment cut, first of each (ignoring case)."""
     from jobweave.functions.url import resolve

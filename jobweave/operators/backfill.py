@@ -171,14 +171,16 @@ def cleanup_cities(target: DataFrame, inserted_at, row_id: str = "row_id", order
     return _apply(target, acted, inserted_at, row_id, order)
 
 
+def category_changes(target: DataFrame) -> DataFrame:
+    """Rows whose category the normaliser changes beyond case, with the new one as ``_new``."""
+    given = target.filter(~is_blank("category"))
+    return given.withColumn("_new", normalize_category("category", "Title", "description")).filter(~same("category", "_new"))
+
+
 def backfill_categories(target: DataFrame, row_id: str = "row_id", order: str = "row_order") -> DataFrame:
     """Normalise categories, and pass each change to the rows with the same old category
     that share the reference, the URL or the title, company and location."""
-    given = target.filter(~is_blank("category"))
-    changed = given.withColumn("_new", normalize_category("category", "Title", "description")).filter(
-        ~same("category", "_new")
-    )
-    staged = changed.select(
+    staged = category_changes(target).select(
         F.col(order),
         clean("_new").alias("_new"),
         normalize_key("category").alias("old"),

@@ -20,6 +20,7 @@ from jobweave.functions.html import (
     table_cells,
 )
 from jobweave.functions.text import best_title, col, contains_any, distinct_ignore_case, empty_to_null, filled_items, is_blank, trim_ws
+from jobweave.functions.xmlv import xml_elements, xml_record
 from jobweave.functions.url import oracle_job_url, resolve, url_path, workday_api_url, workday_careers_url
 from jobweave.operators.filters import login_wall
 from jobweave.session import cut_lineage
@@ -168,17 +169,10 @@ def _json_columns(probe: rules.JsonProbe) -> dict[str, Column]:
     }
 
 
-def _xml(body: str, schema: str, tag: str, items: list[str]) -> Column:
-    parsed = F.from_xml(body, schema, {"rowTag": tag, "ignoreNamespace": "true"})
-    for name in items:
-        parsed = parsed[name]
-    return parsed
-
-
 def _feed_columns() -> dict[str, dict[str, Column]]:
-    rss = _xml("body", "channel struct<item:array<struct<link:string,title:string,pubDate:string>>>", "rss", ["channel", "item"])
-    jobs = _xml("body", "position array<struct<id:string,name:string,createdAt:string>>", "workzag-jobs", ["position"])
-    item, position = F.get(rss, F.lit(0)), F.get(jobs, F.lit(0))
+    rss, jobs = xml_elements("body", "item"), xml_elements("body", "position")
+    item = xml_record(F.get(rss, F.lit(0)), "link string,title string,pubDate string", "item")
+    position = xml_record(F.get(jobs, F.lit(0)), "id string,name string,createdAt string", "position")
     text = lambda c: F.coalesce(clean_text(c), F.lit(""))
     plain = lambda c: F.coalesce(trim_ws(c), F.lit(""))
     home = F.concat(_base(), F.lit("/"))

@@ -67,6 +67,21 @@ def site_domains(s, d):
     return discovery.site_domains(pages, F.col("url"), "page_id", _block())
 
 
+query(
+    "catalog_domains",
+    f"""SELECT CAST(row_number() OVER (ORDER BY p) + 1 AS BIGINT) AS source_row, domain FROM
+    (SELECT {_HOST} AS domain, min(page_id) AS p FROM pages GROUP BY 1) WHERE domain <> ''""",
+)(
+    # every second row has its domain in the second of the domain columns only
+    lambda s, d: discovery.site_domains(
+        (rows := table(s, d, "pages").select(
+            F.lit(" ").alias("Original_Domain"), F.when(F.col("page_id") % 2 == 0, F.col("url")).alias("domain"),
+            F.when(F.col("page_id") % 2 == 1, F.col("url")).alias("normalized_domain"), "page_id",
+        )),
+        discovery.catalog_domain(rows), "page_id", _block(),
+    )
+)
+
 query(
     "source_row",
     "SELECT page_id, CAST(row_number() OVER (ORDER BY page_id) + 1 AS BIGINT) AS source_row FROM pages",

@@ -185,11 +185,8 @@ query(
     "WITH " + STORED_CTE + f""" SELECT category AS old_category, {_NEWCAT} AS new_category, count(*) AS n FROM stored
     WHERE NOT {s_blank('category')} AND {s_key('category')} <> {s_key(_NEWCAT)} GROUP BY ALL""",
 )(
-    lambda s, d: stored(s, d)
-    .filter(~backfill.is_blank("category"))
-    .withColumn("new_category", backfill.normalize_category("category", "Title", "description"))
-    .filter(~backfill.same("category", "new_category"))
-    .groupBy(F.col("category").alias("old_category"), "new_category")
+    lambda s, d: backfill.category_changes(stored(s, d))
+    .groupBy(F.col("category").alias("old_category"), F.col("_new").alias("new_category"))
     .agg(F.count(F.lit(1)).alias("n"))
 )
 

@@ -16,10 +16,12 @@ from jobweave.queries.base import (
 from jobweave.queries.jobsview import JOBS_CTE, jobs
 from jobweave.operators import reports
 from jobweave.schema import EXPORT_COLUMNS, PAYLOADS, conform
+from jobweave.plans import export
 from jobweave.sources import registry
+from jobweave.sources.catalog_csv import read_catalog_csv
 from jobweave.sources.normalizers import feeds, html_pages, list_detail, lists, workday
 from jobweave.sources.normalizers.common import payload_of
-from jobweave.sources.payloads import read_payloads
+from jobweave.sources.payloads import read_payloads, read_text_payloads
 from jobweave.session import shared_folder
 
 J = "WITH " + JOBS_CTE
@@ -571,6 +573,20 @@ query(
     count_if(is_us = 'True') AS us, count_if(is_remote = 'True') AS remote, count_if(is_it = 'True') AS it FROM ({_EXPORT})""",
 )(lambda s, d: reports.export_summary(_exported(s, d)))
 
+
+@query(
+    "export_files",
+    f"""{J} SELECT {', '.join(f"coalesce({c}, '') AS {c}" for c in EXPORT_COLUMNS)} FROM ({_EXPORT})""",
+)
+def export_files(s, d):
+    """The export plan: postings of validated sites as a catalogue file, read back."""
+    listed, details = _wd(jobs(s, d))
+    other = listed.withColumn("site", F.lit("Closed"))
+    sites = s.createDataFrame([("d.example.com", "CX", "True", "a"), ("d.example.com", "CX", "True", "b"), ("d.example.com", "Closed", "False", "c")], "domain string, site string, validated string, api_url string")
+    path = shared_folder(s, "export")
+    export.export_jobs(sites, listed.unionByName(other), details, path, AS_OF, "archive-1")
+    return read_catalog_csv(s, path).select(*EXPORT_COLUMNS)
+
 # --- payload table and source choice ----------------------------------------------------------------------------------------
 
 
@@ -596,6 +612,20 @@ def mixed_payloads(s, d) -> DataFrame:
     )
 
 
+@query(
+    "text_payloads",
+    "SELECT page_id % 8 AS payload_seq, CAST(sum(length(url) + 1) AS BIGINT) AS n_chars, count(*) AS lines FROM pages GROUP BY 1",
+)
+def text_payloads(s, d):
+    """Files of one response each: the page URLs of a folder's number, as lines."""
+    path = shared_folder(s, "text")
+    pages = table(s, d, "pages").select((F.col("page_id") % 8).alias("folder"), "url")
+    pages.repartition("folder").write.partitionBy("folder").text(path)
+    seq = F.regexp_extract("file_path", r"folder=(\d+)", 1).cast("bigint")
+    found = read_text_payloads(s, path, "Lever", "list", seq).groupBy("payload_seq")
+    return found.agg(F.sum(F.length("body")).alias("n_chars"), F.sum(F.size(F.split("body", "\n")) - 1).alias("lines"))
+
+
 @query(
     "payload_scan",
     f"{J} SELECT source, kind, count(*) AS n FROM (SELECT 'Lever' AS source, 'list' AS kind FROM jobs UNION ALL SELECT 'Lever', 'list' FROM jobs) GROUP BY 1, 2",

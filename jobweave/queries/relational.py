@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from jobweave.operators import upsert
+from jobweave.operators import reports, upsert
 from jobweave.queries.base import query, s_blank, table
 from jobweave.queries.jobsview import STORED_CTE, stored
 from jobweave.schema import JOBS_TABLE, TABLE_COLUMNS
@@ -49,11 +49,7 @@ query(
     """SELECT lang, count(*) AS total, count(quality) AS populated, count(*) - count(quality) AS missing
     FROM documents LEFT JOIN labels USING (doc_id) GROUP BY lang""",
 )(
-    lambda s, d: table(s, d, "documents")
-    .join(table(s, d, "labels"), "doc_id", "left")
-    .groupBy("lang")
-    .agg(
-        F.count(F.lit(1)).alias("total"), F.count("quality").alias("populated"),
-        (F.count(F.lit(1)) - F.count("quality")).alias("missing"),
-    )
+    lambda s, d: reports.coverage(
+        table(s, d, "documents").select("doc_id", "lang").join(table(s, d, "labels"), "doc_id", "left"), {"quality": "quality"}, ["lang"]
+    ).select("lang", "total", "populated", "missing")
 )

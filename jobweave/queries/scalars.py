@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from jobweave import rules
-from jobweave.functions import classify, dates, html, ids, jsonv, location, text, url
+from jobweave.functions import classify, dates, html, ids, jsonv, location, text, url, xmlv
 from jobweave.queries.base import (
     q, query, s_any, s_blank, s_city, s_clean, s_digest, s_fingerprint, s_first, s_host, s_is_us, s_it_score,
     s_key, s_match, s_parts, s_rules, s_state, s_trim, s_url_path, table,
@@ -203,8 +203,7 @@ _on(
 )
 _HREFS = "regexp_extract_all(html, 'href=\"(/[^\"]*)\"', 1)"
 _on("page_links", "pages", "page_id", f"len({_HREFS}) AS n, {_HREFS}[1] AS first_link",
-    n=lambda: F.size(F.regexp_extract_all("html", F.lit('href="(/[^"]*)"'), F.lit(1))).cast("bigint"),
-    first_link=lambda: F.get(F.regexp_extract_all("html", F.lit('href="(/[^"]*)"'), F.lit(1)), F.lit(0)))
+    n=lambda: F.size(html.root_links("html")).cast("bigint"), first_link=lambda: F.get(html.root_links("html"), F.lit(0)))
 
 
 def _ld(page: str):
@@ -289,8 +288,8 @@ _on("json_compensation", "events", "event_id", "event_type AS text, event_type A
     summary=lambda: jsonv.compensation(F.concat(F.lit('{"summary":"'), "event_type", F.lit('"}'))),
     raw=lambda: jsonv.compensation(F.lit('{"min":1}')))
 _on("xml_fields", "events", "event_id", "event_type AS v, [event_type, 'b'] AS items",
-    v=lambda: F.from_xml(F.concat(F.lit("<p><id>1</id><name>"), "event_type", F.lit("</name></p>")), "id string, name string", {"rowTag": "p"})["name"],
-    items=lambda: F.from_xml(F.concat(F.lit("<p><i><n>"), "event_type", F.lit("</n></i><i><n>b</n></i></p>")), "i array<struct<n:string>>", {"rowTag": "p"})["i"]["n"])
+    v=lambda: xmlv.xml_record(F.concat(F.lit("<p><id>1</id><name>"), "event_type", F.lit("</name></p>")), "id string, name string", "p")["name"],
+    items=lambda: F.transform(xmlv.xml_elements(F.concat(F.lit("<p><i><n>"), "event_type", F.lit("</n></i><i><n>b</n></i></p>")), "i"), lambda i: F.regexp_extract(i, "<n>(.*)</n>", 1)))
 
 # --- dates ---------------------------------------------------------------------------------------------------------
 

@@ -41,18 +41,16 @@ from jobweave.functions.text import (
     trim_ws,
     zipped,
 )
+from jobweave.functions.xmlv import xml_elements, xml_record
 from jobweave.functions.url import id_from_url, posting_uuid, posting_uuid_in_html
 from jobweave.operators.upsert import generated_reference
 from jobweave.sources.normalizers.common import finish, fixed, items, payload_of, us_or_remote, with_detail, with_posting
 from jobweave.sources.normalizers.lists import successfactors_json
 
-_RSS = {"rowTag": "rss", "ignoreNamespace": "true"}
-
-
 def rss_items(payloads: DataFrame, *fields: str) -> DataFrame:
     """Items of an RSS feed (channel/item) with the named child elements as text."""
     item = ",".join(f"{f}:string" for f in fields)
-    parsed = F.from_xml("body", f"channel struct<item:array<struct<{item}>>>", _RSS)
+    parsed = xml_record("body", f"channel struct<item:array<struct<{item}>>>", "rss")
     return items(payloads, parsed["channel"]["item"])
 
 
@@ -128,11 +126,8 @@ _POSITION = (
 
 def personio(payloads: DataFrame) -> DataFrame:
     # the root element's name differs between tenants; the positions are cut out by tag
-    raw = F.regexp_extract_all(
-        F.coalesce(F.col("body"), F.lit("")), F.lit(r"(?s)<position\b[^>]*>.*?</position>"), F.lit(0)
-    )
-    found = items(payloads, raw).withColumnRenamed("j", "_xml")
-    df = fixed(found, "j", F.from_xml("_xml", _POSITION, {"rowTag": "position"}))
+    found = items(payloads, xml_elements("body", "position")).withColumnRenamed("j", "_xml")
+    df = fixed(found, "j", xml_record("_xml", _POSITION, "position"))
     text = lambda f: clean_text(trim_ws(F.coalesce(_j(f), F.lit(""))))
     df = df.withColumns({"_id": trim_ws(F.coalesce(_j("id"), F.lit(""))), "title": text("name")})
     df = df.filter((F.col("_id") != "") & (F.col("title") != ""))
