@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from jobweave.functions.text import blank_to_null, fingerprint, normalize_key
+from jobweave.operators.key_index import KeyIndex
 from jobweave.operators.keys import existing_keys, key_entries, spread_blank
 
 EXISTING, BATCH_DUPLICATE, NEW = "existing", "batch_duplicate", "new"
@@ -87,16 +88,20 @@ def batch_dedupe(df: DataFrame, row_key: Sequence[str] = ("seq",), ref="external
     return df.join(kept.select(*row_key), list(row_key), "left_semi")
 
 
-def batch_status(incoming: DataFrame, target: DataFrame, row_key: Sequence[str] = ("seq",),
+def batch_status(incoming: DataFrame, target: DataFrame | KeyIndex, row_key: Sequence[str] = ("seq",),
                  ref="external_id", url="job_url", title="title", company="company",
                  location="location", target_columns: dict | None = None) -> DataFrame:
     """Row key and ``status`` of every incoming row: existing, batch_duplicate or new.
 
-    A row exists when its reference (else its URL) or its fingerprint is stored.
+    A row exists when its reference (else its URL) or its fingerprint is stored.  ``target`` is
+    the stored table, or a ``KeyIndex`` of it.
     """
-    keys = existing_keys(target, **(target_columns or {}))
     probe = key_entries(incoming, list(row_key), ref, url, title, company, location, url_needs_no_ref=True)
-    hits = probe.join(keys, ["kind", "key"], "left_semi").select(*row_key).distinct()
+    if isinstance(target, KeyIndex):
+        hits = target.known(probe, *row_key)
+    else:
+        keys = existing_keys(target, **(target_columns or {}))
+        hits = probe.join(keys, ["kind", "key"], "left_semi").select(*row_key).distinct()
     slim = _slim(incoming, row_key, ref, url, title, company, location).join(
         hits.withColumn("_hit", F.lit(True)), list(row_key), "left"
     )

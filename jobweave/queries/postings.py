@@ -8,6 +8,7 @@ from jobweave import rules
 from jobweave.functions.classify import with_it_flags
 from jobweave.functions.location import geo_allowed, is_us
 from jobweave.functions.text import is_blank
+from jobweave.operators.key_index import KINDS, KeyIndex, estimated_sizes, key_sketches
 from jobweave.operators import dedupe, expand, filters, keys, merge, ordering, reports, upsert
 from jobweave.queries.base import (
     q, query, s_any, s_blank, s_city, s_clean, s_fingerprint, s_is_us, s_it_score, s_key, s_match,
@@ -176,6 +177,10 @@ query("dedupe_counts", WS_ + "," + STATUS_CTE + " SELECT status, count(*) AS n F
     lambda s, d: dedupe.status_counts(dedupe.batch_status(jobs(s, d), stored(s, d)))
 )
 
+query("key_index_status", WS_ + "," + STATUS_CTE + " SELECT status, count(*) AS n FROM status GROUP BY status")(
+    lambda s, d: dedupe.status_counts(dedupe.batch_status(jobs(s, d), KeyIndex(s).build(stored(s, d).filter("row_order % 2 = 0")).add(stored(s, d))))
+)
+
 _BATCH_CTE = STATUS_CTE.replace("WHERE NOT hit", "")
 query("batch_dedupe", WS_ + "," + _BATCH_CTE + " SELECT seq, external_id, job_url, title FROM jobs WHERE seq IN (SELECT seq FROM stage2)")(
     lambda s, d: dedupe.batch_dedupe(jobs(s, d)).select("seq", "external_id", "job_url", "title")
@@ -187,6 +192,23 @@ query(
     count(DISTINCT nullif({s_key('url')}, '')) AS urls, count(DISTINCT nullif({_FPT}, '')) AS fingerprints FROM stored""",
 )(lambda s, d: keys.key_sizes(stored(s, d)))
 
+# An estimate is near when it is within a twentieth of the exact number.
+@query(
+    "key_estimates",
+    WS_ + f""" SELECT count(DISTINCT nullif({s_key('job_reference')}, '')) AS "references", TRUE AS references_near,
+    count(DISTINCT nullif({s_key('url')}, '')) AS urls, TRUE AS urls_near,
+    count(DISTINCT nullif({_FPT}, '')) AS fingerprints, TRUE AS fingerprints_near FROM stored""",
+)
+def key_estimates(s, d):
+    """Exact sizes beside those that sketches of the table's countries and companies give together."""
+    exact = keys.key_sizes(stored(s, d))
+    sketches = key_sketches(stored(s, d), ["company"])
+    guess = estimated_sizes(sketches).select(*[F.col(c).alias(f"_{c}") for c in KINDS.values()])
+    near = [(F.abs(F.col(f"_{c}") - F.col(c)) * 20 <= F.col(c)).alias(f"{c}_near") for c in KINDS.values()]
+    one = F.lit(1).alias("_one")
+    return exact.select("*", one).join(guess.select("*", one), "_one").select(*KINDS.values(), *near)
+
+
 query(
     "first_occurrence",
     "SELECT doc_id, lang, n_chars FROM (SELECT *, row_number() OVER (PARTITION BY lower(trim(text)) ORDER BY doc_id) AS rn FROM documents) WHERE rn = 1",
