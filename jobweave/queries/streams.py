@@ -13,7 +13,7 @@ from jobweave.queries.maintenance import COLS, REFRESH_CTE, _insert_sql
 from jobweave.schema import JOBS_STD, TABLE_COLUMNS, conform
 from jobweave.session import shared_folder
 from jobweave.sources.snapshots import SnapshotTable
-from jobweave.streaming.ingest import first_within, ingest_stream, read_landed
+from jobweave.streaming.ingest import first_within, ingest_stream, keep_state_on_disk, read_landed
 
 
 def _postings(s, d):
@@ -106,13 +106,14 @@ def stream_ingest(s, d):
 @query("stream_dedupe", "SELECT event_id, count(*) AS n FROM events GROUP BY event_id")
 def stream_dedupe(s, d):
     """Every event lands twice; one copy passes."""
+    keep_state_on_disk(s)
     events = table(s, d, "events")
     landed = read_landed(s, d, events.schema, "events.parquet")
     landed = landed.withColumn("ts", F.col("ts").cast("timestamp"))
     twice = landed.unionByName(landed)
     path = shared_folder(s, "stream-dedupe")
     run = (
-        first_within(twice, ["event_id"], "ts", "3650 days")
+        first_within(twice, ["event_id"], "ts", "7 days")
         .writeStream.format("parquet")
         .option("path", path)
         .option("checkpointLocation", shared_folder(s, "stream-dedupe-offsets"))

@@ -46,8 +46,20 @@ def ingest_stream(postings: DataFrame, store: SnapshotTable, checkpoint: str, as
     )
 
 
+def keep_state_on_disk(spark: SparkSession) -> None:
+    """State of streams in RocksDB: it may outgrow the executors' memory, and a checkpoint writes
+    what changed only.  Set before a stream starts."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+
+
 def first_within(stream: DataFrame, keys: list[str], time: str, horizon: str, *extra: Column) -> DataFrame:
-    """First row per key within a time horizon; state older than it is dropped."""
+    """First row per key within a time horizon, such as "7 days".
+
+    A key is remembered until the stream's time is a horizon past the row's, so the state
+    holds the keys of one horizon, however long the stream runs.  Rows older than that when
+    they come are dropped.
+    """
     rows = stream.withColumns({f"_k{i}": c for i, c in enumerate(extra)}) if extra else stream
     names = [*keys, *[f"_k{i}" for i in range(len(extra))]]
     return rows.withWatermark(time, horizon).dropDuplicatesWithinWatermark(names).drop(
