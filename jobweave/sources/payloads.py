@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from jobweave.schema import PAYLOADS, conform
+from jobweave.session import shared_folder
 
 
 def read_payloads(spark: SparkSession, path: str, source: str | None = None,
@@ -44,6 +45,17 @@ def read_text_payloads(spark: SparkSession, path: str, source: str, kind: str,
     return conform(filled, PAYLOADS)
 
 
+def by_source(payloads: DataFrame) -> DataFrame:
+    """The payloads, written once to the shared folder by source and kind.
+
+    The normalisers filter by both; over this layout each of them reads its own folder, so that
+    all together read every body once.  Payloads that were landed in such folders need no copy.
+    """
+    path = shared_folder(payloads.sparkSession, "payloads")
+    payloads.write.partitionBy("source", "kind").parquet(path)
+    return conform(payloads.sparkSession.read.schema(payloads.schema).parquet(path), payloads.schema)
+
+
 def succeeded(df: DataFrame) -> DataFrame:
     """Responses with a 2xx status (a missing status counts as success)."""
     return df.filter(F.coalesce(F.col("status_code").between(200, 299), F.lit(True)))

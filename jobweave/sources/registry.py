@@ -11,6 +11,7 @@ from jobweave import rules
 from jobweave.operators.filters import us_or_remote
 from jobweave.sources.normalizers import NORMALIZERS
 from jobweave.sources.normalizers.common import payload_of
+from jobweave.sources.payloads import by_source
 
 
 def _plain(name: str | None) -> str:
@@ -29,13 +30,19 @@ def union_sources(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def normalize_payloads(payloads: DataFrame, only: str | None = None, **options) -> DataFrame:
+def normalize_payloads(payloads: DataFrame, only: str | None = None, route: bool = False, **options) -> DataFrame:
     """Standard postings of every source found in a payload table.
 
+    Each source and kind is a filtered scan.  Where the table does not lie in folders by source,
+    ``route`` copies it into such folders first, so that its bodies are read twice instead of
+    once per source.
+
     Each source filters by its own rule (US, or remote where the source's flag allows)
     and is appended in its fixed order.  Options such as ``as_of`` go to the normalisers
     that take them.
     """
+    if route:
+        payloads = by_source(payloads)
     frames = []
     for source in wanted_sources(only):
         entry = NORMALIZERS[source.name]

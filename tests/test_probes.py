@@ -99,3 +99,16 @@ def test_every_source_and_kind_has_a_shape():
     shaped = {(n, "list") for n in registry._LIST_PATHS} | {(n, "detail") for n in registry._DETAIL_PATHS} | set(registry._PAGE_MARKS)
     for name, entry in registry.NORMALIZERS.items():
         assert all(kind == "feed" or (name, kind) in shaped for kind in entry.kinds), name
+
+
+def test_routed_payloads_are_read_by_folder(spark):
+    """Every scan of a routed table is cut to the folder of one source and kind."""
+    rows = [(i, s, k, 200, "[]") for i, (s, e) in enumerate(registry.NORMALIZERS.items()) for k in e.kinds] + [(99, None, None, 200, "x")]
+    payloads = conform(spark.createDataFrame(rows, "payload_seq long, source string, kind string, status_code int, body string"), PAYLOADS)
+    routed = registry.by_source(payloads)
+    assert routed.schema == payloads.schema and sorted(map(str, routed.collect())) == sorted(map(str, payloads.collect()))
+    plan = registry.normalize_payloads(routed, only="Lever")._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan parquet" in line]
+    assert scans and all("PartitionFilters: [isnotnull(source" in s and "(source" in s and "(kind" in s for s in scans)
+    both = [registry.normalize_payloads(payloads, only="Jobicy", route=r).count() for r in (False, True)]
+    assert both == [0, 0]
