@@ -61,13 +61,9 @@ def dedupe_source(df: DataFrame, ladder: str, order: Sequence[str] = ("seq",)) -
 
 
 def _slim(df: DataFrame, row_key: Sequence[str], ref, url, title, company, location) -> DataFrame:
-    r, u = normalize_key(ref), normalize_key(url)
-    by_ref = F.when(r != "", F.concat(F.lit("r:"), r)).when(u != "", F.concat(F.lit("u:"), u))
-    return df.select(
-        *row_key,
-        F.coalesce(by_ref, F.lit("")).alias("_main"),
-        fingerprint(title, company, location).alias("_text"),
-    )
+    made = df.select(*row_key, normalize_key(ref).alias("_r"), normalize_key(url).alias("_u"), fingerprint(title, company, location).alias("_text"))
+    by_ref = F.when(F.col("_r") != "", F.concat(F.lit("r:"), "_r")).when(F.col("_u") != "", F.concat(F.lit("u:"), "_u"))
+    return made.select(*row_key, F.coalesce(by_ref, F.lit("")).alias("_main"), "_text")
 
 
 def _batch_first(slim: DataFrame, row_key: Sequence[str]) -> DataFrame:

@@ -11,11 +11,6 @@ from jobweave.functions.text import fingerprint, normalize_key
 REF, URL, TEXT = "ref", "url", "text"
 
 
-def _entry(kind: str, key: Column, when: Column | None = None) -> Column:
-    ok = key != "" if when is None else (key != "") & when
-    return F.when(ok, F.struct(F.lit(kind).alias("kind"), key.alias("key")))
-
-
 def key_entries(df: DataFrame, carry: Sequence[str], ref, url, title=None, company=None,
                 location=None, url_needs_no_ref: bool = False) -> DataFrame:
     """One row per filled key of each row: ``carry`` columns, ``kind``, ``key``.
@@ -23,12 +18,17 @@ def key_entries(df: DataFrame, carry: Sequence[str], ref, url, title=None, compa
     With ``url_needs_no_ref`` the URL counts only when the reference is blank.  Blank
     keys produce no row, so they never meet in one partition.
     """
-    r, u = normalize_key(ref), normalize_key(url)
-    entries = [_entry(REF, r), _entry(URL, u, r == "" if url_needs_no_ref else None)]
+    # keys are columns first, so that each is made once however often it is tested
+    made = {"_ref": normalize_key(ref), "_url": normalize_key(url)}
+    if title is not None:
+        made["_text"] = fingerprint(title, company, location)
+    rows = df.select(*carry, *[v.alias(k) for k, v in made.items()])
+    url_key = F.when(F.col("_ref") == "", F.col("_url")).otherwise("") if url_needs_no_ref else F.col("_url")
+    entries = [F.lit(REF), F.col("_ref"), F.lit(URL), url_key]
     if title is not None:
-        entries.append(_entry(TEXT, fingerprint(title, company, location)))
-    present = F.filter(F.array(*entries), lambda e: e.isNotNull())
-    return df.select(*carry, F.explode(present).alias("e")).select(*carry, "e.kind", "e.key")
+        entries += [F.lit(TEXT), F.col("_text")]
+    long = rows.select(*carry, F.stack(F.lit(len(entries) // 2), *entries).alias("kind", "key"))
+    return long.filter(F.col("key") != "")
 
 
 def existing_keys(target: DataFrame, ref="job_reference", url="url", title="Title",
