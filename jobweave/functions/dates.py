@@ -44,9 +44,10 @@ def _named(text: Column) -> Column:
 
 
 def _written(text: Column) -> Column:
-    return F.coalesce(
+    read = F.coalesce(
         *[F.when(text.rlike(shape), F.try_to_timestamp(text, F.lit(fmt))) for shape, fmt in _FORMATS]
     )
+    return F.when(text.rlike(r"\d{4}"), read)  # every shape holds a year
 
 
 def relative_date(c, as_of) -> Column:

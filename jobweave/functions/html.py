@@ -129,7 +129,7 @@ def class_text(html, class_name: str) -> Column:
     """Text of the first element whose class holds ``class_name``."""
     name = re.escape(class_name)
     return strip_tags(
-        first_group(html, rf"""(?i)<[^>]+class=["'][^"']*{name}[^"']*["'][^>]*>([\s\S]*?)</[^>]+>""")
+        first_group(html, rf"""(?i)<[^>]+class=["'][^"']*{name}[^"']*["'][^>]*>((?s:.*?))</[^>]+>""")
     )
 
 

@@ -15,6 +15,7 @@ from jobweave.queries.base import (
 )
 from jobweave.queries.jobsview import JOBS_CTE, jobs
 from jobweave.operators import reports
+from jobweave.operators.rows import settled
 from jobweave.schema import EXPORT_COLUMNS, PAYLOADS, conform
 from jobweave.plans import export
 from jobweave.sources import registry
@@ -34,12 +35,12 @@ def payloads(df: DataFrame, body: Column, url: Column | None = None, status=200,
     """One captured response per row; the arrival number is the row's seq."""
     text = lambda v: v if isinstance(v, Column) else F.lit(v)
     return conform(
-        df.select(
+        settled(df.select(
             F.col("seq").alias("payload_seq"), text(source).alias("source"), F.lit("acme-corp").alias("tenant"),
             text(site or "CX").alias("site"), text(domain).alias("domain"), F.lit("Acme").alias("company"),
             (url if url is not None else F.lit("https://d.example.com/list")).alias("url"), text(kind).alias("kind"),
             F.lit(1).alias("attempt"), text(status).alias("status_code"), body.alias("body"),
-        ),
+        ), "body"),
         PAYLOADS,
     )
 

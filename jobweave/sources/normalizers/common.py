@@ -8,7 +8,7 @@ from jobweave import rules
 from jobweave.functions.html import job_postings
 from jobweave.functions.location import is_us
 from jobweave.operators.dedupe import cap_per_group, dedupe_source
-from jobweave.operators.rows import fixed  # noqa: F401  (used by the normalisers)
+from jobweave.operators.rows import fixed, settled  # noqa: F401  (fixed: used by the normalisers)
 from jobweave.schema import JOBS_STD, conform
 from jobweave.sources.payloads import succeeded
 
@@ -63,8 +63,16 @@ def with_posting(df: DataFrame, html: str, use_graph: bool = True) -> DataFrame:
     return df.select("*", F.explode_outer(first).alias("p"))
 
 
-def us_or_remote(df: DataFrame) -> DataFrame:
-    return df.filter(is_us("location") | F.coalesce(F.col("is_remote"), F.lit(False)))
+def us_or_remote(df: DataFrame, *filled: str) -> DataFrame:
+    """US or remote postings whose ``filled`` columns are not ''.
+
+    The tested columns are made values first: below the filter their expressions would be
+    computed once for each place the test uses them.
+    """
+    kept = is_us("location") | F.coalesce(F.col("is_remote"), F.lit(False))
+    for name in filled:
+        kept = (F.col(name) != "") & kept
+    return settled(df, "location", "is_remote", *filled).filter(kept)
 
 
 def finish(df: DataFrame, name: str, ladder: str | None = None) -> DataFrame:

@@ -44,7 +44,7 @@ from jobweave.functions.text import (
 from jobweave.functions.xmlv import xml_elements, xml_record
 from jobweave.functions.url import id_from_url, posting_uuid, posting_uuid_in_html
 from jobweave.operators.upsert import generated_reference
-from jobweave.sources.normalizers.common import finish, fixed, items, payload_of, us_or_remote, with_detail, with_posting
+from jobweave.sources.normalizers.common import finish, fixed, items, payload_of, settled, us_or_remote, with_detail, with_posting
 from jobweave.sources.normalizers.lists import successfactors_json
 
 def rss_items(payloads: DataFrame, *fields: str) -> DataFrame:
@@ -130,7 +130,7 @@ def personio(payloads: DataFrame) -> DataFrame:
     df = fixed(found, "j", xml_record("_xml", _POSITION, "position"))
     text = lambda f: clean_text(trim_ws(F.coalesce(_j(f), F.lit(""))))
     df = df.withColumns({"_id": trim_ws(F.coalesce(_j("id"), F.lit(""))), "title": text("name")})
-    df = df.filter((F.col("_id") != "") & (F.col("title") != ""))
+    df = settled(df, "_id", "title").filter((F.col("_id") != "") & (F.col("title") != ""))
     df = df.withColumn("location", join_places(F.array(text("office"), text("additionalOffices")), " | "))
     df = us_or_remote(df.withColumn("is_remote", personio_remote("location", "title", text("keywords"))))
     blocks = F.coalesce(_j("jobDescriptions.jobDescription"), F.array())
@@ -170,7 +170,7 @@ def pinpointhq(feeds: DataFrame, details: DataFrame) -> DataFrame:
     """Feed items with their detail pages; a posting needs a page and a UUID."""
     df = rss_items(feeds, "title", "link", "pubDate")
     df = df.withColumns({"_title": clean_text(_j("title")), "job_url": clean_text(_j("link"))})
-    df = df.filter((F.col("_title") != "") & (F.col("job_url") != ""))
+    df = settled(df, "_title", "job_url").filter((F.col("_title") != "") & (F.col("job_url") != ""))
     df = with_posting(with_detail(df, details, "job_url", "inner"), "detail")
     p = lambda f: F.coalesce(F.col(f"p.{f}"), F.lit(""))
     df = df.withColumns(
@@ -191,8 +191,7 @@ def pinpointhq(feeds: DataFrame, details: DataFrame) -> DataFrame:
     remote = remote_in("pinpointhq", "_title", "job_url") | remote_in(
         "pinpointhq", p("jobLocationType"), "location", "title", "description"
     )
-    df = df.withColumn("is_remote", remote).filter((F.col("title") != "") & (F.col("_uuid") != ""))
-    df = us_or_remote(df)
+    df = us_or_remote(df.withColumn("is_remote", remote), "title", "_uuid")
     label = lambda name: label_value("description", name, stop_at_colon=True)
     return finish(
         df.withColumns(

@@ -22,6 +22,7 @@ from jobweave.functions.html import (
     first_group,
     first_of,
     h1,
+    hrefs,
     job_links,
     job_postings,
     json_string_field,
@@ -59,7 +60,7 @@ from jobweave.functions.text import (
 from jobweave.functions.url import id_from_url, resolve, title_from_url
 from jobweave.operators.dedupe import cap_per_group, dedupe_source
 from jobweave.operators.filters import login_wall
-from jobweave.sources.normalizers.common import CONTEXT, context, finish, items, us_or_remote, with_detail, with_posting
+from jobweave.sources.normalizers.common import CONTEXT, context, finish, items, settled, us_or_remote, with_detail, with_posting
 
 
 
@@ -106,7 +107,7 @@ def freshteam(payloads: DataFrame, details: DataFrame) -> DataFrame:
     )
     remote = F.lower(attribute("_attrs", "data-portal-remote-location")) == "true"
     df = df.withColumn("is_remote", remote & ~names_non_us_country("location"))
-    df = us_or_remote(df.filter((F.col("_id") != "") & (F.col("_title") != "")))
+    df = us_or_remote(df, "_id", "_title")
     df = df.withColumn("job_url", resolve(F.concat(F.lit("https://"), F.col("domain"), F.lit("/")), F.col("_href")))
     df = with_detail(df, details, "job_url")
     page = lambda key: json_string_field("detail", key)
@@ -121,7 +122,7 @@ def freshteam(payloads: DataFrame, details: DataFrame) -> DataFrame:
         F.when(has_page, strip_hiring_for(clean_text(first_non_empty(page("title"), meta("detail", "og:title"), "_title")))
         ).otherwise(F.col("_title")),
     )
-    df = df.filter(F.col("title") != "")
+    df = settled(df, "title").filter(F.col("title") != "")
     inferred = F.when(has_page, infer_category("title", "description", "freshteam"))
     return finish(
         df.withColumns(
@@ -163,7 +164,8 @@ def icims(details: DataFrame) -> DataFrame:
         }
     )
     df = df.withColumn("is_remote", remote_in("icims", "location", "title", "description"))
-    df = us_or_remote(df.filter(~is_blank("title"))).filter(is_it("title", "category"))
+    df = us_or_remote(settled(df, "title").filter(~is_blank("title")))
+    df = settled(df, "category").filter(is_it("title", "category"))
     company = F.coalesce(_filled(posting_company("p")), company_from_domain("domain", rules.ICIMS_COMPANY_PREFIX))
     return finish(
         df.withColumns(
@@ -203,7 +205,7 @@ def jazzhr(details: DataFrame) -> DataFrame:
     )
     df = df.withColumn("title", strip_career_page(decode_entities("_raw_title")))
     df = df.withColumn("is_remote", remote_in("jazzhr", "location", "title", "description"))
-    df = us_or_remote(df.filter(~is_blank("title")))
+    df = us_or_remote(settled(df, "title").filter(~is_blank("title")))
     return finish(
         df.withColumns(
             {
@@ -253,7 +255,7 @@ def catsone(details: DataFrame) -> DataFrame:
         }
     )
     df = df.withColumn("is_remote", remote_in("catsone", "title", "location", "description"))
-    df = us_or_remote(df.filter(F.col("title") != ""))
+    df = us_or_remote(df, "title")
     return finish(
         df.withColumns(
             {
@@ -286,7 +288,8 @@ def portal_rows(payloads: DataFrame) -> DataFrame:
             "_cells": table_cells("j"),
             "_anchor": strip_tags(first_group("j", rules.ZOHO_ANCHOR, 2)),
         }
-    ).filter(~is_blank("job_url"))
+    )
+    df = settled(df, "job_url", "_cells").filter(~is_blank("job_url"))
     df = df.withColumn("_title", best_title("_anchor", "_cells"))
     others = F.filter(
         "_cells",
@@ -310,7 +313,7 @@ def zohorecruit(payloads: DataFrame, details: DataFrame) -> DataFrame:
         F.col("job_url").alias("_url"), F.col("_title"), F.col("_where"), F.col("payload_seq").alias("_seq")
     )
     portal = cap_per_group(portal, ["_url"], ["_seq"], 1)
-    linked = F.size(job_links("body", "url", "zohorecruit")) > 0
+    linked = F.size(hrefs("body", "zohorecruit")) > 0
     inline = context(payloads).filter(~login_wall("url", "body") & ~linked).filter(
         F.coalesce(F.size(F.regexp_extract_all("body", F.lit(rules.ZOHO_ROW), F.lit(1))) == 0, F.lit(True))
     ).select(*CONTEXT, F.lit(0).alias("pos"), F.col("url").alias("job_url"), F.col("body").alias("html"))
@@ -328,7 +331,7 @@ def zohorecruit(payloads: DataFrame, details: DataFrame) -> DataFrame:
     )
     plain = plain.withColumn("location", first_non_empty("_where", city_state_in_text("description")))
     plain = plain.withColumn("is_remote", remote_in("zohorecruit", "title", "location"))
-    plain = us_or_remote(plain.filter(F.col("title") != ""))
+    plain = us_or_remote(plain, "title")
     text_jobs = finish(
         plain.withColumns(
             {
@@ -359,7 +362,7 @@ def _posted(pages: DataFrame) -> DataFrame:
     df = df.withColumn(
         "is_remote", remote_in("zohorecruit", _p("jobLocationType"), "location", "title", "description")
     )
-    return us_or_remote(df.filter(F.col("title") != ""))
+    return us_or_remote(df, "title")
 
 
 def _finish_posted(structured: DataFrame) -> DataFrame:

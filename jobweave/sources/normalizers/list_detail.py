@@ -27,12 +27,13 @@ from jobweave.functions.text import (
     first_non_empty,
     is_blank,
     keep_if_filled,
+    let,
     trim_ws,
     zipped,
 )
 from jobweave.functions.url import domain_from_url, oracle_detail_url, oracle_job_url
 from jobweave import rules
-from jobweave.sources.normalizers.common import finish, fixed, items, json_list, us_or_remote, with_detail, with_posting
+from jobweave.sources.normalizers.common import finish, fixed, items, json_list, settled, us_or_remote, with_detail, with_posting
 from jobweave.sources.normalizers.lists import _struct, _t
 
 
@@ -136,7 +137,7 @@ def oraclecloud(payloads: DataFrame, details: DataFrame) -> DataFrame:
     j = lambda f: F.col(f"j.{f}")
     text = lambda f: clean_text(j(f))
     df = df.withColumns({"_id": text("Id"), "title": text("Title"), "_workplace": text("WorkplaceType")})
-    df = df.filter((F.col("_id") != "") & (F.col("title") != ""))
+    df = settled(df, "_id", "title").filter((F.col("_id") != "") & (F.col("title") != ""))
     family = clean_text(F.try_element_at("_categories", F.lower(F.coalesce(j("JobFamilyId"), F.lit("")))))
     df = df.withColumns(
         {
@@ -245,7 +246,7 @@ def bamboohr(payloads: DataFrame, details: DataFrame) -> DataFrame:
         F.col("_remote")
         | remote_in("bamboohr", d("isRemote"), d("locationType"), "title", "location", "description"),
     )
-    df = us_or_remote(df.filter(F.col("title") != ""))
+    df = us_or_remote(df, "title")
     inferred = F.when(
         is_it("title", "_listed_category"), infer_category("title", "description", "bamboo")
     ).otherwise("")
@@ -288,7 +289,7 @@ def _ap_category(v: str) -> Column:
 def applicantpro(payloads: DataFrame, details: DataFrame) -> DataFrame:
     """``site`` of a list payload is the numeric site id."""
     df = json_list(payloads, _AP, "data", "jobs").withColumn("_title", clean_text("j.title"))
-    df = df.filter(~is_blank("j.id") & (F.col("_title") != ""))
+    df = settled(df, "_title").filter(~is_blank("j.id") & (F.col("_title") != ""))
     df = df.withColumn("_where", _ap_location("j"))
     df = df.withColumns(
         {
@@ -345,19 +346,21 @@ _BREEZY = _struct("id", "friendly_id", "name", "url", "location", "locations", "
 
 def _breezy_place(v: Column) -> Column:
     shape = "struct<name:string,city:string,country:struct<id:string,name:string>,state:struct<id:string,name:string>>"
-    p = F.from_json(v, shape)
-    built = place(
-        p["city"], first_non_empty(p["state"]["name"], p["state"]["id"]),
-        first_non_empty(p["country"]["name"], p["country"]["id"]),
-    )
-    inside = F.coalesce(keep_if_filled(collapse_ws(p["name"])), built)
-    return F.when(v.rlike(r"^\s*\{"), inside).otherwise(collapse_ws(scalar(v)))
+
+    def inside(p: Column) -> Column:
+        built = place(
+            p["city"], first_non_empty(p["state"]["name"], p["state"]["id"]),
+            first_non_empty(p["country"]["name"], p["country"]["id"]),
+        )
+        return F.coalesce(keep_if_filled(collapse_ws(p["name"])), built)
+
+    return F.when(v.rlike(r"^\s*\{"), let(F.from_json(v, shape), inside)).otherwise(collapse_ws(scalar(v)))
 
 
 def breezyhr(payloads: DataFrame, details: DataFrame) -> DataFrame:
     """The page's JSON-LD completes the listed posting; without a page the listing stands."""
     df = json_list(payloads, _BREEZY).withColumn("_title", clean_text("j.name"))
-    df = df.filter(~is_blank("j.id") & (F.col("_title") != ""))
+    df = settled(df, "_title").filter(~is_blank("j.id") & (F.col("_title") != ""))
     many = F.when(F.startswith("j.locations", F.lit("[")), F.transform(as_items("j.locations"), _breezy_place))
     several = join_places(decode_entities_in(many), " | ")
     df = df.withColumn(
@@ -381,7 +384,7 @@ def breezyhr(payloads: DataFrame, details: DataFrame) -> DataFrame:
             "_department": clean_text("j.department"),
         }
     )
-    df = df.filter(is_us("_where") | F.col("_remote"))
+    df = settled(df, "_where", "_remote").filter(is_us("_where") | F.col("_remote"))
     df = with_posting(with_detail(df, details, "job_url"), "detail")
     p = lambda f: F.coalesce(F.col(f"p.{f}"), F.lit(""))
     df = df.withColumns(

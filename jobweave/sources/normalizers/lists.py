@@ -42,6 +42,7 @@ from jobweave.functions.text import (
     first_non_empty,
     is_blank,
     keep_if_filled,
+    let,
     trim_ws,
     upper_first,
 )
@@ -325,9 +326,11 @@ def recruitee(payloads: DataFrame) -> DataFrame:
     shape = "struct<name:string,city:string,state:string,state_code:string,country:string>"
 
     def one_place(v: Column) -> Column:
-        p = F.from_json(v, shape)
-        parts = place(scalar(p["city"]), F.coalesce(scalar(p["state"]), scalar(p["state_code"])), scalar(p["country"]))
-        return F.when(v.rlike(r"^\s*\{"), F.coalesce(keep_if_filled(scalar(p["name"])), parts))
+        def read(p: Column) -> Column:
+            parts = place(scalar(p["city"]), F.coalesce(scalar(p["state"]), scalar(p["state_code"])), scalar(p["country"]))
+            return F.coalesce(keep_if_filled(scalar(p["name"])), parts)
+
+        return F.when(v.rlike(r"^\s*\{"), let(F.from_json(v, shape), read))
 
     listed = F.when(
         F.startswith("j.locations", F.lit("[")), filled_items(F.transform(as_items("j.locations"), one_place))

@@ -20,7 +20,7 @@ from jobweave.functions.text import (
 from jobweave.functions.url import workday_api_url, workday_detail_url, workday_job_url
 from jobweave.schema import EXPORT_COLUMNS
 from jobweave.operators.dedupe import cap_per_group
-from jobweave.sources.normalizers.common import finish, fixed, json_list, us_or_remote, with_detail
+from jobweave.sources.normalizers.common import finish, fixed, json_list, settled, us_or_remote, with_detail
 from jobweave.sources.normalizers.lists import _struct, _t
 
 _POSTING = _struct("title", "externalPath", "locationsText", "location", "postedOn", "startDate", "jobReqId",
@@ -95,7 +95,7 @@ def workday(payloads: DataFrame, details: DataFrame, as_of="1970-01-01") -> Data
 
     ``as_of`` is the day relative dates count from, usually the capture day.
     """
-    df = us_or_remote(_listed(payloads).filter(~is_blank("title")))
+    df = us_or_remote(settled(_listed(payloads), "title").filter(~is_blank("title")))
     df = fixed(with_detail(df, details, "detail_api_url"), "d", F.from_json("detail", _DETAIL))
     reference = first_non_empty(_detail_reference(0), _detail_reference(1))
     listed_date = relative_date(first_non_empty(_t("startDate"), _t("postedOn")), as_of)
