@@ -19,6 +19,9 @@ _FORMATS = [
     (r"(?i)^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}:\d{2} [AP]M$", "M/d/yyyy h:mm:ss a"),
     (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"),
 ]
+# how every readable date begins, ISO or written, with or without a weekday; other texts are
+# not tried further
+_BEGINS = r"^(?:[A-Za-z]{3,9},\s+)?(?:\d{4}[-/]|\d{1,2}/\d|\d{1,2} [A-Za-z]{3}|[A-Za-z]{3,9} \d{1,2}, \d)"
 
 
 def parse_date(c) -> Column:
@@ -29,9 +32,10 @@ def parse_date(c) -> Column:
 
     def read(text: Column) -> Column:
         iso = F.regexp_replace(text, r"(?i)\s+UTC$", "Z")
-        return F.coalesce(
+        found = F.coalesce(
             F.when(iso.rlike(r"^\d{4}-\d{1,2}-\d{1,2}"), iso.try_cast("timestamp")), let(_named(text), _written)
         )
+        return F.when(text.rlike(_BEGINS), found)
 
     return let(trim_ws(c), read)
 

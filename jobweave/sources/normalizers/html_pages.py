@@ -22,7 +22,6 @@ from jobweave.functions.html import (
     first_group,
     first_of,
     h1,
-    hrefs,
     job_links,
     job_postings,
     json_string_field,
@@ -60,6 +59,7 @@ from jobweave.functions.text import (
 from jobweave.functions.url import id_from_url, resolve, title_from_url
 from jobweave.operators.dedupe import cap_per_group, dedupe_source
 from jobweave.operators.filters import login_wall
+from jobweave.session import cut_lineage
 from jobweave.sources.normalizers.common import CONTEXT, context, finish, items, settled, us_or_remote, with_detail, with_posting
 
 
@@ -294,9 +294,9 @@ def portal_rows(payloads: DataFrame) -> DataFrame:
     others = F.filter(
         "_cells",
         lambda v: (F.lower(v) != F.lower("_title"))
-        & ~looks_like_date(v)
         & ~v.rlike(rules.JOB_CODE)
-        & ~v.rlike(rules.JOB_TYPE_CELL),
+        & ~v.rlike(rules.JOB_TYPE_CELL)
+        & ~looks_like_date(v),
     )
     df = df.withColumn("_where", F.array_join(others, ", "))
     return cap_per_group(df, ["payload_seq", "job_url"], ["pos"], 1)
@@ -313,13 +313,13 @@ def zohorecruit(payloads: DataFrame, details: DataFrame) -> DataFrame:
         F.col("job_url").alias("_url"), F.col("_title"), F.col("_where"), F.col("payload_seq").alias("_seq")
     )
     portal = cap_per_group(portal, ["_url"], ["_seq"], 1)
-    linked = F.size(hrefs("body", "zohorecruit")) > 0
-    inline = context(payloads).filter(~login_wall("url", "body") & ~linked).filter(
-        F.coalesce(F.size(F.regexp_extract_all("body", F.lit(rules.ZOHO_ROW), F.lit(1))) == 0, F.lit(True))
-    ).select(*CONTEXT, F.lit(0).alias("pos"), F.col("url").alias("job_url"), F.col("body").alias("html"))
+    body = F.coalesce("body", F.lit(""))
+    listed = body.rlike(rules.JOB_LINK_PATTERNS["zohorecruit"]) | body.rlike(rules.ZOHO_ROW)
+    inline = context(payloads).filter(~login_wall("url", "body") & ~listed).select(*CONTEXT, F.lit(0).alias("pos"), F.col("url").alias("job_url"), F.col("body").alias("html"))
 
     # the first eligible JSON-LD posting of a detail page, and all of a list page
-    from_pages = cap_per_group(_posted(pages), ["payload_seq"], ["pos"], 1)
+    # (written once: the pages' JSON-LD is read for them and for the pages that are left)
+    from_pages = cut_lineage(cap_per_group(_posted(pages), ["payload_seq"], ["pos"], 1), "posted")
     structured = from_pages.unionByName(_posted(inline))
     plain = pages.join(from_pages.select("payload_seq").distinct(), "payload_seq", "left_anti")
     plain = plain.join(portal, plain["job_url"] == portal["_url"], "left")
