@@ -75,7 +75,7 @@ def norm(name: str, sql: str, columns: list[str]):
     """Register norm_<name>; the function returns standard postings."""
 
     def add(fn):
-        query(f"norm_{name}", f"{J} SELECT seq AS n, {sql}")(lambda s, d: out(fn(jobs(s, d)), *columns))
+        query(f"norm_{name}", f"{J} SELECT seq AS n, {sql}")(lambda s, d: out(fn(jobs(s, d, spread=True)), *columns))
         return fn
 
     return add
@@ -479,7 +479,7 @@ def _zoho(j):
     WHERE {US} OR contains(location, 'Remote')""",
 )
 def _zoho_ld(s, d):
-    j = jobs(s, d)
+    j = jobs(s, d, spread=True)
     url = F.concat(lit("https://d.example.com/jobs/x"), F.col("seq").cast("string"))
     page = ld_page(title="title", description="description", hiringOrganization=js(name="company"), jobLocation=place_ld(), identifier=js(value="seq"))
     got = html_pages.zohorecruit(payloads(j, F.concat(lit("<p>none</p>"), F.col("seq").cast("string"))), payloads(j, page, url))

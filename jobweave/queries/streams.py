@@ -17,7 +17,7 @@ from jobweave.streaming.ingest import first_within, ingest_stream, keep_state_on
 
 
 def _postings(s, d):
-    return conform(jobs(s, d).withColumn("source_name", F.lit("orders")).withColumn("part", F.lit(0)), JOBS_STD)
+    return conform(jobs(s, d, spread=True).withColumn("source_name", F.lit("orders")).withColumn("part", F.lit(0)), JOBS_STD)
 
 
 # the batch after expansion: one row per place, keyed by (seq, part)
@@ -72,7 +72,7 @@ _FLAGSHIP = f"""WITH {STORED_CTE},{_EXPANDED},{_STATUS},{_STAGE},{REFRESH_CTE},
 @query("ingest_flagship", _FLAGSHIP)
 def ingest_flagship(s, d):
     """Expand, classify, split, refresh, insert and fill flags: the stored table afterwards."""
-    return ingest(_postings(s, d), stored(s, d), LOADED_AT).table.select("row_id", *TABLE_COLUMNS)
+    return ingest(_postings(s, d), stored(s, d, spread=True), LOADED_AT).table.select("row_id", *TABLE_COLUMNS)
 
 
 @query(

@@ -26,7 +26,7 @@ def _tables(spark, folder, n):
 
 def test_rows_of_one_row_group_reach_several_tasks(spark, tmp_path):
     _tables(spark, tmp_path, 400_000)
-    rows = jobsview.jobs(spark, str(tmp_path)).select("seq", F.spark_partition_id().alias("task")).groupBy("task").count().collect()
+    rows = jobsview.jobs(spark, str(tmp_path), spread=True).select("seq", F.spark_partition_id().alias("task")).groupBy("task").count().collect()
     assert sum(r["count"] for r in rows) == 400_000
     assert len(rows) > 1
     assert max(r["count"] for r in rows) < 300_000
@@ -38,4 +38,13 @@ def test_repeated_keys_keep_their_rows(spark, tmp_path):
     twice.union(twice).write.parquet(f"{tmp_path}/two/orders.parquet")
     for name in ("customer", "nation", "region"):
         spark.read.parquet(f"{tmp_path}/{name}.parquet").write.parquet(f"{tmp_path}/two/{name}.parquet")
-    assert jobsview.jobs(spark, f"{tmp_path}/two").count() == 100
+    assert jobsview.jobs(spark, f"{tmp_path}/two", spread=True).count() == 100
+
+
+def test_ingest_and_readers_deal_their_orders_out(spark, tmp_path):
+    from jobweave.queries import REGISTRY
+
+    _tables(spark, tmp_path, 50)
+    for name in ("norm_recruitee", "norm_jobicy"):
+        plan = REGISTRY[name](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+        assert "RepartitionByExpression [o_orderkey" in plan
