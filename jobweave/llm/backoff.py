@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from jobweave.llm.common import cut_lineage
+from jobweave.llm.common import cut_lineage, split_words
 
 #: Words with ranks.
 VOCABULARY = 1 << 16
@@ -46,13 +46,13 @@ _AFTER = 1 << 40
 
 def words_of(text: Column) -> Column:
     """Words between ASCII white space, in lower case; a null text has none."""
-    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[\x09-\x0D\x20]+"), lambda w: w != "")
+    return split_words(F.lower(F.coalesce(text, F.lit(""))))
 
 
 def begun(text: Column) -> Column:
     """The words after the empty one that a document begins with; nothing without words."""
-    words = words_of(text)
-    return F.when(F.size(words) > 0, F.concat(F.array(F.lit("")), words)).otherwise(words)
+    filled = F.ltrim(text, F.lit(" \t\n\x0b\x0c\r")) != ""
+    return F.when(filled, F.concat(F.array(F.lit("")), words_of(text))).otherwise(F.array().cast("array<string>"))
 
 
 def vocabulary(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -91,10 +91,10 @@ def numbered(vocab: DataFrame) -> tuple[DataFrame, dict[str, int]]:
 
 def pairs(docs: DataFrame, row: Column, text: str, seeds: dict[str, int]) -> DataFrame:
     """(row, v, w): the ids of every two words in a row, of every document with words."""
-    base = docs.select(row.alias("row"), F.transform(begun(F.col(text)), lambda w: word_id(w, seeds)).alias("w"))
+    base = docs.select(row.alias("row"), begun(F.col(text)).alias("w"))
     size = F.greatest(F.size("w") - 1, F.lit(0))
     zipped = F.arrays_zip(F.slice("w", 1, size).alias("v"), F.slice("w", 2, size).alias("w"))
-    return base.select("row", F.explode(zipped).alias("p")).select("row", F.col("p.v").alias("v"), F.col("p.w").alias("w"))
+    return base.select("row", F.explode(zipped).alias("p")).select("row", *[word_id(F.col(f"p.{c}"), seeds).alias(c) for c in ("v", "w")])
 
 
 def _ranked(rows: DataFrame, ranks: DataFrame, how: str) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from jobweave.queries.base import table
 from jobweave.session import configure, cut_lineage, shared_folder
 
-__all__ = ["HELD_OUT", "binary_column", "cut_lineage", "held_out", "prepare", "shared_folder", "table"]
+__all__ = ["HELD_OUT", "binary_column", "cut_lineage", "held_out", "prepare", "shared_folder", "split_words", "table"]
 
 #: Rows in an Arrow batch.  Texts reach some hundred kilobytes, so that a batch stays below
 #: the size that Spark itself allows it.
@@ -32,6 +32,11 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % HELD_OUT == 0
 
 
+def split_words(text: Column) -> Column:
+    """Words between ASCII white space, in built-ins that Spark compiles."""
+    return F.array_remove(F.split(text, r"[\x09-\x0D\x20]+"), "")
+
+
 def binary_column(batch: pa.RecordBatch, name: str) -> list[bytes]:
     """A string column as UTF-8 bytes, null as nothing."""
     column = batch.column(batch.schema.get_field_index(name))
